@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import rows_catalog  # noqa: F401
+from . import joins_catalog, metrics_catalog, rows_catalog  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -343,7 +343,7 @@ def _payload(s, d):
         return F.struct(F.lit(name).alias("criterion"), (k % div == 0).alias("matches"), F.concat(F.lit("k="), k).alias("evidence"))
 
     return B.events(s, d).select("event_id", "user_id", "event_type", "value", k.alias("k"), F.struct(
-        (F.col("event_type") == "purchase").alias("matches"), F.least(F.lit(1.0), F.round(F.col("value") / 50, 2)).alias("confidence"), F.col("event_type").alias("reason"),
+        (F.col("event_type") == "purchase").alias("matches"), F.least(F.lit(1.0), F.floor(F.col("value") * 2) / 100).alias("confidence"), F.col("event_type").alias("reason"),
         F.when(F.col("event_type") != "view", F.array(crit("even", 2), crit("third", 3), crit("fifth", 5))).alias("criteria_results")).alias("p"))
 
 
@@ -353,7 +353,7 @@ CONFIRM_SQL = """vp AS (SELECT event_id, user_id, event_type, k, conf, nx, hits,
   WHEN event_type = 'purchase' THEN 'video confirmed ' || ct WHEN nx = 0 THEN 'video did not confirm (' || ct || ')'
   WHEN CAST(hits AS DOUBLE) / nx >= 0.5 THEN 'video partly confirmed ' || ct || ' (' || hits || '/3 criteria)' ELSE 'video did not confirm (' || ct || ', ' || hits || '/3 criteria)' END AS why
   FROM (SELECT *, CASE WHEN event_type = 'view' THEN 0 ELSE 3 END AS nx, CASE WHEN event_type = 'view' THEN 0 ELSE CAST(k % 2 = 0 AS INT) + CAST(k % 3 = 0 AS INT) + CAST(k % 5 = 0 AS INT) END AS hits, printf('%.2f', conf) AS ct
-  FROM (SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, least(1.0, round(value / 50, 2)) AS conf FROM events)))"""
+  FROM (SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, least(1.0, floor(value * 2) / 100) AS conf FROM events)))"""
 
 
 @query("P19_verdict_confirms", "WITH " + CONFIRM_SQL + " SELECT event_id, confirmed, why FROM vp")
@@ -496,7 +496,7 @@ def _(s, d):
 
 @query("P6_longform_gate", with_("doc", f" SELECT entity_id, CASE WHEN count_if({SHORT.format(1500)} = FALSE) < 12 THEN 'too_few_longform_videos' END AS reason FROM doc WHERE position <= 50 GROUP BY 1"))
 def _(s, d):
-    w = windows.newest_n(_doc(s, d).select("entity_id", "item_id", "seconds", "w", "h"), 50, [F.asc("item_id")])
+    w = windows.newest_n(_doc(s, d).select("entity_id", "item_id", "seconds", "w", "h"), 50, ["item_id"])
     n = w.groupBy("entity_id").agg(F.count_if(~shape.is_short("seconds", "w", "h", 1500)).alias("n"))
     return n.select("entity_id", gates.longform_gate("n", 12).alias("reason"))
 
