@@ -104,15 +104,15 @@ def _reason(r: Column) -> Column:
 
 def claim_state(events: DataFrame, key: str, ts: str = "ts", tie: str = "record_id", state: str = "state") -> DataFrame:
     """Current state per claim: the latest event decides. Only NotSent may be retried."""
-    last = F.max_by(F.struct(F.col(state).alias("state"), F.col(ts).alias("at")), F.struct(ts, tie))
+    last = F.max_by(F.struct(F.col(state).alias("state"), F.col(ts).alias("state_at")), F.struct(ts, tie))
     return events.groupBy(key).agg(last.alias("l")).select(
-        key, F.col("l.state").alias("state"), F.col("l.at").alias("at"), (F.col("l.state") == "NotSent").alias("retryable"))
+        key, F.col("l.state").alias("state"), F.col("l.state_at").alias("state_at"), (F.col("l.state") == "NotSent").alias("retryable"))
 
 
 def stranded(states: DataFrame, as_of: str, minutes: int = V.STRANDED_AFTER_MINUTES) -> DataFrame:
     """Claims still Claimed before the cut-off: reported, never resolved."""
     cutoff = F.lit(as_of).cast("timestamp") - F.expr(f"interval {int(minutes)} minutes")
-    return states.where((F.col("state") == "Claimed") & (F.col("at") < cutoff))
+    return states.where((F.col("state") == "Claimed") & (F.col("state_at") < cutoff))
 
 
 def send_budget(claims: DataFrame, day: str, cap: int = V.SEND_DAILY_CAP, tz=V.BUDGET_ZONE, ts="ts") -> DataFrame:

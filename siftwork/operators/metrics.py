@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import fixed_values as V
 from ..functions.shape import is_short, settled, upload_frequency, uploads_per_year, whole_days, instant
 from ..functions.text import contains_any, normalize_title
-from .windows import fold_reuploads, newest_n
+from .windows import fold_reuploads, newest_n, paged_counts, paged_total
 
 
 def _total(arr: Column, field: str) -> Column:
@@ -18,39 +18,44 @@ def _rate(engagements: Column, views: Column) -> Column:
     return F.when(views > 0, F.try_divide(engagements.cast("double"), views) * 100).otherwise(F.lit(0.0))
 
 
-def entity_metrics(items: DataFrame, as_of: str, wide=V.WIDE_WINDOW, narrow=V.METRIC_WINDOW) -> DataFrame:
-    """All per-entity metrics in one shuffle: window to the newest ``wide`` items, then one aggregate.
+def entity_metrics(items: DataFrame, as_of: str, wide=V.WIDE_WINDOW, narrow=V.METRIC_WINDOW, long_target=V.MIN_LONG_COUNT,
+                   long_pages: int = 0, row_columns: dict[str, Column] | None = None, aggregates: list[Column] = ()) -> DataFrame:
+    """All per-entity metrics in one shuffle: window to the newest items, then one aggregate.
 
     Views, engagement, minimum and sample come from the long, de-duplicated, reported and
     settled items (newest ``narrow`` of them), falling back to the newest ``narrow`` raw items
-    when there are none. Dates always come from the newest ``narrow`` list positions.
+    when there are none. Dates always come from the newest ``narrow`` list positions. With
+    ``long_pages`` the long count may read that many further pages of ``wide`` items.
+    ``row_columns`` and ``aggregates`` let a caller take more from the same wide window.
     """
+    row_columns = row_columns or {}
     w = newest_n(
         items.select(
             "entity_id", "item_id", "published_at", "views", "engagements", "seconds",
             normalize_title("title").alias("norm"), is_short("seconds", "w", "h").alias("short"),
-            settled("published_at", as_of).alias("settled"),
-        ), wide)
-    near = F.col("position") <= narrow
-    sample = F.sort_array(F.collect_list(F.when(F.col("short") == F.lit(False), F.struct(
-        "position", "item_id", "norm", "seconds", "views", "engagements", "settled"))))
+            settled("published_at", as_of).alias("settled"), *[c.alias(n) for n, c in row_columns.items()],
+        ), wide * (1 + long_pages))
+    near, inside = F.col("position") <= narrow, F.col("position") <= wide
+    entry = F.struct("position", "item_id", "norm", "seconds", "views", "engagements", "settled")
     agg = w.groupBy("entity_id").agg(
-        sample.alias("s"),
+        F.sort_array(F.collect_list(F.when(inside & ~F.col("short"), entry))).alias("s"),  # at most ``wide`` entries
         F.count_if(near).alias("raw_n"),
         F.sum(F.when(near, F.coalesce("views", F.lit(0)))).alias("raw_views"),
         F.sum(F.when(near, F.col("engagements"))).alias("raw_eng"),
         F.count(F.when(near, F.col("published_at"))).alias("n_dates"),
         F.min(F.when(near, F.col("published_at"))).alias("first_date"),
         F.max(F.when(near, F.col("published_at"))).alias("last_date"),
-        F.count(F.lit(1)).alias("wide_n"),
-        F.every(F.coalesce("short", F.lit(False))).alias("all_short"),
-        F.count_if(~F.col("short")).alias("long_count"),
+        F.count_if(inside).alias("wide_n"),
+        F.every(~inside | F.coalesce("short", F.lit(False))).alias("all_short"),
+        *paged_counts(F.col("position"), F.col("short"), wide, long_pages),
+        *aggregates,
     )
     kept = F.slice(F.filter(fold_reuploads(F.col("s")), lambda x: x["views"].isNotNull() & x["settled"]), 1, narrow)
     m = agg.withColumn("k", kept)
     views, eng = _total(F.col("k"), "views"), _total(F.col("k"), "engagements")
     n = F.size("k")
     has = n > 0
+    extra = [c for c in agg.columns if c not in _OWN and not c.startswith("p")]
     return m.select(
         "entity_id",
         F.when(has, F.try_divide(views.cast("double"), n)).otherwise(F.try_divide(F.col("raw_views").cast("double"), F.col("raw_n"))).alias("avg_views"),
@@ -59,13 +64,17 @@ def entity_metrics(items: DataFrame, as_of: str, wide=V.WIDE_WINDOW, narrow=V.ME
         F.when(has, n.cast("bigint")).otherwise(F.col("raw_n")).alias("sample_size"),
         F.transform("k", lambda x: x["views"]).alias("settled_views"),
         F.transform("k", lambda x: F.struct(x["item_id"].alias("item_id"), x["views"].alias("views"), x["seconds"].alias("seconds"))).alias("settled_items"),
-        "all_short", "long_count", "wide_n", "n_dates",
+        "all_short", F.col("p0").alias("long_count"), paged_total(long_target, long_pages)[0].alias("long_total"), "wide_n", "n_dates",
         upload_frequency("n_dates", F.col("first_date"), F.col("last_date")).alias("per_month"),
         uploads_per_year("n_dates", F.col("first_date"), F.col("last_date")).alias("per_year"),
         whole_days("last_date", instant(as_of)).alias("days_since"),
+        *extra,
     )
 
 
+_OWN = {"entity_id", "s", "raw_n", "raw_views", "raw_eng", "n_dates", "first_date", "last_date", "wide_n", "all_short", "last_page"}
+
+
 def cadence(items: DataFrame, as_of: str, narrow=V.METRIC_WINDOW) -> DataFrame:
     """Pace and recency over the newest ``narrow`` list positions."""
     d = newest_n(items.select("entity_id", "item_id", "published_at"), narrow).groupBy("entity_id").agg(
@@ -112,18 +121,28 @@ def clears_ratio(values: Column, floor=V.MIN_VIEWS_PER_ITEM, ratio=V.MIN_VIEWS_R
     return (n < min_n) | (hits >= F.ceil(F.lit(float(ratio)) * n))
 
 
-def off_target_shares(titles: DataFrame, terms: dict[str, list[str]], on_terms: list[str], key: str = "entity_id") -> DataFrame:
-    """Judged titles, off/on hits and categories hit per entity. One regex per category per row."""
-    judged = titles.where(F.length(F.trim(F.coalesce("title", F.lit("")))) > 0)
-    marks = {c: contains_any("title", t) for c, t in terms.items()}
-    flagged = judged.select(key, *[m.alias(f"c_{c}") for c, m in marks.items()], contains_any("title", on_terms).alias("on"))
+def off_target_marks(title: str, terms: dict[str, list[str]], on_terms: list[str]) -> dict[str, Column]:
+    """Per-row hits: one regex per category and one for the on-target terms. Blank titles are not judged."""
+    judged = F.length(F.trim(F.coalesce(F.col(title), F.lit("")))) > 0
+    marks = {f"c_{c}": judged & contains_any(title, t) for c, t in terms.items()}
+    return {"judged": judged, **marks, "on": judged & contains_any(title, on_terms)}
+
+
+def off_target_aggregates(terms: dict[str, list[str]], inside: Column | None = None) -> list[Column]:
+    """Judged titles, off/on hits and categories hit, over the rows marked ``inside``."""
+    ok = F.lit(True) if inside is None else inside
     anyoff = F.lit(False)
-    for c in marks:
+    for c in terms:
         anyoff = anyoff | F.col(f"c_{c}")
-    cats = F.array_compact(F.array(*[F.when(F.max(f"c_{c}"), F.lit(c)) for c in sorted(marks)]))
-    return flagged.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_titles"), F.count_if(anyoff).alias("off_hits"),
-        F.count_if(F.col("on")).alias("on_hits"), cats.alias("categories"))
+    cats = F.array_compact(F.array(*[F.when(F.coalesce(F.max(ok & F.col(f"c_{c}")), F.lit(False)), F.lit(c)) for c in sorted(terms)]))
+    return [F.count_if(ok & F.col("judged")).alias("n_titles"), F.count_if(ok & anyoff).alias("off_hits"),
+            F.count_if(ok & F.col("on")).alias("on_hits"), cats.alias("categories")]
+
+
+def off_target_shares(titles: DataFrame, terms: dict[str, list[str]], on_terms: list[str], key: str = "entity_id") -> DataFrame:
+    """Judged titles, off/on hits and categories hit per entity."""
+    marks = off_target_marks("title", terms, on_terms)
+    return titles.select(key, *[c.alias(n) for n, c in marks.items()]).groupBy(key).agg(*off_target_aggregates(terms)).where("n_titles > 0")
 
 
 def off_target_verdict(bio_signals: Column, restricted: bool = False, min_share=V.OFF_TARGET_MIN_SHARE) -> Column:

@@ -94,16 +94,26 @@ def deep_scan(items: DataFrame, contacts: Column, done: DataFrame | None = None,
         "entity_id", F.col("b.contact").alias("contact"), (-F.col("b.neg")).alias("n_items"), "found_page")
 
 
-def bounded_long_count(items: DataFrame, short: Column, target=V.MIN_LONG_COUNT, page_size=V.WIDE_WINDOW,
-                       pages=V.LONG_SCAN_PAGES, order=None) -> DataFrame:
-    """Proven-long count after the first page that reaches ``target``, else after the last page."""
-    bounded = newest_n(items.withColumn("_s", short), page_size * (pages + 1), order)
-    page = F.floor((F.col("position") - 1) / page_size)
-    per_page = [F.count_if((page == p) & ~F.col("_s")).alias(f"p{p}") for p in range(pages + 1)]
-    counts = bounded.groupBy("entity_id").agg(*per_page, F.max(page).alias("last_page"))
+def paged_counts(position: Column, short: Column, page_size: int, pages: int) -> list[Column]:
+    """Proven-long count of each page, as aggregates ``p0..pN`` and the last page that has items."""
+    page = F.floor((position - 1) / page_size)
+    return [F.count_if((page == p) & ~short).alias(f"p{p}") for p in range(pages + 1)] + [F.max(page).alias("last_page")]
+
+
+def paged_total(target: int, pages: int) -> tuple[Column, Column]:
+    """Count after the first page that reaches ``target`` (else the last page), and pages read."""
     running = [sum((F.col(f"p{i}") for i in range(1, p + 1)), F.col("p0")) for p in range(pages + 1)]
     total, read = running[-1], F.col("last_page")
     for p in reversed(range(pages)):
         total = F.when(running[p] >= target, running[p]).otherwise(total)
         read = F.when(running[p] >= target, F.least(F.lit(p), F.col("last_page"))).otherwise(read)
-    return counts.select("entity_id", total.alias("long_count"), (read + 1).alias("pages_read"))
+    return total, read + 1
+
+
+def bounded_long_count(items: DataFrame, short: Column, target=V.MIN_LONG_COUNT, page_size=V.WIDE_WINDOW,
+                       pages=V.LONG_SCAN_PAGES, order=None) -> DataFrame:
+    """Proven-long count after the first page that reaches ``target``, else after the last page."""
+    bounded = newest_n(items.withColumn("_s", short), page_size * (pages + 1), order)
+    counts = bounded.groupBy("entity_id").agg(*paged_counts(F.col("position"), F.col("_s"), page_size, pages))
+    total, read = paged_total(target, pages)
+    return counts.select("entity_id", total.alias("long_count"), read.alias("pages_read"))
