@@ -176,28 +176,39 @@ def _queue(s, d):
         F.when(F.col("nation_key") < 12, F.concat(F.lit("agency"), "nation_key")).otherwise(F.concat(F.lit("c"), k)).alias("address"), F.col("entity_id").alias("ord"))
 
 
-@query("T7_claim_decision", with_("clm", _KCLM + f""", lg AS (SELECT * FROM kc WHERE ts >= TIMESTAMP '2024-01-28' AND entity_id % 3 <> 0), {_QUEUE},
-  s AS (SELECT DISTINCT entity_id FROM lg WHERE state = 'Sent'), ks AS (SELECT claim_key, {_REASONS}[max({_RANK})] AS kr FROM lg GROUP BY 1),
+def _decision_sql(sent: str) -> str:
+    return with_("clm", _KCLM + f""", {_QUEUE}, s AS (SELECT DISTINCT entity_id FROM kc WHERE {sent}), ks AS (SELECT claim_key, {_REASONS}[max({_RANK})] AS kr FROM kc GROUP BY 1),
   x AS (SELECT q.*, CASE WHEN q.entity_id IS NULL THEN 'no_channel_id' WHEN qualification <> 'Qualified' THEN 'not_qualified' WHEN s.entity_id IS NOT NULL THEN 'already_sent' ELSE kr END AS early FROM q LEFT JOIN s ON s.entity_id = q.entity_id LEFT JOIN ks USING (claim_key)),
   f AS (SELECT address, min(ord) AS ord FROM x WHERE early IS NULL GROUP BY 1), g AS (SELECT ord FROM f ORDER BY ord LIMIT 60)
-  SELECT ord, coalesce(early, CASE WHEN ord IN (SELECT ord FROM g) THEN 'granted' WHEN (SELECT count(*) FROM g) >= 60 AND ord > (SELECT max(ord) FROM g) THEN 'over_daily_cap' ELSE 'duplicate_address' END) AS reason FROM x"""))
-def _(s, d):
-    lg = _keyed_claims(s, d).where("ts >= timestamp '2024-01-28'").where(F.col("entity_id") % 3 != 0)
+  SELECT ord, coalesce(early, CASE WHEN ord IN (SELECT ord FROM g) THEN 'granted' WHEN (SELECT count(*) FROM g) >= 60 AND ord > (SELECT max(ord) FROM g) THEN 'over_daily_cap' ELSE 'duplicate_address' END) AS reason FROM x""")
+
+
+def _decide(s, d, recontact):
     budget = ledger.send_budget(B.claims(s, d).where("state = 'Claimed'"), "2023-01-01", 60)
-    return ledger.claim_decision(_queue(s, d), lg, budget, 60).select("ord", "reason")
+    return ledger.claim_decision(_queue(s, d), _keyed_claims(s, d), budget, 60, allow_recontact=recontact).select("ord", "reason")
+
+
+@query("T7_claim_decision", _decision_sql("state = 'Sent'"))
+def _(s, d):
+    return _decide(s, d, False)
+
+
+@query("T7_claim_decision_recontact", _decision_sql("FALSE"))
+def _(s, d):
+    return _decide(s, d, True)
 
 
-@query("T8_followup", with_("clm", f""", p AS (SELECT entity_id, count(*) AS touches, max(ts) AS last_sent FROM clm WHERE state = 'Sent' AND ts < TIMESTAMP '2024-01-04' GROUP BY 1),
+@query("T8_followup", with_("clm", f""", p AS (SELECT entity_id, count(*) AS touches, max(ts) AS last_sent FROM clm WHERE state = 'Sent' GROUP BY 1),
   e AS (SELECT c_custkey AS entity_id, c_acctbal > 0 AS requested, CASE WHEN c_mktsegment = 'BUILDING' THEN 'New Channel' ELSE 'Qualified' END AS qualification, CASE WHEN c_nationkey < 15 THEN 'No Reply' WHEN c_nationkey < 18 THEN 'Replied' WHEN c_nationkey < 20 THEN 'maybe' END AS reply_state FROM customer),
   r AS (SELECT e.*, touches, CASE WHEN NOT requested THEN 'followup_not_requested' WHEN qualification <> 'Qualified' THEN 'not_qualified' WHEN touches IS NULL THEN 'no_prior_send' WHEN NOT coalesce(reply_state IN ('No Reply', 'Replied', 'Interested', 'Declined'), FALSE) THEN 'reply_state_unknown'
-   WHEN reply_state <> 'No Reply' THEN 'replied' WHEN touches >= 2 THEN 'max_touches_reached' WHEN {days('last_sent', lit('2024-01-31 00:00:00'))} < 28 THEN 'too_soon' ELSE 'granted' END AS reason FROM e LEFT JOIN p USING (entity_id))
+   WHEN reply_state <> 'No Reply' THEN 'replied' WHEN touches >= 14 THEN 'max_touches_reached' WHEN {days('last_sent', lit('2024-01-31 00:00:00'))} < 2 THEN 'too_soon' ELSE 'granted' END AS reason FROM e LEFT JOIN p USING (entity_id))
   SELECT entity_id, reason, reason = 'granted' AS eligible, CASE reason WHEN 'granted' THEN touches + 1 WHEN 'max_touches_reached' THEN touches WHEN 'too_soon' THEN touches ELSE 0 END::BIGINT AS touch_number, CASE reason WHEN 'granted' THEN 'spring-followup' || (touches + 1) ELSE '' END AS next_campaign FROM r"""))
 def _(s, d):
     e, nk = B.entities(s, d), F.col("nation_key")
     ent = e.select("entity_id", (F.col("balance") > 0).alias("requested"), F.when(F.col("niche") == "BUILDING", V.NEW_ENTITY).otherwise(V.QUALIFIED).alias("qualification"),
                    F.when(nk < 15, "No Reply").when(nk < 18, "Replied").when(nk < 20, "maybe").alias("reply_state"))
-    lg = B.claims(s, d).where("ts < timestamp '2024-01-04'").select("entity_id", "state", F.when(F.col("entity_id") % 2 == 0, F.col("ts")).alias("settled_at"), F.col("ts").alias("claimed_at"))
-    return ledger.followup(ent, lg, B.EVENTS_AS_OF, "spring", min_days=28)
+    lg = B.claims(s, d).select("entity_id", "state", F.when(F.col("entity_id") % 2 == 0, F.col("ts")).alias("settled_at"), F.col("ts").alias("claimed_at"))
+    return ledger.followup(ent, lg, B.EVENTS_AS_OF, "spring", min_days=2, max_touches=14)
 
 
 @query("T11_judge", f"""WITH {CONFIRM_SQL} SELECT event_id, CASE WHEN NOT want THEN 'scored' WHEN event_type = 'view' THEN 'scored' WHEN event_type = 'error' THEN 'unavailable' WHEN flagged AND confirmed THEN 'rescued' ELSE 'scored' END AS state,

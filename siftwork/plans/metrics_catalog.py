@@ -62,9 +62,11 @@ def _(s, d):
 
 
 @query("A2_dominant", with_("doc", """ SELECT entity_id, lang, n FROM (SELECT entity_id, lang, count(*) AS n, row_number() OVER (PARTITION BY entity_id ORDER BY count(*) DESC, min(item_id)) AS rn
-  FROM (SELECT * REPLACE (CASE WHEN item_id % 5 < 2 THEN '' ELSE lang END AS lang) FROM doc) WHERE lang <> '' GROUP BY 1, 2) WHERE rn = 1"""))
+  FROM (SELECT entity_id || '-' || seconds // 500 AS entity_id, item_id, CASE WHEN title LIKE 'Th%' THEN '' ELSE lang END AS lang FROM doc) WHERE lang <> '' GROUP BY 1, 2) WHERE rn = 1"""))
 def _(s, d):
-    tagged = B.documents(s, d).select("entity_id", "item_id", F.when(F.col("item_id") % 5 < 2, "").otherwise(F.col("lang")).alias("lang"))
+    docs = B.documents(s, d)
+    tag = F.when(F.col("title").startswith("Th"), "").otherwise(F.col("lang"))
+    tagged = docs.select(F.concat_ws("-", "entity_id", F.floor(F.col("seconds") / 500).cast("string")).alias("entity_id"), "item_id", tag.alias("lang"))
     return metrics.dominant(tagged, "lang", "item_id")
 
 
