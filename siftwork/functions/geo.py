@@ -7,28 +7,30 @@ import re
 from pyspark.sql import Column, functions as F
 
 from . import fixed_values as V
-from .text import as_col, fold_country, strip
+from .text import alternation, as_col, fold_country, let, strip
 
 _INDICATORS = "".join(chr(0x1F1E6 + i) for i in range(26))
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_OUTSIDE_ALTERNATION = "|".join(re.escape(n) for n in sorted(V.OUTSIDE_COUNTRY_NAMES, key=len, reverse=True))
-TITLE_COUNTRY_PATTERN = rf"(?iU)\b({_OUTSIDE_ALTERNATION})\b"
-DESC_LOCATION_PATTERN = rf"(?iU){V.LOCATION_CUE}[^\n]{{0,{V.LOCATION_GAP}}}?\b({_OUTSIDE_ALTERNATION})\b"
+# Longest names first, so that "south korea" wins over "korea".
+_OUTSIDE = "(" + alternation(sorted(V.OUTSIDE_COUNTRY_NAMES, key=len, reverse=True)) + ")"
+TITLE_COUNTRY_PATTERN = rf"(?iU)\b{_OUTSIDE}\b"
+# Every cue starts with one of these characters; other positions are turned away at once.
+DESC_LOCATION_PATTERN = rf"(?iU)(?=[blmhf📍]){V.LOCATION_CUE}[^\n]{{0,{V.LOCATION_GAP}}}?\b{_OUTSIDE}\b"
 
 
 def _lookup(names: dict[str, str], key: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
-    return F.coalesce(F.try_element_at(table, key), F.lit(""))
+    """Code of a name, null when the name is not listed."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), key)
 
 
 def country_code(c) -> Column:
     """Two letters pass through in upper case, known names are looked up, the rest is empty."""
-    t = strip(F.coalesce(as_col(c), F.lit("")))
-    return (
+    names = {**V.INSIDE_COUNTRY_NAMES, **V.OUTSIDE_COUNTRY_NAMES}
+    return let(strip(F.coalesce(as_col(c), F.lit(""))), lambda t: (
         F.when(F.lower(t).isin(*V.UNKNOWN_COUNTRY_VALUES), F.lit(""))
         .when(t.rlike(r"^\p{L}{2}$"), F.upper(t))
-        .otherwise(_lookup({**V.INSIDE_COUNTRY_NAMES, **V.OUTSIDE_COUNTRY_NAMES}, fold_country(t)))
-    )
+        .otherwise(F.coalesce(_lookup(names, fold_country(t)), F.lit("")))
+    ))
 
 
 def _zone(zone) -> Column:
@@ -37,8 +39,7 @@ def _zone(zone) -> Column:
 
 def zone_verdict(country, zone) -> Column:
     """True inside, False outside, null when nothing readable is declared."""
-    code = country_code(country)
-    return F.when(code != "", F.array_contains(_zone(zone), code))
+    return let(country_code(country), lambda code: F.when(code != "", F.array_contains(_zone(zone), code)))
 
 
 def region_of(tag) -> Column:
@@ -54,38 +55,49 @@ def flag_codes(c) -> Column:
     return F.array_sort(F.array_distinct(F.transform(pairs, lambda p: F.translate(p, _INDICATORS, _LETTERS))))
 
 
+def _flag_outside(title, zone) -> Column:
+    z = _zone(zone)
+    return F.array_min(F.filter(flag_codes(title), lambda x: ~F.array_contains(z, x)))
+
+
+def _title_country(title) -> Column:
+    return _lookup(V.OUTSIDE_COUNTRY_NAMES, F.lower(F.regexp_extract(F.coalesce(as_col(title), F.lit("")), TITLE_COUNTRY_PATTERN, 1)))
+
+
+def _desc_location(description) -> Column:
+    return _lookup(V.OUTSIDE_COUNTRY_NAMES, F.lower(F.regexp_extract(F.coalesce(as_col(description), F.lit("")), DESC_LOCATION_PATTERN, 1)))
+
+
 def flag_outside(title, zone) -> Column:
     """Alphabetically first out-of-zone flag in the title, else empty."""
-    z = _zone(zone)
-    return F.coalesce(F.array_min(F.filter(flag_codes(title), lambda x: ~F.array_contains(z, x))), F.lit(""))
+    return F.coalesce(_flag_outside(title, zone), F.lit(""))
 
 
 def title_country(title) -> Column:
-    """Code of an outside country named in the title as a word."""
-    hit = F.regexp_extract(F.coalesce(as_col(title), F.lit("")), TITLE_COUNTRY_PATTERN, 1)
-    return F.when(hit == "", F.lit("")).otherwise(_lookup(V.OUTSIDE_COUNTRY_NAMES, F.lower(hit)))
+    """Code of an outside country named in the title as a word, else empty."""
+    return F.coalesce(_title_country(title), F.lit(""))
 
 
 def desc_location(description) -> Column:
-    """Code of an outside country that follows a location cue on the same line."""
-    hit = F.regexp_extract(F.coalesce(as_col(description), F.lit("")), DESC_LOCATION_PATTERN, 1)
-    return F.when(hit == "", F.lit("")).otherwise(_lookup(V.OUTSIDE_COUNTRY_NAMES, F.lower(hit)))
+    """Code of an outside country that follows a location cue on the same line, else empty."""
+    return F.coalesce(_desc_location(description), F.lit(""))
 
 
-def location_gate(title, description, country, zone) -> Column:
-    """``struct(reason, detail)`` of the first signal that places the entity outside, else null."""
-    outside = "outside_search_zone"
+NO_COUNTRY = "no country set on the channel"
+
 
-    def hit(cond, reason, detail):
-        return F.when(cond, F.struct(F.lit(reason).alias("reason"), detail.alias("detail")))
+def location_gate(title, description, country, zone) -> Column:
+    """``struct(reason, detail)`` of the first signal that places the entity outside, else null.
 
-    flag, named, said = flag_outside(title, zone), title_country(title), desc_location(description)
+    Each signal is null when silent, so the first one that speaks ends the evaluation.
+    """
     declared = strip(F.coalesce(as_col(country), F.lit("")))
-    verdict = zone_verdict(declared, zone)
-    return F.coalesce(
-        hit(flag != "", outside, F.concat(F.lit("title flies the "), flag, F.lit(" flag"))),
-        hit(named != "", outside, F.concat(F.lit("title names "), named)),
-        hit(said != "", outside, F.concat(F.lit("description says "), said)),
-        hit(verdict.isNull(), "no_declared_country", F.lit("no country set on the channel")),
-        hit(~verdict, outside, F.concat(F.lit("declared country "), declared)),
+    detail = F.coalesce(
+        F.concat(F.lit("title flies the "), _flag_outside(title, zone), F.lit(" flag")),
+        F.concat(F.lit("title names "), _title_country(title)),
+        F.concat(F.lit("description says "), _desc_location(description)),
+        let(zone_verdict(declared, zone), lambda inside: F.when(inside.isNull(), F.lit(NO_COUNTRY)).when(
+            ~inside, F.concat(F.lit("declared country "), declared))),
     )
+    return let(detail, lambda d: F.when(d.isNotNull(), F.struct(
+        F.when(d == NO_COUNTRY, F.lit("no_declared_country")).otherwise(F.lit("outside_search_zone")).alias("reason"), d.alias("detail"))))

@@ -105,9 +105,10 @@ def third_party(email, domains=V.THIRD_PARTY_DOMAINS) -> Column:
 
 
 def emails(text, domains=V.THIRD_PARTY_DOMAINS) -> Column:
-    """Addresses in the text in order, without those at third-party domains."""
-    found = F.regexp_extract_all(F.coalesce(as_col(text), F.lit("")), F.lit(f"({V.EMAIL_PATTERN})"), 1)
-    return F.filter(found, lambda e: ~third_party(e, domains))
+    """Addresses in the text in order, without those at third-party domains. Texts without ``@`` are not scanned."""
+    found = F.regexp_extract_all(as_col(text), F.lit(f"({V.EMAIL_PATTERN})"), 1)
+    listed = F.when(F.contains(as_col(text), F.lit("@")), F.filter(found, lambda e: ~third_party(e, domains)))
+    return F.coalesce(listed, F.array().cast("array<string>"))
 
 
 def first_email(text, domains=V.THIRD_PARTY_DOMAINS) -> Column:

@@ -28,14 +28,31 @@ def fold_case(c) -> Column:
     return F.replace(F.lower(as_col(c)), F.lit("ß"), F.lit("ss"))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` refers to it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def alternation(terms) -> str:
+    """``terms`` as one alternation with first letters factored out; the order within a letter is kept.
+
+    A look-ahead on the possible first letters turns most positions of a long text away at once.
+    """
+    heads: dict[str, list[str]] = {}
+    for t in terms:
+        heads.setdefault(t[0], []).append(t[1:])
+    branches = [re.escape(h) + "(?:" + "|".join(re.escape(t) for t in rest) + ")" for h, rest in heads.items()]
+    return "(?=[" + "".join(re.escape(h) for h in heads) + "])(?:" + "|".join(branches) + ")"
+
+
 def any_word(terms) -> str:
     """One pattern matching any of ``terms`` on word boundaries, whatever the case."""
-    return r"(?iU)\b(?:" + "|".join(re.escape(t) for t in terms) + r")\b"
+    return r"(?iU)\b" + alternation([t.lower() for t in terms]) + r"\b"
 
 
 def contains_any(c, terms) -> Column:
     """Substring test against a term list, as one alternation (terms are lower case)."""
-    return F.lower(as_col(c)).rlike("|".join(re.escape(t) for t in terms))
+    return F.lower(as_col(c)).rlike(alternation(terms))
 
 
 def normalize_handle(c) -> Column:
@@ -145,19 +162,19 @@ def _range_class(ranges) -> str:
 
 def script_chars(c, ranges=V.NON_LATIN_RANGES) -> Column:
     """How many characters of the text lie in the given code-point ranges."""
-    return F.length(F.regexp_replace(F.coalesce(as_col(c), F.lit("")), f"[^{_range_class(ranges)}]", ""))
+    t = F.coalesce(as_col(c), F.lit(""))
+    return F.length(t) - F.length(F.regexp_replace(t, f"[{_range_class(ranges)}]+", ""))
 
 
 def non_latin(c, min_chars=V.NON_LATIN_MIN_CHARS, min_ratio=V.NON_LATIN_MIN_RATIO, ranges=V.NON_LATIN_RANGES) -> Column:
     """Text substantially in a listed script: enough characters *and* a large enough share."""
-    t = strip(F.coalesce(as_col(c), F.lit("")))
-    n = script_chars(t, ranges)
-    return (n >= min_chars) & (F.coalesce(F.try_divide(n, F.length(t)), F.lit(0.0)) >= min_ratio)
+    counted = F.struct(script_chars(c, ranges).alias("n"), F.length(strip(F.coalesce(as_col(c), F.lit("")))).alias("size"))
+    return let(counted, lambda x: (x["n"] >= min_chars) & (F.coalesce(F.try_divide(x["n"], x["size"]), F.lit(0.0)) >= min_ratio))
 
 
 def excluded_topic(texts, topics=V.EXCLUDED_TOPIC_TERMS) -> Column:
     """First category, in the given order, whose terms occur as words in the joined texts."""
-    blob = F.concat_ws(" ", *[F.when(F.length(as_col(t)) > 0, as_col(t)) for t in texts])
+    blob = F.concat_ws(" ", *[F.nullif(as_col(t), F.lit("")) for t in texts])
     return F.coalesce(*[F.when(blob.rlike(any_word(terms)), F.lit(cat)) for cat, terms in topics.items()])
 
 

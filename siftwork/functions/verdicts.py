@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from . import fixed_values as V
-from .text import as_col, strip
+from .text import as_col, let, strip
 
 ENVELOPE = (
     "struct<candidates:array<struct<finishReason:string,content:struct<parts:array<struct<text:string>>>>>,"
@@ -17,36 +17,38 @@ VERDICT = (
 )
 
 
-def verdict_text(body) -> Column:
-    """Text of all parts of the first candidate."""
-    env = F.from_json(as_col(body), ENVELOPE)
+def verdict_text(env: Column) -> Column:
+    """Text of all parts of the first candidate of a parsed body."""
     parts = F.get(env["candidates"], 0)["content"]["parts"]
     return strip(F.array_join(F.transform(parts, lambda p: F.coalesce(p["text"], F.lit(""))), ""))
 
 
 def valid_verdict(body, verdict_key: str = "matches") -> Column:
-    """Reason code of a response body: ``ok``, ``malformed``, ``max_tokens`` or ``safety_blocked``."""
-    env = F.from_json(as_col(body), ENVELOPE)
-    finish = F.upper(F.coalesce(F.get(env["candidates"], 0)["finishReason"], F.lit("")))
-    text = F.coalesce(verdict_text(body), F.lit(""))
-    flag = F.get_json_object(text, f"$.{verdict_key}")
-    raw_conf = F.get_json_object(text, "$.confidence")
-    conf = raw_conf.try_cast("double")
-    quoted = text.rlike(r'"confidence"\s*:\s*"') | text.rlike(rf'"{verdict_key}"\s*:\s*"')
-    results = F.get_json_object(text, "$.criteria_results")
-    well_formed = (
-        F.coalesce(flag.isin("true", "false"), F.lit(False))
-        & F.coalesce((conf >= 0) & (conf <= 1), F.lit(False))
-        & F.coalesce(results.startswith("["), F.lit(False))
-        & ~quoted
-    )
-    return (
-        F.when(F.coalesce(F.size(env["candidates"]), F.lit(-1)) <= 0, F.lit("malformed"))
-        .when(finish == "MAX_TOKENS", F.lit("max_tokens"))
-        .when(finish.isin("SAFETY", "RECITATION", "PROHIBITED_CONTENT", "BLOCKLIST"), F.lit("safety_blocked"))
-        .when(well_formed, F.lit("ok"))
-        .otherwise(F.lit("malformed"))
-    )
+    """Reason code of a response body: ``ok``, ``malformed``, ``max_tokens`` or ``safety_blocked``.
+
+    The envelope and the verdict inside it are each parsed once.
+    """
+    raw = f"struct<{verdict_key}:string,confidence:string,criteria_results:string>"
+
+    def well_formed(x):
+        conf, v, text = x["v"]["confidence"].try_cast("double"), x["v"], x["text"]
+        quoted = text.rlike(rf'"(?:confidence|{verdict_key})"\s*:\s*"')
+        return (
+            F.coalesce(v[verdict_key].isin("true", "false") & (conf >= 0) & (conf <= 1) & v["criteria_results"].startswith("["), F.lit(False)) & ~quoted
+        )
+
+    def code(env):
+        finish = F.upper(F.coalesce(F.get(env["candidates"], 0)["finishReason"], F.lit("")))
+        parsed = let(F.coalesce(verdict_text(env), F.lit("")), lambda t: F.struct(t.alias("text"), F.from_json(t, raw).alias("v")))
+        return (
+            F.when(F.coalesce(F.size(env["candidates"]), F.lit(-1)) <= 0, F.lit("malformed"))
+            .when(finish == "MAX_TOKENS", F.lit("max_tokens"))
+            .when(finish.isin("SAFETY", "RECITATION", "PROHIBITED_CONTENT", "BLOCKLIST"), F.lit("safety_blocked"))
+            .when(let(parsed, well_formed), F.lit("ok"))
+            .otherwise(F.lit("malformed"))
+        )
+
+    return let(F.from_json(as_col(body), ENVELOPE), code)
 
 
 def verdict_confirms(payload, min_confidence=V.MIN_CONFIDENCE, min_ratio=V.MIN_CRITERIA_RATIO, required=()) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from ..sources import bindings as B, tables
 from . import screening
 from .joins_catalog import with_email
@@ -38,7 +39,7 @@ def screened(s, d):
     return screening.screen(
         c, B.items(s, d), RULES, B.ITEMS_AS_OF, B.suppression_rows(s, d),
         tables.multi_source_index(B.external_tables(s, d)[2:] + B.external_tables(s, d)[1:2]).where("not (kind = 'handle' and key < 'customer_000000700')"),
-        B.entities(s, d).where("balance < -500").select("entity_id"), B.entities(s, d).where("niche = 'MACHINERY'").select("entity_id"))
+        B.entities(s, d).where("balance < -500").select("entity_id"), B.entities(s, d).where("niche = 'MACHINERY'").select("entity_id"), scratch_dir(s, "screen-stage"))
 
 
 _HAS = lambda terms: "(" + " OR ".join(f"contains(lower(title), {lit(t)})" for t in terms) + ")"
@@ -94,9 +95,9 @@ _AUDIT = _BASE + """, aud AS (SELECT entity_id, status, CASE WHEN topic IS NOT N
 
 @query("A21_audit", with_("ent itm pos doc", _AUDIT + " SELECT entity_id, status, verdict, verdict NOT IN ('pass', 'unreachable') AND status = 'New' AS deletable FROM aud", recursive=True))
 def _(s, d):
-    return screening.audit(candidates(s, d), B.items(s, d), RULES, B.ITEMS_AS_OF).select("entity_id", "status", "verdict", "deletable")
+    return screening.audit(candidates(s, d), B.items(s, d), RULES, B.ITEMS_AS_OF, scratch_dir(s, "audit-stage")).select("entity_id", "status", "verdict", "deletable")
 
 
 @query("A21_audit_counts", with_("ent itm pos doc", _AUDIT + " SELECT verdict, count(*) AS n, CAST(count_if(verdict NOT IN ('pass', 'unreachable') AND status = 'New') AS BIGINT) AS deletable, CAST(count_if(verdict NOT IN ('pass', 'unreachable') AND status <> 'New') AS BIGINT) AS locked FROM aud GROUP BY 1", recursive=True))
 def _(s, d):
-    return screening.audit_counts(screening.audit(candidates(s, d), B.items(s, d), RULES, B.ITEMS_AS_OF))
+    return screening.audit_counts(screening.audit(candidates(s, d), B.items(s, d), RULES, B.ITEMS_AS_OF, scratch_dir(s, "audit-stage")))

@@ -40,30 +40,36 @@ def _entity_stage(rules: Rules) -> Column:
     tv = text.broadcaster("title", "description", rules.broadcast_names, rules.broadcast_phrases)
     n_script = text.script_chars("description", rules.script_ranges)
     return F.coalesce(
-        hit(topic.isNotNull(), "excluded_topic", topic),
-        hit(tv.isNotNull(), "broadcast_tv", tv),
+        text.let(topic, lambda t: hit(t.isNotNull(), "excluded_topic", t)),
+        text.let(tv, lambda t: hit(t.isNotNull(), "broadcast_tv", t)),
         hit(text.non_latin("description", ranges=rules.script_ranges), "non_english_description",
             F.concat(n_script.cast("string"), F.lit(" non-Latin script chars in the bio"))),
         geo.location_gate("title", "description", "country", rules.zone),
     )
 
 
-def _with_metrics(rows: DataFrame, items: DataFrame, as_of: str, rules: Rules) -> DataFrame:
-    """Join the metrics of rows that are still open. Items of rejected entities are never windowed."""
-    open_ids = rows.where("early is null").select("entity_id")
+def _with_metrics(rows: DataFrame, items: DataFrame, as_of: str, rules: Rules, only_open: bool) -> DataFrame:
+    """Join the metrics. With ``only_open``, items of entities already rejected are not windowed at all."""
     extra = {}
     if rules.on_terms:
         terms = rules.off_terms if rules.off_categories is None else {c: t for c, t in rules.off_terms.items() if c in rules.off_categories}
         extra = dict(row_columns=metrics.off_target_marks("title", terms, rules.on_terms),
                      aggregates=metrics.off_target_aggregates(terms, F.col("position") <= V.WIDE_WINDOW))
-    m = metrics.entity_metrics(items.join(open_ids, "entity_id", "left_semi"), as_of, long_target=rules.min_long, long_pages=rules.long_pages, **extra)
+    if only_open:
+        items = items.join(rows.where("early is null").select("entity_id"), "entity_id", "left_semi")
+    m = metrics.entity_metrics(items, as_of, long_target=rules.min_long, long_pages=rules.long_pages, **extra)
     return rows.join(m, "entity_id", "left")
 
 
 def screen(entities: DataFrame, items: DataFrame, rules: Rules, as_of: str, suppression: DataFrame | None = None,
-           external: DataFrame | None = None, known: DataFrame | None = None, rescued: DataFrame | None = None) -> DataFrame:
+           external: DataFrame | None = None, known: DataFrame | None = None, rescued: DataFrame | None = None,
+           stage: str | None = None) -> DataFrame:
     """Run every rule in contract order; the first failing one is the row's ``reason`` (null: passed).
 
+    The rules that need the entity row alone come first. With a ``stage`` folder their outcome is
+    written there once and read back: the text rules run once, only the items of entities still
+    open are windowed, and a lost executor does not send the job back to the raw texts.
+
     ``entities``: entity_id, title, handle, description, country, language, subscribers, published_at,
     email, links (null: unread). ``suppression`` rows fail closed. ``external`` is a multi-source index,
     ``known`` a set of ids, ``rescued`` the ids a verdict re-admits past the off-target rule.
@@ -90,7 +96,11 @@ def screen(entities: DataFrame, items: DataFrame, rules: Rules, as_of: str, supp
         hit(F.col("known_hit").isNotNull(), "duplicate", F.col("known_hit")),
         _entity_stage(rules),
     )
-    j = _with_metrics(rows.withColumn("early", early), items, as_of, rules)
+    rows = rows.withColumn("early", early)
+    if stage:
+        rows.write.mode("overwrite").parquet(stage)
+        rows = rows.sparkSession.read.schema(rows.schema).parquet(stage)
+    j = _with_metrics(rows, items, as_of, rules, only_open=bool(stage))
     none = F.lit("").alias("detail")
     gate = gates.hard_gate(item_count="wide_n", **rules.gate)
     long = gates.longform_gate("long_total", rules.min_long)
@@ -116,10 +126,10 @@ def screen(entities: DataFrame, items: DataFrame, rules: Rules, as_of: str, supp
     )
 
 
-def audit(tracked: DataFrame, items: DataFrame, rules: Rules, as_of: str) -> DataFrame:
+def audit(tracked: DataFrame, items: DataFrame, rules: Rules, as_of: str, stage: str | None = None) -> DataFrame:
     """Re-screen published rows by the gates alone: verdict, detail and whether the row may be deleted."""
     only_gates = Rules(**{**rules.__dict__, "on_terms": []})
-    s = screen(tracked, items, only_gates, as_of)
+    s = screen(tracked, items, only_gates, as_of, stage=stage)
     late = F.col("reason").isin("no_social_presence", "blocked")
     verdict = F.when(F.col("reason").isNull() | late, F.lit("pass")).otherwise(F.col("reason"))
     r = s.withColumn("verdict", verdict)
