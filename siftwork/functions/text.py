@@ -13,9 +13,13 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every Unicode white-space character.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(chr(c) for c in range(0x2000, 0x200B))
+
+
 def strip(c) -> Column:
     """Trim every kind of whitespace, not only spaces."""
-    return F.regexp_replace(as_col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(as_col(c), F.lit(WHITE_SPACE))
 
 
 def blank(c) -> Column:

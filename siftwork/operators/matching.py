@@ -25,23 +25,21 @@ def suppression_keys(rows: DataFrame, name="name", url="url", email="email") ->
     return keys.select("k.kind", "k.key").where("key <> ''").distinct()
 
 
-def fail_closed(df: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """``df`` unchanged, but the job fails when the suppression list has no rows or no usable key.
+def suppression_index(rows: DataFrame, name="name", url="url", email="email") -> DataFrame:
+    """The keys to match against, failing the job when the list has no rows or no usable key.
 
-    The check is one aggregated row. Its verdict is the join key, so the plan cannot drop it,
-    and it sits on the entity side, so an empty list cannot short-circuit it.
+    The check rides along as one more row of the index. Its ``kind`` is computed from the counts,
+    so the filter that removes it must run, and an index that turns out empty has always been
+    through the check first: an empty list cannot silently let everything pass.
     """
+    keys = suppression_keys(rows, name, url, email)
+    counts = rows.agg(F.count(F.lit(1)).alias("r"), F.lit(1).alias("_j")).join(keys.agg(F.count(F.lit(1)).alias("k"), F.lit(1).alias("_j")), "_j")
     checked = (
-        rows.agg(F.count(F.lit(1)).alias("r"), F.lit(1).alias("_j"))
-        .join(keys.agg(F.count(F.lit(1)).alias("k"), F.lit(1).alias("_j")), "_j")
-        .select(
-            F.when(F.col("r") == 0, F.raise_error(F.lit("suppression list has no rows")).cast("int"))
-            .when(F.col("k") == 0, F.raise_error(F.lit("suppression list has no usable key")).cast("int"))
-            .otherwise(F.lit(1)).alias("_ok")
-        )
+        F.when(F.col("r") == 0, F.raise_error(F.lit("suppression list has no rows")).cast("string"))
+        .when(F.col("k") == 0, F.raise_error(F.lit("suppression list has no usable key")).cast("string"))
+        .otherwise(F.lit("checked"))
     )
-    # The guard side is exactly one row, whatever the data.
-    return df.withColumn("_ok", F.lit(1)).join(F.broadcast(checked), "_ok", "left_semi").drop("_ok")
+    return keys.unionByName(counts.select(checked.alias("kind"), F.lit("checked").alias("key"))).where("kind <> 'checked'")
 
 
 def entity_keys(df: DataFrame, id_col="entity_id", handle=None, email=None, name=None, for_external=False) -> DataFrame:
@@ -62,9 +60,8 @@ def entity_keys(df: DataFrame, id_col="entity_id", handle=None, email=None, name
 
 def suppression_hits(df: DataFrame, rows: DataFrame, id_col="entity_id", handle=None, email=None, name=None) -> DataFrame:
     """One row per blocked entity with the first matching key in the order handle, email, name."""
-    keys = suppression_keys(rows)
-    mine = fail_closed(entity_keys(df, id_col, handle, email, name), rows, keys)
-    return mine.join(keys, ["kind", "key"]).groupBy(id_col).agg(F.min_by("detail", "rank").alias("hit"))
+    mine = entity_keys(df, id_col, handle, email, name)
+    return mine.join(suppression_index(rows), ["kind", "key"]).groupBy(id_col).agg(F.min_by("detail", "rank").alias("hit"))
 
 
 def suppress(df: DataFrame, rows: DataFrame, id_col="entity_id", handle=None, email=None, name=None) -> DataFrame:

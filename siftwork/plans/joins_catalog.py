@@ -173,9 +173,7 @@ def _(s, d):
 
 @query("J2_suppression_index", with_("sup supkey", " SELECT kind, key FROM supkey"))
 def _(s, d):
-    rows = B.suppression_rows(s, d)
-    keys = matching.suppression_keys(rows)
-    return matching.fail_closed(keys, rows, keys)
+    return matching.suppression_index(B.suppression_rows(s, d))
 
 
 @query("J3_match_external", with_("ent ext", f""" SELECT entity_id, arg_min(source, rank * 10 + source_rank) AS source FROM (SELECT entity_id, 'handle' AS kind, 0 AS rank, handle AS key FROM ent

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "siftwork", master: str | None = None, cores: int | None = None) -> SparkSession:
+def build_session(app: str = "siftwork", master: str | None = None, cores: int | None = None, checkpoint_dir: str | None = None) -> SparkSession:
     """A session with the settings every operator here assumes.
 
     ``master`` stays unset on a cluster; tests and the bench pass ``local[n]``.
@@ -18,6 +18,8 @@ def build_session(app: str = "siftwork", master: str | None = None, cores: int |
     if master:
         b = b.master(master).config("spark.driver.memory", os.environ.get("SIFTWORK_DRIVER_MEMORY", "8g"))
         b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    if checkpoint_dir:
+        b = b.config("spark.checkpoint.dir", checkpoint_dir)
     if cores:
         b = b.config("spark.sql.shuffle.partitions", str(cores))
     b = (
