@@ -75,6 +75,14 @@ def test_suppression_fails_closed(spark, rows, data):
         matching.suppression_index(lst).collect()
 
 
+def test_suppression_fails_closed_on_an_empty_file(spark, rows, tmp_path):
+    path = str(tmp_path / "list")
+    spark.createDataFrame([], LIST).write.parquet(path)
+    big = spark.range(1000).select(F.col("id").alias("entity_id"), F.lit("h").alias("handle"), F.lit("n").alias("title"))
+    with pytest.raises(Exception, match="suppression list"):
+        matching.suppress(big, spark.read.schema(LIST).parquet(path), handle="handle", name="title").count()
+
+
 def test_external_handle_beats_name_and_earliest_source_wins(rows):
     a = rows("link string, n string", ("https://v/@one", "Shared  Name"))
     b = rows("u string, d string", ("@one", "x"), ("@two", "shared name"))
