@@ -33,44 +33,37 @@ def scan_end(rows: DataFrame, key: str, order: list[str], kind: Column, q: int,
     flagged rows, and ends when ``f`` flagged are taken as well, after ``patience`` rows in a
     row without a flagged one, or at once when no flagged row is possible.
 
-    No key's rows meet in one window: the cut-over is the q-th qualified row, at most ``f``
-    flagged rows after it matter, and these split the rest into stretches of which only the
-    first ``patience`` rows are ranked.
+    No key's rows meet in one window. One limited window finds the q-th qualified row (the
+    cut-over) and the first ``f`` flagged rows. These flagged rows split what follows the
+    cut-over into stretches, of which only the first ``patience`` rows are ranked.
     """
     base = rows.select(F.col(key).alias("key"), F.struct(*order).alias("ord"), kind.alias("kind"))
-    w = Window.partitionBy("key").orderBy("ord")
-    if q > 0:
-        nth = base.where("kind = 'qualified'").withColumn("rn", F.row_number().over(w)).where(F.col("rn") == q)
-        cut = nth.select("key", F.col("ord").alias("cut"))
-    else:
-        cut = base.groupBy("key").agg(F.min("ord").alias("first")).select("key", F.when(F.lit(False), F.col("first")).alias("cut"))
-    placed = base.join(cut, "key")
-    in_tail = F.col("cut").isNull() | (F.col("ord") > F.col("cut"))
-    before = placed.groupBy("key").agg(F.first("cut").alias("cut"), F.count_if(~in_tail & (F.col("kind") == "flagged")).alias("had"))
+    limit = max(q, f, 1)
+    by_kind = Window.partitionBy("key", "kind").orderBy("ord")
+    first = base.where(F.col("kind").isin("qualified", "flagged")).withColumn("rn", F.row_number().over(by_kind)).where(F.col("rn") <= limit)
+    marks = first.groupBy("key").agg(
+        F.max(F.when((F.col("kind") == "qualified") & (F.col("rn") == q), F.col("ord"))).alias("cut"),
+        F.sort_array(F.collect_list(F.when((F.col("kind") == "flagged") & (F.col("rn") <= f), F.col("ord")))).alias("marks"))  # at most f
+    open_at_start = F.lit(q == 0)
+    full_mark = F.get(F.col("marks"), f - 1) if f > 0 else F.col("cut")
+    full = F.when(F.col("cut").isNotNull(), F.greatest("cut", full_mark) if f > 0 else F.col("cut")).when(open_at_start, full_mark)
+    if f > 0:
+        # ``greatest`` skips nulls: without an f-th flagged row the budget never fills.
+        full = F.when(full_mark.isNotNull(), full)
     if not flagged_possible or f == 0:
-        stop = before.select("key", F.col("cut").alias("stop"), F.lit("cut_over").alias("why"))
-        ended = stop
+        ended = marks.select("key", F.col("cut").alias("stop"), F.when(F.col("cut").isNotNull(), "cut_over").alias("why"))
     else:
-        flagged = placed.where(in_tail & (F.col("kind") == "flagged")).select("key", "ord")
-        marks = flagged.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= f).groupBy("key").agg(
-            F.sort_array(F.collect_list("ord")).alias("marks"))
-        plan = before.join(marks, "key", "left")
-        room = F.lit(f) - F.col("had")
-        full = F.when(room > 0, F.get(F.col("marks"), (room - 1).cast("int"))).otherwise(F.col("cut"))
-        rest = placed.where(in_tail & (F.coalesce(F.col("kind"), F.lit("")) != "flagged")).join(marks, "key", "left")
+        rest = base.where(F.coalesce(F.col("kind"), F.lit("")) != "flagged").join(marks, "key", "left").where(open_at_start | (F.col("ord") > F.col("cut")))
         stretch = F.coalesce(F.size(F.filter("marks", lambda m: m < F.col("ord"))), F.lit(0))
         sw = Window.partitionBy("key", "stretch").orderBy("ord")
         tired = (
             rest.select("key", "ord", stretch.alias("stretch")).withColumn("rn", F.row_number().over(sw))
             .where(F.col("rn") == patience).groupBy("key").agg(F.min("ord").alias("tired"))
         )
-        at = plan.join(tired, "key", "left").select("key", full.alias("full"), "tired", (room <= 0).alias("already"))
-        ended = at.select(
-            "key",
-            F.when(F.col("already"), F.col("full")).otherwise(F.least("full", "tired")).alias("stop"),
-            F.when(F.col("already"), F.lit("both_full")).when(F.col("tired") < F.col("full"), F.lit("patience"))
-            .when(F.col("full").isNotNull(), F.lit("both_full")).when(F.col("tired").isNotNull(), F.lit("patience")).alias("why"),
-        )
+        ended = marks.select("key", full.alias("full")).join(tired, "key", "full_outer").select(
+            "key", F.least("full", "tired").alias("stop"),
+            F.when(F.col("tired") < F.coalesce("full", "tired"), F.lit("patience")).when(F.col("full").isNotNull(), F.lit("both_full"))
+            .when(F.col("tired").isNotNull(), F.lit("patience")).alias("why"))
     out = base.join(ended, "key", "left")
     never = F.lit(q == 0 and (f == 0 or not flagged_possible))
     scanned = ~never & (F.col("stop").isNull() | (F.col("ord") <= F.col("stop")))

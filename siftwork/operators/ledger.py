@@ -16,7 +16,7 @@ def units(amount) -> Column:
 
 
 def can_afford(events: DataFrame, day_cap: float, month_cap: float, tz=V.BUDGET_ZONE, balance: float | None = None,
-               account="account", ts="ts", event_id="event_id", amount="amount") -> DataFrame:
+               account="account", ts="ts", event_id="event_id", amount="amount", splits: int = 16) -> DataFrame:
     """Accept each event unless the day or month total would pass its cap; refused events add nothing.
 
     Returns ``event_id, accepted, day_total, month_total`` (totals after an accepted paid event).
@@ -24,7 +24,8 @@ def can_afford(events: DataFrame, day_cap: float, month_cap: float, tz=V.BUDGET_
     The fold is sequential per account and month, so its input is bounded first. Of the events of
     one account, day and *amount* ``c`` at most ``cap // c`` can be accepted, and once one is
     refused every later one of that amount is too: only the first ``cap // c + 1`` need folding,
-    however many events a hot account has. Free events and single events above a cap or the
+    however many events a hot account has. They are found in two steps, first within ``splits``
+    random parts of a group, so a hot group is ranked by many tasks. Free events and single events above a cap or the
     balance never touch the totals.
     """
     cap_d, cap_m = int(round(day_cap * UNIT)), int(round(month_cap * UNIT))
@@ -33,8 +34,14 @@ def can_afford(events: DataFrame, day_cap: float, month_cap: float, tz=V.BUDGET_
         F.col(account).alias("account"), F.col(event_id).alias("event_id"), F.col(ts).alias("ts"), units(amount).alias("u"),
         local_day(ts, tz).alias("day"))
     payable = e.where((F.col("u") > 0) & (F.col("u") <= ceiling))
-    w = Window.partitionBy("account", "day", "u").orderBy("ts", "event_id")
-    may = payable.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= F.floor(F.lit(cap_d) / F.col("u")) + 1)
+    enough = F.floor(F.lit(cap_d) / F.col("u")) + 1
+
+    def first_of(df, *keys):
+        w = Window.partitionBy(*keys).orderBy("ts", "event_id")
+        return df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= enough)
+
+    parts = first_of(payable.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(splits))), "account", "day", "u", "part")
+    may = first_of(parts, "account", "day", "u")
     start = F.struct(
         F.lit(None).cast("date").alias("day"), F.lit(0).cast("bigint").alias("d"), F.lit(0).cast("bigint").alias("m"),
         F.array().cast("array<struct<event_id:bigint,d:bigint,m:bigint>>").alias("ok"))
@@ -117,8 +124,10 @@ def stranded(states: DataFrame, as_of: str, minutes: int = V.STRANDED_AFTER_MINU
 
 def send_budget(claims: DataFrame, day: str, cap: int = V.SEND_DAILY_CAP, tz=V.BUDGET_ZONE, ts="ts") -> DataFrame:
     """Claims already made on the local day and what the cap leaves."""
-    n = F.count_if(local_day(ts, tz) == F.lit(day).cast("date"))
-    return claims.agg(n.alias("claimed"), F.greatest(F.lit(0), F.lit(cap) - n).cast("bigint").alias("remaining"))
+    d = F.lit(day).cast("date")
+    near = claims.where((F.col(ts) >= F.date_sub(d, 1).cast("timestamp")) & (F.col(ts) < F.date_add(d, 3).cast("timestamp")))
+    n = F.count_if(local_day(ts, tz) == d)
+    return near.agg(n.alias("claimed"), F.greatest(F.lit(0), F.lit(cap) - n).cast("bigint").alias("remaining"))
 
 
 def claim_decision(queue: DataFrame, ledger: DataFrame, remaining: DataFrame, cap: int = V.SEND_DAILY_CAP,
@@ -144,13 +153,11 @@ def claim_decision(queue: DataFrame, ledger: DataFrame, remaining: DataFrame, ca
     open_rows = j.where("early is null")
     firsts = open_rows.groupBy("address").agg(F.min("ord").alias("ord"))
     top = firsts.orderBy("ord").limit(cap).withColumn("rn", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("ord")))
-    granted = top.withColumn("_j", F.lit(1)).join(remaining.select("remaining", F.lit(1).alias("_j")), "_j").where("rn <= remaining")
-    bound = granted.agg(F.max("ord").alias("last_ord"), F.count(F.lit(1)).alias("n_granted"), F.lit(1).alias("_j")).join(
-        remaining.select("remaining", F.lit(1).alias("_j")), "_j")
-    # ``bound`` is one aggregated row.
-    d = j.withColumn("_j", F.lit(1)).join(F.broadcast(bound), "_j").join(
-        granted.select(F.col("ord").alias("_g")), F.col("ord") == F.col("_g"), "left")
-    spent = (F.col("n_granted") >= F.col("remaining")) & (F.col("last_ord").isNull() | (F.col("ord") > F.col("last_ord")))
+    left = remaining.select("remaining").scalar()
+    granted = top.where(F.col("rn") <= left)
+    last_ord, n_granted = granted.agg(F.max("ord")).scalar(), granted.agg(F.count(F.lit(1))).scalar()
+    d = j.join(granted.select(F.col("ord").alias("_g")), F.col("ord") == F.col("_g"), "left")
+    spent = (n_granted >= left) & (last_ord.isNull() | (F.col("ord") > last_ord))
     reason = F.coalesce(
         "early",
         F.when(F.col("_g").isNotNull(), F.lit("granted")).when(spent, F.lit("over_daily_cap")).otherwise(F.lit("duplicate_address")))

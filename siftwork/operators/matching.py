@@ -33,7 +33,8 @@ def suppression_index(rows: DataFrame, name="name", url="url", email="email") ->
     through the check first: an empty list cannot silently let everything pass.
     """
     keys = suppression_keys(rows, name, url, email)
-    counts = rows.agg(F.count(F.lit(1)).alias("r"), F.lit(1).alias("_j")).join(keys.agg(F.count(F.lit(1)).alias("k"), F.lit(1).alias("_j")), "_j")
+    both = rows.select(F.lit(1).alias("r"), F.lit(0).alias("k")).unionByName(keys.select(F.lit(0).alias("r"), F.lit(1).alias("k")))
+    counts = both.agg(F.coalesce(F.sum("r"), F.lit(0)).alias("r"), F.coalesce(F.sum("k"), F.lit(0)).alias("k"))
     checked = (
         F.when(F.col("r") == 0, F.raise_error(F.lit("suppression list has no rows")).cast("string"))
         .when(F.col("k") == 0, F.raise_error(F.lit("suppression list has no usable key")).cast("string"))
@@ -80,10 +81,14 @@ def drop_known(candidates: DataFrame, ids: DataFrame, id_col="entity_id") -> Dat
     return candidates.join(ids.select(F.col(ids.columns[0]).alias(id_col)), id_col, "left_anti")
 
 
+def _prioritised(index: DataFrame, hint: str) -> DataFrame:
+    hinted = F.contains(F.lower("source"), F.lit(hint.lower())) if hint else F.lit(False)
+    return index.select("key", "source", F.when(hinted, 0).otherwise(1).alias("priority"))
+
+
 def rank_external(index: DataFrame, hint: str) -> DataFrame:
     """Handles with a priority: sources whose name contains the hint first, then alphabetical."""
-    hinted = F.contains(F.lower("source"), F.lit(hint.lower())) if hint else F.lit(False)
-    return index.select("key", "source", F.when(hinted, 0).otherwise(1).alias("priority")).orderBy("priority", "key")
+    return _prioritised(index, hint).orderBy("priority", "key")
 
 
 def exclude_set(must_keep: list[DataFrame], external: DataFrame, hint: str, cap: int = V.EXCLUDE_CAP) -> DataFrame:
@@ -94,12 +99,11 @@ def exclude_set(must_keep: list[DataFrame], external: DataFrame, hint: str, cap:
     """
     keep = reduce(DataFrame.unionByName, [d.select(F.col(d.columns[0]).alias("handle")) for d in must_keep])
     keep = keep.where("handle <> ''").distinct()
-    room = keep.agg(F.greatest(F.lit(0), F.lit(cap) - F.count(F.lit(1))).alias("room"), F.lit(1).alias("_j"))
-    ranked = rank_external(external, hint).join(keep, F.col("key") == keep.handle, "left_anti")
+    room = keep.agg(F.greatest(F.lit(0), F.lit(cap) - F.count(F.lit(1)))).scalar()
+    ranked = _prioritised(external, hint).join(keep, F.col("key") == keep.handle, "left_anti")
     top = ranked.orderBy("priority", "key").limit(cap)
-    numbered = top.select(
-        F.col("key").alias("handle"), F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("priority", "key")).alias("rn"), F.lit(1).alias("_j"))
-    fits = numbered.join(room, "_j").where("rn <= room").select("handle", F.lit("external").alias("origin"))
+    numbered = top.withColumn("rn", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("priority", "key")))
+    fits = numbered.where(F.col("rn") <= room).select(F.col("key").alias("handle"), F.lit("external").alias("origin"))
     return keep.select("handle", F.lit("must_keep").alias("origin")).unionByName(fits)
 
 

@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.shape import local_day
-from ..functions.text import blank
+from ..functions.text import blank, normalize_handle
 from .ledger import UNIT, units
 from .matching import suppression_keys
 
 
 def added_on(df: DataFrame, day: str, tz=V.BUDGET_ZONE, ts="ts", by=()) -> DataFrame:
-    return df.where(local_day(ts, tz) == F.lit(day).cast("date")).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    """Rows of one local day. The wide range on the raw time reaches the scan and prunes files by their day."""
+    d = F.lit(day).cast("date")
+    near = (F.col(ts) >= F.date_sub(d, 1).cast("timestamp")) & (F.col(ts) < F.date_add(d, 3).cast("timestamp"))
+    return df.where(near & (local_day(ts, tz) == d)).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
 
 
 def drop_counts(df: DataFrame, reason: str = "reason") -> DataFrame:
@@ -47,12 +50,9 @@ def coverage(rows: DataFrame, email="email", source="source", reachable="reachab
     """Contacts found by source, how many are free mail, and the found share of reachable rows."""
     found = ~blank(email)
     free = F.lower(F.substring_index(F.col(email), "@", -1)).isin(*freemail)
-    total = rows.agg(F.count_if(F.col(reachable)).alias("reachable"), F.count_if(found & F.col(reachable)).alias("found_all"), F.lit(1).alias("_j"))
-    by = rows.where(found & F.col(reachable)).groupBy(source).agg(
-        F.count(F.lit(1)).alias("found"), F.count_if(free).alias("freemail")).withColumn("_j", F.lit(1))
-    return by.join(F.broadcast(total), "_j").select(  # ``total`` is one aggregated row
-        source, "found", "freemail", "reachable",
-        F.round(F.try_divide(F.col("found_all").cast("double"), "reachable") * 100, 2).alias("found_pct"))
+    n, hit = rows.agg(F.count_if(F.col(reachable))).scalar(), rows.agg(F.count_if(found & F.col(reachable))).scalar()
+    by = rows.where(found & F.col(reachable)).groupBy(source).agg(F.count(F.lit(1)).alias("found"), F.count_if(free).alias("freemail"))
+    return by.select(source, "found", "freemail", n.alias("reachable"), F.round(F.try_divide(hit.cast("double"), n) * 100, 2).alias("found_pct"))
 
 
 def backtest(rows: DataFrame, niche: str, status: str, score: str, flag: str, approved="Approved") -> DataFrame:
@@ -98,14 +98,11 @@ def filter_ablation(pool: DataFrame, filters: dict[str, Column], relaxed: dict[s
 
 def suppression_quality(rows: DataFrame, name="name", url="url", email="email") -> DataFrame:
     """Rows, distinct keys by kind, and rows that only a name could match."""
-    from ..functions.text import normalize_handle
-
     weak = (normalize_handle(url) == "") & blank(email)
-    n = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(weak).alias("weak_rows"), F.lit(1).alias("_j"))
-    k = suppression_keys(rows, name, url, email).agg(
-        *[F.count_if(F.col("kind") == x).alias(f"{x}s") for x in ("handle", "email", "name")], F.lit(1).alias("_j"))
-    return n.join(k, "_j").select(
-        "n_rows", "handles", "emails", "names", "weak_rows", F.round(F.try_divide(F.col("weak_rows").cast("double"), "n_rows") * 100, 2).alias("weak_pct"))
+    keys = suppression_keys(rows, name, url, email)
+    kinds = [keys.agg(F.count_if(F.col("kind") == x)).scalar().alias(f"{x}s") for x in ("handle", "email", "name")]
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(weak).alias("weak_rows")).select(
+        "n_rows", *kinds, "weak_rows", F.round(F.try_divide(F.col("weak_rows").cast("double"), "n_rows") * 100, 2).alias("weak_pct"))
 
 
 def verification_summary(judgements: DataFrame) -> DataFrame:

@@ -36,17 +36,12 @@ def upsert(old: DataFrame, new: DataFrame, key: str, protected=PROTECTED, sparse
 def guarded_delete(df: DataFrame, key: str, targets: DataFrame, max_rows=V.DELETE_MAX_ROWS, max_fraction=V.DELETE_MAX_FRACTION) -> DataFrame:
     """Delete matched rows only when few enough in number *and* share; otherwise refuse all.
 
-    The guard is one aggregated row whose verdict is part of the join key, so it cannot be
-    pruned away and nothing is brought to the driver.
+    The two counts are scalar subqueries in the filter on the rows to delete: nothing is brought
+    to the driver by hand, and a refusal leaves the table as it is.
     """
     hit = df.select(key).join(targets.select(key).distinct(), key, "left_semi")
-    guard = (
-        df.agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("_one"))
-        .join(hit.agg(F.count(F.lit(1)).alias("k"), F.lit(1).alias("_one")), "_one")
-        .select(((F.col("k") <= max_rows) & (F.col("k") <= F.col("n") * max_fraction)).alias("_go"))
-    )
-    doomed = hit.withColumn("_go", F.lit(True)).join(guard, "_go", "left_semi")
-    return df.join(doomed.select(key), key, "left_anti")
+    n, k = (x.agg(F.count(F.lit(1))).scalar() for x in (df, hit))
+    return df.join(hit.where((k <= max_rows) & (k <= n * max_fraction)), key, "left_anti")
 
 
 def enum_guard(df: DataFrame, col: str, allowed, allow_new: bool = False) -> DataFrame:
