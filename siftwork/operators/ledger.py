@@ -155,7 +155,8 @@ def claim_decision(queue: DataFrame, ledger: DataFrame, remaining: DataFrame, ca
     top = firsts.orderBy("ord").limit(cap).withColumn("rn", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("ord")))
     left = remaining.select("remaining").scalar()
     granted = top.where(F.col("rn") <= left)
-    last_ord, n_granted = granted.agg(F.max("ord")).scalar(), granted.agg(F.count(F.lit(1))).scalar()
+    end = granted.agg(F.struct(F.max("ord").alias("last"), F.count(F.lit(1)).alias("n"))).scalar()
+    last_ord, n_granted = end["last"], end["n"]
     d = j.join(granted.select(F.col("ord").alias("_g")), F.col("ord") == F.col("_g"), "left")
     spent = (n_granted >= left) & (last_ord.isNull() | (F.col("ord") > last_ord))
     reason = F.coalesce(

@@ -58,21 +58,28 @@ def coverage(rows: DataFrame, email="email", source="source", reachable="reachab
 def backtest(rows: DataFrame, niche: str, status: str, score: str, flag: str, approved="Approved") -> DataFrame:
     """Score against reviewer label, per niche and overall: size, upper median, mean, range, 2x2 table, rates.
 
-    The exact upper median is the smallest score whose cumulative count passes half: scores are
-    first counted per value, so the window ranks distinct scores, not rows.
+    Rows are first counted per distinct (niche, status, score, flag); everything else reads these
+    counts, so the exact upper median (the smallest score whose cumulative count passes half)
+    ranks distinct scores, not rows.
     """
-    both = rows.select(F.explode(F.array(F.col(niche), F.lit("ALL"))).alias("grp"), F.col(status).alias("status"), F.col(score).alias("score"), F.col(flag).alias("flag"))
-    by_value = both.groupBy("grp", "status", "score").agg(F.count(F.lit(1)).alias("c"))
+    counts = rows.groupBy(F.col(niche).alias("niche"), F.col(status).alias("status"), F.col(score).alias("score"), F.col(flag).alias("flag")).agg(F.count(F.lit(1)).alias("c"))
+    both = counts.select(F.explode(F.array("niche", F.lit("ALL"))).alias("grp"), "status", "score", "flag", "c")
     w = Window.partitionBy("grp", "status")
-    cum = by_value.withColumn("n", F.sum("c").over(w)).withColumn("upto", F.sum("c").over(w.orderBy("score")))
+    cum = both.groupBy("grp", "status", "score").agg(F.sum("c").alias("c")).withColumn("n", F.sum("c").over(w)).withColumn("upto", F.sum("c").over(w.orderBy("score")))
     median = cum.where(F.col("upto") > F.floor(F.col("n") / 2)).groupBy("grp", "status").agg(F.min("score").alias("median"))
+    on, ok = F.col("flag"), F.col("status") == approved
+
+    def total(cond=F.lit(True)):
+        return F.coalesce(F.sum(F.when(cond, F.col("c"))), F.lit(0))
+
     stats = both.groupBy("grp", "status").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 4).alias("mean"), F.min("score").alias("lo"), F.max("score").alias("hi"),
-        F.count_if(F.col("flag")).alias("n_flag"), F.count_if(~F.col("flag")).alias("n_noflag"))
-    base = both.groupBy("grp").agg(
-        F.round(F.avg((F.col("status") == approved).cast("double")), 4).alias("base_rate"),
-        F.round(F.avg(F.when(F.col("flag"), (F.col("status") == approved).cast("double"))), 4).alias("p_given_flag"),
-        F.round(F.avg(F.when(~F.col("flag"), (F.col("status") == approved).cast("double"))), 4).alias("p_given_noflag"))
+        total().alias("n"), F.round(F.try_divide(F.sum(F.col("score") * F.col("c")).cast("double"), F.sum("c")), 4).alias("mean"), F.min("score").alias("lo"), F.max("score").alias("hi"),
+        total(on).alias("n_flag"), total(~on).alias("n_noflag"))
+
+    def rate(cond):
+        return F.round(F.try_divide(total(cond & ok).cast("double"), total(cond)), 4)
+
+    base = both.groupBy("grp").agg(rate(F.lit(True)).alias("base_rate"), rate(on).alias("p_given_flag"), rate(~on).alias("p_given_noflag"))
     return stats.join(median, ["grp", "status"]).join(base, "grp")
 
 
