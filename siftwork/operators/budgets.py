@@ -25,6 +25,25 @@ def fill_budgets(candidates: DataFrame, room: DataFrame, max_cap: int, order, ke
     return ranked.join(room, list(keys)).where(F.col("slot") <= F.col("headroom"))
 
 
+def apply_headroom(screened: DataFrame, room: DataFrame, max_cap: int, order: list[str], keys=("niche", "bucket")) -> DataFrame:
+    """Turn away rows that reach the budget check when their (niche, class) budget is spent.
+
+    Only rows that pass everything use budget. The budget is spent at the ``headroom``-th such row;
+    later rows that got as far as the check are dropped for it, whatever a later rule would say.
+    ``bucket`` is the class of rows that reached the check and null for the others.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    passing = screened.where(F.col("bucket").isNotNull() & F.col("reason").isNull())
+    ranked = passing.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= max_cap)
+    last = ranked.join(room, list(keys)).where(F.col("slot") == F.col("headroom")).select(*keys, F.struct(*order).alias("last"))
+    ends = room.join(last, list(keys), "left").select(*keys, "headroom", "last")
+    after = (F.col("headroom") == 0) | (F.struct(*order) > F.col("last"))
+    spent = F.col("bucket").isNotNull() & F.coalesce(after, F.lit(False))
+    kept = [c for c in screened.columns if c not in ("reason", "detail")]
+    return screened.join(ends, list(keys), "left").select(
+        *kept, F.when(spent, F.lit("no_headroom_for_bucket")).otherwise(F.col("reason")).alias("reason"), F.when(~spent, F.col("detail")).alias("detail"))
+
+
 def scan_end(rows: DataFrame, key: str, order: list[str], kind: Column, q: int, f: int,
              patience: int = V.FLAGGED_PATIENCE, flagged_possible: bool = True) -> DataFrame:
     """Where a budgeted scan ends per key, and what it took.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import budgets
 from ..session import scratch_dir
 from ..sources import bindings as B, tables
 from . import screening
@@ -84,6 +85,20 @@ def _(s, d):
     return screened(s, d).select("entity_id", "reason", "detail", "qualification", "risk", "score")
 
 
+_ROOM = {("AUTOMOBILE", "Qualified"): 2, ("AUTOMOBILE", "New Channel"): 1, ("FURNITURE", "Qualified"): 3, ("FURNITURE", "New Channel"): 0, ("MACHINERY", "Qualified"): 1}
+
+
+@query("P18_screen_with_budget", with_("ent itm pos doc sup supkey", _SCREEN + f""", room(niche, bucket, headroom) AS (VALUES {", ".join(f"({lit(n)}, {lit(b)}, {h})" for (n, b), h in _ROOM.items())}),
+  g AS (SELECT *, CASE WHEN reason IS NULL OR reason = 'no_social_presence' OR detail LIKE 'email %' THEN CASE WHEN {days('d_first', AS_OF)} / 30.44 < 75 THEN 'New Channel' ELSE 'Qualified' END END AS bucket FROM done),
+  b AS (SELECT g.*, headroom, coalesce(sum(CAST(reason IS NULL AS INT)) OVER (PARTITION BY niche, bucket ORDER BY entity_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g LEFT JOIN room USING (niche, bucket))
+  SELECT entity_id, bucket, CASE WHEN bucket IS NOT NULL AND before >= headroom THEN 'no_headroom_for_bucket' ELSE reason END AS reason FROM b""", recursive=True))
+def _(s, d):
+    sc = screened(s, d)
+    rows = F.array(*[F.struct(F.lit(n).alias("niche"), F.lit(b).alias("bucket"), F.lit(h).alias("headroom")) for (n, b), h in _ROOM.items()])
+    room = s.range(1).select(F.explode(rows).alias("r")).select("r.*")
+    return budgets.apply_headroom(sc, room, 10, ["entity_id"]).select("entity_id", "bucket", "reason")
+
+
 @query("P18_screen_report", with_("ent itm pos doc sup supkey", _SCREEN + " SELECT reason, count(*) AS n FROM done WHERE reason IS NOT NULL GROUP BY 1", recursive=True))
 def _(s, d):
     return screening.drop_report(screened(s, d))

@@ -111,18 +111,21 @@ def screen(entities: DataFrame, items: DataFrame, rules: Rules, as_of: str, supp
     later += [
         F.when(gate.isNotNull(), F.struct(gate.alias("reason"), none)),
         F.when(long.isNotNull(), F.struct(long.alias("reason"), F.concat(F.col("long_total").cast("string"), F.lit(" confirmed long-form videos")).alias("detail"))),
+    ]
+    # Rules after the daily budget check; see ``budgets.apply_headroom``.
+    last = [
         hit(links.no_presence("links").isNotNull(), "no_social_presence", none),
         hit(F.col("mail_hit").isNotNull(), "blocked", F.col("mail_hit")),
     ]
-    verdict = F.coalesce("early", *later)
-    scored = j.withColumn("verdict", verdict).withColumn("risk", scoring.fake_follower_risk("subscribers", "avg_views", "engagement_rate"))
+    scored = j.withColumn("gated", F.coalesce("early", *later)).withColumn("verdict", F.coalesce("gated", *last)).withColumn("risk", scoring.fake_follower_risk("subscribers", "avg_views", "engagement_rate"))
     passed = F.col("verdict").isNull()
+    kind = shape.qualify(shape.age_months("published_at", as_of), rules.min_age_months)
     return scored.select(
         *entities.columns, F.col("verdict.reason").alias("reason"), F.col("verdict.detail").alias("detail"),
         "avg_views", "engagement_rate", "per_month", "per_year", "days_since", "long_total", "settled_items",
         F.when(passed, F.col("risk")).alias("risk"),
         F.when(passed, scoring.overall_score("subscribers", "avg_views", "engagement_rate", "per_month", "risk")).alias("score"),
-        F.when(passed, shape.qualify(shape.age_months("published_at", as_of), rules.min_age_months)).alias("qualification"),
+        F.when(passed, kind).alias("qualification"), F.when(F.col("gated").isNull(), kind).alias("bucket"),
     )
 
 

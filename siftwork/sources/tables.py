@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.links import first_email
+from ..functions.shape import duration_seconds, parse_ts
 from ..functions.text import as_int, blank, fold_name, normalize_handle, strip
 
 
@@ -82,6 +83,23 @@ def normalise_entity(df: DataFrame) -> DataFrame:
     )
 
 
+def normalise_items(df: DataFrame) -> DataFrame:
+    """Raw nested items to the flat shape. An absent view count stays null; an unreadable one counts as 0."""
+    s, st = "raw.snippet", "raw.statistics"
+    views = F.when(F.col(f"{st}.viewCount").isNotNull(), as_int(f"{st}.viewCount"))
+    return df.select(
+        "entity_id", F.col("raw.id").alias("item_id"),
+        F.coalesce(f"{s}.title", F.lit("")).alias("title"),
+        F.coalesce(f"{s}.description", F.lit("")).alias("description"),
+        parse_ts(F.col(f"{s}.publishedAt")).alias("published_at"),
+        views.alias("views"),
+        (as_int(f"{st}.likeCount") + as_int(f"{st}.commentCount")).alias("engagements"),
+        duration_seconds("raw.contentDetails.duration").alias("seconds"),
+        F.col("raw.player.embedWidth").alias("w"), F.col("raw.player.embedHeight").alias("h"),
+        F.coalesce(F.nullif(F.col(f"{s}.defaultAudioLanguage"), F.lit("")), F.nullif(F.col(f"{s}.defaultLanguage"), F.lit("")), F.lit("")).alias("language"),
+    )
+
+
 def missing_value(df: DataFrame, id_col: str, col: str) -> DataFrame:
     """Rows that have an id and a blank ``col``."""
     return df.where(~blank(F.col(id_col).cast("string")) & blank(F.col(col).cast("string")))

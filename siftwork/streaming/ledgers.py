@@ -79,10 +79,14 @@ class _Afford(StatefulProcessor):
         self.handle.registerTimer(at_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        got = [r for pdf in rows for r in pdf[["us", "event_id", "day", "u"]].itertuples(index=False, name=None)]
-        if got:
-            self.waiting.appendList([(int(a), int(b), c, int(u)) for a, b, c, u in got])
-            first = min(int(g[0]) for g in got) // 1000 + 1
+        first = None
+        for pdf in rows:  # chunk by chunk: a hot account's batch is never held as a whole
+            got = [(int(us), int(event_id), day, int(u)) for us, event_id, day, u in pdf[["us", "event_id", "day", "u"]].itertuples(index=False, name=None)]
+            if got:
+                self.waiting.appendList(got)
+                low = min(g[0] for g in got) // 1000 + 1
+                first = low if first is None else min(first, low)
+        if first is not None:
             timers = list(self.handle.listTimers())
             if not timers or first < min(timers):
                 self._wake(max(first, timerValues.getCurrentWatermarkInMs() + 1))

@@ -199,3 +199,22 @@ def test_screen_reports_the_first_reason(spark, rows, tmp_path):
         assert {r.entity_id: r.reason for r in got} == want
     passed = next(r for r in got if r.entity_id == 3)
     assert passed.qualification == "Qualified" and passed.risk == 0.0 and passed.score > 50
+
+
+def test_headroom_is_used_by_passing_rows_only(rows):
+    sc = rows("entity_id int, niche string, bucket string, reason string, detail string",
+              (1, "n", "Qualified", "no_social_presence", ""), (2, "n", "Qualified", None, None), (3, "n", None, "shorts_only", ""), (4, "n", "Qualified", "blocked", "email x"),
+              (5, "n", "New Channel", None, None), (6, "m", "Qualified", None, None))
+    room = rows("niche string, bucket string, headroom int", ("n", "Qualified", 1), ("n", "New Channel", 0))
+    got = {r.entity_id: r.reason for r in budgets.apply_headroom(sc, room, 5, ["entity_id"]).collect()}
+    full = "no_headroom_for_bucket"
+    assert got == {1: "no_social_presence", 2: None, 3: "shorts_only", 4: full, 5: full, 6: None}
+
+
+def test_normalise_items_tells_absent_from_unreadable(rows):
+    schema = ("entity_id string, raw struct<id:string,snippet:struct<title:string,description:string,publishedAt:string,defaultAudioLanguage:string,defaultLanguage:string>,"
+              "statistics:struct<viewCount:string,likeCount:string,commentCount:string>,contentDetails:struct<duration:string>,player:struct<embedWidth:string,embedHeight:string>>")
+    df = rows(schema, ("a", ("v1", ("T", None, "2024-01-02T03:04:05Z", "", "en-GB"), ("12", None, "x"), ("PT1M",), ("720", "1280"))), ("a", ("v2", (None, None, "bad", "fr", "en"), (None, "3", "4"), (None,), (None, None))),
+              ("a", ("v3", None, ("many", None, None), None, None)))
+    got = [(r.item_id, r.title, r.published_at, r.views, r.engagements, r.seconds, r.language) for r in tables.normalise_items(df).collect()]
+    assert got == [("v1", "T", dt.datetime(2024, 1, 2, 3, 4, 5), 12, 0, 60, "en-GB"), ("v2", "", None, None, 7, None, "fr"), ("v3", "", None, 0, 0, None, "")]
