@@ -41,7 +41,7 @@ AFFORD_SQL = f"""WITH RECURSIVE e AS (SELECT event_id, user_id, {local_day('ts',
       SELECT e.user_id, e.rn, e.event_id, e.day, e.u, CASE WHEN s.day = e.day THEN s.d ELSE 0 END AS d0, CASE WHEN date_trunc('month', s.day) = date_trunc('month', e.day) THEN s.m ELSE 0 END AS m0 FROM st s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1)))"""
 
 
-@query("T2_can_afford", AFFORD_SQL + " SELECT event_id, user_id AS account, CAST(day AS VARCHAR) AS day, ok AS accepted, CASE WHEN ok THEN CAST(d AS DOUBLE) / 10000 END AS day_total, CASE WHEN ok THEN CAST(m AS DOUBLE) / 10000 END AS month_total FROM st WHERE rn > 0")
+@query("T2_can_afford", AFFORD_SQL + " SELECT event_id, user_id AS account, CAST(day AS VARCHAR) AS day, ok AS accepted, CASE WHEN ok AND paid THEN CAST(d AS DOUBLE) / 10000 END AS day_total, CASE WHEN ok AND paid THEN CAST(m AS DOUBLE) / 10000 END AS month_total FROM st JOIN (SELECT event_id, round(value * 10000) > 0 AS paid FROM events) USING (event_id) WHERE rn > 0")
 def _(s, d):
     return ledger.can_afford(spend(s, d), DAY_CAP, MONTH_CAP).withColumn("day", F.col("day").cast("string"))
 

@@ -9,7 +9,7 @@ from ..functions.verdicts import VERDICT
 from ..operators import gates, windows
 from ..sources import bindings as B, tables
 from .registry import query
-from .sql_bindings import SHORT, days, emails, fold_name, ins, lit, local_day, lst, mapping, norm_handle, norm_title, strip, with_, word
+from .sql_bindings import SHORT, days, emails, fold_name, half_up, ins, lit, local_day, lst, mapping, norm_handle, norm_title, strip, with_, word
 
 TOPICS = {"alpha": ["anble", "thst ed", "inble"], "beta": ["ention", "ingre"], "gamma": ["étion", "ersch", "ément"]}
 TV_NAMES = ["anea", "thnt", "von"]
@@ -204,8 +204,12 @@ def _(s, d):
         scoring.norm_linear("e", V.ENGAGEMENT_CEILING).alias("linear"), scoring.norm_freq(F.col("f") * 4).alias("freq_all"), scoring.norm_freq("f").alias("freq"))
 
 
-@query("F14_overall_score", with_("ent itm", _PERF + _R + f""" SELECT entity_id, round(least(100.0, greatest(0.0, 0.20 * {_NORM_LOG.format('CAST(subscribers AS DOUBLE)', '1000000')} + 0.20 * {_NORM_LOG.format('v', '500000')}
-  + 0.20 * round(least(100.0, greatest(0.0, e / 8.0 * 100)), 1) + 0.15 * {_NORM_FREQ} + 0.15 * (100 - {_RISK}) + 0.10 * 70.0)), 1) AS score FROM r"""))
+_TOTAL = f"""least(100.0, greatest(0.0, 0.20 * {_NORM_LOG.format('CAST(subscribers AS DOUBLE)', '1000000')} + 0.20 * {_NORM_LOG.format('v', '500000')}
+  + 0.20 * round(least(100.0, greatest(0.0, e / 8.0 * 100)), 1) + 0.15 * {_NORM_FREQ} + 0.15 * (100 - {_RISK}) + 0.10 * 70.0))"""
+SCORE_SQL = half_up(_TOTAL, 1)
+
+
+@query("F14_overall_score", with_("ent itm", _PERF + _R + f" SELECT entity_id, {SCORE_SQL} AS score FROM r"))
 def _(s, d):
     p = _perf(s, d).withColumn("risk", scoring.fake_follower_risk("subscribers", F.col("v") / 100, "e"))
     return p.select("entity_id", scoring.overall_score("subscribers", "v", "e", "f", "risk").alias("score"))

@@ -11,7 +11,7 @@ from . import screening
 from .joins_catalog import with_email
 from .metrics_catalog import AS_OF, REUPLOADS
 from .registry import query
-from .rows_catalog import ACCENTS, LOCATION_SQL, TV_NAMES, _NORM_FREQ, _NORM_LOG, _RISK, _non_latin_sql
+from .rows_catalog import ACCENTS, LOCATION_SQL, TV_NAMES, SCORE_SQL, _RISK, _non_latin_sql
 from .sql_bindings import days, fold, fold_name, lit, strip, with_, word
 
 TOPICS = {"alpha": ["hetion", "inble"], "beta": ["ingre"]}
@@ -76,11 +76,10 @@ _SCREEN = _BASE + f""",
     WHEN niche <> 'MACHINERY' AND off > on_ AND len(sig) > 0 THEN dt || '; bio says [' || array_to_string(list_transform(sig, lambda s: '''' || s || ''''), ', ') || ']'
     WHEN gate IS NOT NULL THEN '' WHEN long_total < 4 THEN long_total || ' confirmed long-form videos' WHEN no_links THEN '' WHEN mail_hit IS NOT NULL THEN mail_hit END AS detail FROM scr),
   ranked AS (SELECT *, avg_views / subscribers AS r, engagement_rate AS e, avg_views AS v, per_month AS f FROM done)"""
-_SCORE = f"round(least(100.0, greatest(0.0, 0.20 * {_NORM_LOG.format('CAST(subscribers AS DOUBLE)', '1000000')} + 0.20 * {_NORM_LOG.format('v', '500000')} + 0.20 * round(least(100.0, greatest(0.0, e / 8.0 * 100)), 1) + 0.15 * {_NORM_FREQ} + 0.15 * (100 - {_RISK}) + 0.10 * 70.0)), 1)"
 
 
 @query("P18_screen", with_("ent itm pos doc sup supkey", _SCREEN + f""" SELECT entity_id, reason, detail, CASE WHEN reason IS NULL THEN CASE WHEN {days('d_first', AS_OF)} / 30.44 < 75 THEN 'New Channel' ELSE 'Qualified' END END AS qualification,
-  CASE WHEN reason IS NULL THEN CAST({_RISK} AS DOUBLE) END AS risk, CASE WHEN reason IS NULL THEN {_SCORE} END AS score FROM ranked""", recursive=True))
+  CASE WHEN reason IS NULL THEN CAST({_RISK} AS DOUBLE) END AS risk, CASE WHEN reason IS NULL THEN {SCORE_SQL} END AS score FROM ranked""", recursive=True))
 def _(s, d):
     return screened(s, d).select("entity_id", "reason", "detail", "qualification", "risk", "score")
 

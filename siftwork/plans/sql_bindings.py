@@ -59,6 +59,11 @@ def local_day(ts: str, tz: str) -> str:
     return f"CAST(timezone({lit(tz)}, timezone('UTC', {ts})) AS DATE)"
 
 
+def half_up(x: str, places: int) -> str:
+    """Half-up rounding of the number as written; the oracle's own ``round`` scales the double first and can miss a tie."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 20)), {places}) AS DOUBLE)"
+
+
 SHORT = "CASE WHEN w > 0 AND h > 0 AND CAST(w AS DOUBLE) / h <= 0.95 THEN TRUE ELSE seconds <= {0} END"
 
 
