@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.shape import is_short, settled, upload_frequency, uploads_per_year, whole_days, instant
-from ..functions.text import contains_any, normalize_title
-from .windows import fold_reuploads, newest_n, paged_counts, paged_total
+from ..functions.text import contains_any
+from .windows import comparable_title, fold_reuploads, newest_n, paged_counts, paged_total
 
 
 def _total(arr: Column, field: str) -> Column:
@@ -32,7 +32,7 @@ def entity_metrics(items: DataFrame, as_of: str, wide=V.WIDE_WINDOW, narrow=V.ME
     w = newest_n(
         items.select(
             "entity_id", "item_id", "published_at", "views", "engagements", "seconds",
-            normalize_title("title").alias("norm"), is_short("seconds", "w", "h").alias("short"),
+            comparable_title("title", "seconds").alias("norm"), is_short("seconds", "w", "h").alias("short"),
             settled("published_at", as_of).alias("settled"), *[c.alias(n) for n, c in row_columns.items()],
         ), wide * (1 + long_pages))
     near, inside = F.col("position") <= narrow, F.col("position") <= wide

@@ -28,21 +28,26 @@ def newest_n_where(items: DataFrame, pred: Column, n: int, order=None, key: str
     return newest_n(items.where(pred), n, order, key)
 
 
-def fold_reuploads(sample: Column, tolerance: int = V.DUPLICATE_TOLERANCE_SECONDS) -> Column:
+def comparable_title(title, seconds) -> Column:
+    """Normalised title of an item that can be compared, null when its title or length is unknown."""
+    norm = normalize_title(title)
+    return F.nullif(F.when(F.coalesce(F.col(seconds), F.lit(0)) != 0, norm), F.lit(""))
+
+
+def fold_reuploads(sample: Column, tolerance: int = V.DUPLICATE_TOLERANCE_SECONDS, same_title: bool = False) -> Column:
     """Keep the first of each re-upload in an ordered array of structs with ``norm`` and ``seconds``.
 
-    An entry falls only to an entry already *kept*, so this is a fold, not a lag.
+    An entry falls only to an entry already *kept*, so this is a fold, not a lag. A null ``norm``
+    matches nothing. With ``same_title`` the entries are known to share one title.
     """
 
     def same(kept, x):
-        return (
-            (kept["norm"] != "") & (kept["norm"] == x["norm"]) & (F.coalesce(kept["seconds"], F.lit(0)) != 0)
-            & (F.coalesce(x["seconds"], F.lit(0)) != 0) & (F.abs(kept["seconds"] - x["seconds"]) <= tolerance)
-        )
+        close = F.abs(kept["seconds"] - x["seconds"]) <= tolerance
+        return close if same_title else F.coalesce((kept["norm"] == x["norm"]) & close, F.lit(False))
 
     return F.aggregate(
         sample, F.slice(sample, 1, 0),
-        lambda acc, x: F.when(F.exists(acc, lambda k: F.coalesce(same(k, x), F.lit(False))), acc).otherwise(F.concat(acc, F.array(x))),
+        lambda acc, x: F.when(F.exists(acc, lambda k: same(k, x)), acc).otherwise(F.concat(acc, F.array(x))),
     )
 
 
@@ -53,13 +58,12 @@ def drop_reuploads(items: DataFrame, tolerance: int = V.DUPLICATE_TOLERANCE_SECO
     (entity, title, seconds) is first reduced to that one row by a partial aggregate. What is
     left to fold per title is at most one entry per distinct length, however many copies exist.
     """
-    keyed = items.select("entity_id", "item_id", F.col(order_col).alias("ord"), normalize_title("title").alias("norm"), "seconds")
-    comparable = (F.col("norm") != "") & (F.coalesce(F.col("seconds"), F.lit(0)) != 0)
-    loose = keyed.where(~comparable).select("entity_id", "item_id")
-    firsts = keyed.where(comparable).groupBy("entity_id", "norm", "seconds").agg(
+    keyed = items.select("entity_id", "item_id", F.col(order_col).alias("ord"), comparable_title("title", "seconds").alias("norm"), "seconds")
+    loose = keyed.where("norm is null").select("entity_id", "item_id")
+    firsts = keyed.where("norm is not null").groupBy("entity_id", "norm", "seconds").agg(
         F.min("ord").alias("ord"), F.min_by("item_id", "ord").alias("item_id"))
-    folded = firsts.groupBy("entity_id", "norm").agg(F.sort_array(F.collect_list(F.struct("ord", "item_id", "norm", "seconds"))).alias("s"))
-    kept = folded.select("entity_id", F.explode(fold_reuploads(F.col("s"), tolerance)).alias("k")).select("entity_id", "k.item_id")
+    folded = firsts.groupBy("entity_id", "norm").agg(F.sort_array(F.collect_list(F.struct("ord", "item_id", "seconds"))).alias("s"))
+    kept = folded.select("entity_id", F.explode(fold_reuploads(F.col("s"), tolerance, same_title=True)).alias("k")).select("entity_id", "k.item_id")
     return kept.unionByName(loose)
 
 
