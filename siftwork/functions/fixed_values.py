@@ -94,6 +94,8 @@ CONTACT_SOURCES = [
 ]
 MISS_NOTE_ALL = "none found (all 5 steps ran)"
 UNKNOWN_COUNTRY_VALUES = ["", "unknown", "none", "null", "n/a", "-"]
+MEDIA_ERROR_WORDS = ["video", "youtube", "unsupported", "not accessible"]
+BLOCKED_FINISH_REASONS = ["SAFETY", "RECITATION", "PROHIBITED_CONTENT", "BLOCKLIST"]
 SOCIAL_ABOUT_HOSTS = ["facebook.com"]
 
 # ---- Fixed values: mail and link hosts ----------------------------------------------------

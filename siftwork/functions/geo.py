@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, functions as F
 
 from . import fixed_values as V

@@ -43,7 +43,7 @@ def valid_verdict(body, verdict_key: str = "matches") -> Column:
         return (
             F.when(F.coalesce(F.size(env["candidates"]), F.lit(-1)) <= 0, F.lit("malformed"))
             .when(finish == "MAX_TOKENS", F.lit("max_tokens"))
-            .when(finish.isin("SAFETY", "RECITATION", "PROHIBITED_CONTENT", "BLOCKLIST"), F.lit("safety_blocked"))
+            .when(finish.isin(*V.BLOCKED_FINISH_REASONS), F.lit("safety_blocked"))
             .when(let(parsed, well_formed), F.lit("ok"))
             .otherwise(F.lit("malformed"))
         )
@@ -118,7 +118,7 @@ def classify_error(status, body) -> Column:
         F.when((s == 429) & (F.contains(b, F.lit("PerDay")) | F.contains(low, F.lit("per day"))), F.lit("quota_exhausted"))
         .when((s == 429) & (F.contains(b, F.lit("PerMinute")) | F.contains(low, F.lit("per minute"))), F.lit("rate_limited"))
         .when(s == 429, F.lit("quota_exhausted"))
-        .when(s.isin(400, 403, 404) & low.rlike("video|youtube|unsupported|not accessible"), F.lit("video_unavailable"))
+        .when(s.isin(400, 403, 404) & low.rlike("|".join(V.MEDIA_ERROR_WORDS)), F.lit("video_unavailable"))
         .when(s.isin(400, 403, 404), F.lit("request_rejected"))
         .otherwise(F.lit("unreachable"))
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V, geo, links, scoring, shape, text, verdicts
-from ..functions.verdicts import VERDICT
 from ..operators import gates, windows
 from ..sources import bindings as B, tables
 from .registry import query
@@ -413,7 +412,6 @@ def _(s, d):
 
 # ---- links ----------------------------------------------------------------------------------
 
-_WRAP = "CASE WHEN contains(url, '?') THEN 'https://www.youtube.com/redirect?event=c&q=' || url_encode(url) || '&v=1' ELSE url END"
 _HOST = r"regexp_replace(lower(regexp_extract({0}, '^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//(?:[^/?#]*@)?([^/?#:@]*)', 1)), '^www\.', '')"
 
 

@@ -31,9 +31,6 @@ def build_session(app: str = "siftwork", master: str | None = None, cores: int |
     return b.getOrCreate()
 
 
-_SETTINGS = None
-
-
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the run-time settings results depend on (day boundaries, skew handling)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
