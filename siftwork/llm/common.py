@@ -48,3 +48,10 @@ def with_columns(df: DataFrame, **columns: Column) -> DataFrame:
 def only(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Just these columns, whatever else ``df`` has."""
     return df.select(*[F.col(f"`{c}`") for c in names])
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed vocabulary file of this name lies; read on the driver only."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
