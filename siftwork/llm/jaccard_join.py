@@ -4,7 +4,8 @@ Every distinct text gets ``COORDINATES`` min-wise hashes of its shingles; pairs
 of fixed size. A run puts each set under the tokens it samples with a probability that leaves 1 / THRESHOLD of them on
 average; the sampling depends on run and path alone, so similar sets take the same paths. Buckets of more than
 ``BUCKET`` sets are split again by further sampled tokens, down to ``DEPTH``; then all sets of a bucket are compared by
-their hashes. ``runs()`` gives how many runs reach the target recall for a pair just at the threshold at the last depth;
+their hashes. The task of a bucket of up to ``IN_MEMORY`` sets splits it itself; a larger one is split by another round over
+the cluster. ``runs()`` gives how many runs reach the target recall for a pair just at the threshold at the last depth;
 pairs that part earlier, or are more alike, are found more surely. What the comparison holds possible (below the threshold
 by five standard errors of the estimate) is grouped, and within groups every pair is counted exactly on whole shingle
 sets, in blocks of bounded size. Links are therefore exact; only a pair that no run brought together can be missed.
@@ -36,6 +37,7 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 COORDINATES = 128
 BUCKET = 400
+IN_MEMORY = 40_000
 DEPTH = 4
 #: Texts of one block when links are counted.
 BLOCK = 512
@@ -215,6 +217,80 @@ def _alike(a: np.ndarray, b: np.ndarray, least: int) -> tuple[np.ndarray, np.nda
     return np.nonzero(equal >= least)
 
 
+class _Bucket:
+    """The splitting of one bucket inside a task: collects pairs of places that are held alike."""
+
+    def __init__(self, sig: np.ndarray, threshold: float):
+        self.sig, self.sketch, self.threshold = sig, sig.astype(np.uint8), threshold
+        self.left: list[np.ndarray] = []
+        self.right: list[np.ndarray] = []
+
+    def all_pairs(self, places: np.ndarray) -> None:
+        for k in range(0, len(places), 256):
+            x, y = _alike(self.sketch[places[k:k + 256]], self.sketch[places], possible(self.threshold))
+            x, y = places[k + x], places[y]
+            self.left.append(x[x < y])
+            self.right.append(y[x < y])
+
+    def split(self, path: np.uint64, places: np.ndarray, depth: int) -> None:
+        if len(places) > BUCKET:
+            # What is alike to one of them, the pivot, is joined to it and needs no other comparison; see _with_pivots.
+            same = (self.sketch[places] == self.sketch[places[0]]).sum(1)
+            near = places[same >= around(self.threshold)]
+            self.left.append(np.full(len(near), places[0]))
+            self.right.append(near)
+            places = places[same < self.threshold * COORDINATES]
+        if len(places) <= BUCKET or depth == DEPTH:
+            self.all_pairs(places)
+            return
+        for c in np.flatnonzero(_draw(np.array([path]), self.threshold)[0]):
+            order = places[np.argsort(self.sig[places, c], kind="stable")]
+            values = self.sig[order, c]
+            starts = _starts(values)
+            sizes = np.diff(np.append(starts, len(values)))
+            few = order[np.repeat((sizes > 1) & (sizes <= _SEEN), sizes)]
+            i, j = _pairs_within(sizes[(sizes > 1) & (sizes <= _SEEN)])
+            x, y = few[i], few[j]
+            good = _same(self.sketch, x, y) >= possible(self.threshold)
+            self.left.append(x[good])
+            self.right.append(y[good])
+            for s, n in zip(starts[sizes > _SEEN], sizes[sizes > _SEEN], strict=True):
+                child = _child(np.array([path]), np.array([c]), values[s:s + 1])[0]
+                self.split(child, np.sort(order[s:s + n]), depth + 1)
+
+
+def _same(sketch: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(x), np.int64)
+    for k in range(0, len(x), 100_000):
+        out[k:k + 100_000] = (sketch[x[k:k + 100_000]] == sketch[y[k:k + 100_000]]).sum(1)
+    return out
+
+
+def _edges(ids: np.ndarray, left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each id that is linked to a lesser place, and the id at the least place it is linked to."""
+    left, right = (np.concatenate(v) if v else np.zeros(0, int) for v in (left, right))
+    label = _least_labels(len(ids), left, right)
+    moved = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[moved], ids[label[moved]]
+
+
+def _split_in_memory(threshold: float, depth: int):
+    """Splits whole buckets and compares what stays together."""
+
+    def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _groups(batches, ["path"], 1):
+            path, ids = t.column("path").to_numpy(), t.column("id").to_numpy()
+            sig = _matrix(t.column("signature").combine_chunks())
+            starts = _starts(path)
+            for s, n in zip(starts, np.diff(np.append(starts, len(path))), strict=True):
+                bucket = _Bucket(sig[s:s + n], threshold)
+                bucket.split(path[s:s + 1].view(np.uint64)[0], np.arange(n), depth)
+                u, v = _edges(ids[s:s + n], bucket.left, bucket.right)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+    return use
+
+
 def _compare(least: int):
     """Brute force inside buckets: links each set to the least one that it is held alike to, through others of its bucket."""
 
@@ -224,15 +300,11 @@ def _compare(least: int):
             ids, sig = t.column("id").to_numpy(), _bytes(t.column("sketch").combine_chunks())
             starts = _starts(path, bi, bj)
             sizes = np.diff(np.append(starts, len(path)))
-            left, right = [], []
-            small = np.repeat(sizes <= _SEEN, sizes)
-            where = np.flatnonzero(small)
+            where = np.flatnonzero(np.repeat(sizes <= _SEEN, sizes))
             i, j = _pairs_within(sizes[sizes <= _SEEN])
-            for k in range(0, len(i), 100_000):
-                x, y = where[i[k:k + 100_000]], where[j[k:k + 100_000]]
-                good = (sig[x] == sig[y]).sum(1) >= least
-                left.append(x[good])
-                right.append(y[good])
+            x, y = where[i], where[j]
+            good = _same(sig, x, y) >= least
+            left, right = [x[good]], [y[good]]
             for s, n in zip(starts[sizes > _SEEN], sizes[sizes > _SEEN], strict=True):
                 own = np.arange(s, s + n)
                 a, b = (own[half[own] == 0], own[half[own] == 1]) if bi[s] != bj[s] else (own, own)
@@ -241,10 +313,7 @@ def _compare(least: int):
                     x, y = a[k + x], b[y]
                     left.append(x[x != y])
                     right.append(y[x != y])
-            left, right = (np.concatenate(v) if v else np.zeros(0, int) for v in (left, right))
-            label = _least_labels(len(ids), left, right)
-            moved = np.flatnonzero(label != np.arange(len(ids)))
-            u, v = ids[moved], ids[label[moved]]
+            u, v = _edges(ids, left, right)
             yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     return use
@@ -266,8 +335,8 @@ def _candidates(sets: DataFrame, threshold: float) -> DataFrame:
     found = []
     for depth in range(1, DEPTH + 1):
         counted = staged(_sized(paths).filter("n > 1"), "buckets")
-        large = counted.filter(F.col("n") > BUCKET)
-        leaves = counted.filter(F.col("n") <= BUCKET)
+        large = counted.filter(F.col("n") > IN_MEMORY)
+        leaves, middle = counted.filter(F.col("n") <= BUCKET), counted.filter((F.col("n") > BUCKET) & (F.col("n") <= IN_MEMORY))
         split = None
         if not large.isEmpty():
             near = staged(_with_pivots(large.select("path", "id"), sketched), "pivots")
@@ -277,7 +346,10 @@ def _candidates(sets: DataFrame, threshold: float) -> DataFrame:
             leaves, split = leaves.union(rest.filter(fits)), rest.filter(~fits)
         rows = _in_blocks(leaves, "path", "n", BUCKET).join(sketched, "id")
         parts = rows.repartition("path", "bi", "bj").sortWithinPartitions("path", "bi", "bj")
-        found.append(staged(parts.select("path", "bi", "bj", "half", "id", "sketch").mapInArrow(_compare(possible(threshold)), "u long, v long").distinct(), "candidates"))
+        pairs = parts.select("path", "bi", "bj", "half", "id", "sketch").mapInArrow(_compare(possible(threshold)), "u long, v long")
+        whole_ones = middle.select("path", "id").join(signed, "id").repartition("path").sortWithinPartitions("path", "id").select("path", "id", "signature")
+        pairs = pairs.union(whole_ones.mapInArrow(_split_in_memory(threshold, depth), "u long, v long"))
+        found.append(staged(pairs.distinct(), "candidates"))
         if split is None or split.isEmpty():
             break
         paths = staged(split.select("path", "id").join(signed, "id").select("path", "id", "signature").mapInArrow(_next_paths(threshold), "path long, id long"), "paths")
@@ -377,8 +449,8 @@ def join_texts(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame
     sized = near.join(near.groupBy("root").agg(F.count("*").alias("n")), "root")
     wanted = staged(sized.join(sets.select("id", "digest", "copies", "first_id"), "id"), "wanted")
     heads = wanted.select("id", F.col("digest").alias("__digest"), "first_id")
-    # One row of each text moves, not its copies.
-    texts = plain.join(heads, (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select("id", "text").dropDuplicates(["id"])
+    # By id too, so that the copies of a text do not meet in one task; by sorting at every size, as the list of texts grows with the input.
+    texts = plain.join(heads.hint("merge"), (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).select("id", "text").dropDuplicates(["id"])
     shingled = staged(texts.mapInArrow(_shingle_sets, "id long, shingles binary"), "shingles")
     rows = _in_blocks(wanted.select("root", "id", "copies", "n"), "root", "n", BLOCK).join(shingled, "id")
     parts = rows.repartition("root", "bi", "bj").sortWithinPartitions("root", "bi", "bj").select("root", "bi", "bj", "half", "id", "copies", "shingles")
