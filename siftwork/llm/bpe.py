@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import only, whole, with_columns
 
@@ -289,6 +290,19 @@ def _coder(vocabulary) -> Coder:
     return _CODERS[id(own)]
 
 
+def _portions(column: pa.Array) -> Iterator[list[str]]:
+    """The texts in lists of about BATCH_CHARS characters."""
+    held, size = [], 0
+    for text in column:
+        held.append(text.as_py())
+        size += len(held[-1])
+        if size >= BATCH_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _task(vocabulary, work):
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # nothing here makes cycles, and the tables of pieces are slow to walk
@@ -316,7 +330,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
 
     taken = {ids.lower(), (decoded or ids).lower()}
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken], whole(text).alias("__text"))
-    schema = rows.drop("__text").schema.add(ids, "array<int>")
+    schema = rows.drop("__text").schema.add(ids, T.ArrayType(T.IntegerType()))
     return rows.mapInArrow(_task(vocabulary, work), schema.add(decoded, "string") if decoded else schema)
 
 
