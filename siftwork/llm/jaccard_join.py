@@ -24,13 +24,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import digest, only, staged, whole
 from .components import components
-from .words import mix, shingles
+from .words import mix, portions, shingles
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -94,20 +93,10 @@ def _signatures(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _slices(texts: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``size`` bytes of text."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
-        yield at, to
-        at = to
-
-
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text")
-        for a, b in _slices(texts):
+        for a, b in portions(texts):
             flat, sizes = shingles(texts.slice(a, b - a), SHINGLE)
             rows, short = [None] * (b - a), [None] * (b - a)
             if len(flat):
@@ -375,7 +364,7 @@ def _with_pivots(large: DataFrame, sketched: DataFrame) -> DataFrame:
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text")
-        for a, b in _slices(texts):
+        for a, b in portions(texts):
             flat, sizes = shingles(texts.slice(a, b - a), SHINGLE)
             ends = np.cumsum(sizes)
             sets = [flat[e - n:e].tobytes() for e, n in zip(ends, sizes, strict=True)]

@@ -33,13 +33,17 @@ from pyspark.sql import functions as F
 from siftwork.session import scratch_dir
 
 from .common import id_remainder, staged, whole
-from .words import hash_words, mix, split_words, word_codes
+from .words import hash_words, mix, portions, split_words, word_codes
 
 FOLDS = 10
-#: Bytes of text that a shard of the model stands for, and characters of text in one block of counts.
-SHARD_BYTES, BLOCK_BYTES = 24 << 20, 24 << 20
+#: Bytes of text that a shard of the model stands for, and bytes of text in one block of counts.
+SHARD_BYTES, BLOCK_BYTES = 24 << 20, 13 << 20
+#: Parts of a shard's hash space that are merged one after the other.
+PARTS = 4
+#: Bytes of text scored at once.
+SCORED_BYTES = 6 << 20
 START, END = np.uint64(1), np.uint64(2)
-_BIGRAMS, _WORDS = np.dtype([("key", "<u8"), ("n", "<u4")]), np.dtype([("key", "<u8"), ("c", "<i8"), ("before", "<i8"), ("n1", "<i8"), ("n2", "<i8"), ("n3", "<i8")])
+_WORD = np.dtype([("c", "<i8"), ("before", "<i8"), ("n1", "<f4"), ("n2", "<f4"), ("n3", "<f4")])
 
 
 def bigram(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -92,16 +96,12 @@ def _lowered(texts: pa.Array) -> pa.Array:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
-    """Texts of several batches together, about BLOCK_BYTES each, or one batch."""
-    held, size = [], 0
+    """The texts in arrays of about BLOCK_BYTES."""
     for batch in batches:
-        held.append(batch.column("text"))
-        size += held[-1].nbytes
-        if size >= BLOCK_BYTES:
-            yield pa.concat_arrays(held)
-            held, size = [], 0
-    if held:
-        yield pa.concat_arrays(held)
+        texts = batch.column("text")
+        for a, b in portions(texts, BLOCK_BYTES):
+            yield texts.slice(a, b - a)
+        pa.default_memory_pool().release_unused()
 
 
 def _count(shards: int):
@@ -137,6 +137,28 @@ def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes[np.cumsum(a, dtype=np.uint32)], hashes[b], c.astype(np.int64)
 
 
+def _merge_part(blocks: list[bytes], part: np.uint64) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of one part of the key space, in order: the bigrams and their counts, and what they say of words."""
+    bounds = [np.uint64(k * (2**64 // PARTS)) for k in range(PARTS)]
+    columns = []
+    for block in blocks:
+        first, second, n = _unpack(block)
+        key = bigram(first, second)
+        own = key >= bounds[int(part)]
+        if int(part) + 1 < PARTS:
+            own &= key < bounds[int(part) + 1]
+        columns.append((key[own], first[own], second[own], n[own]))
+    key, first, second, n = (np.concatenate(c) for c in zip(*columns, strict=True))
+    order = np.argsort(key, kind="stable")
+    key, first, second, n = key[order], first[order], second[order], n[order]
+    starts = np.flatnonzero(np.diff(key, prepend=key[:1] ^ np.uint64(1))) if len(key) else np.zeros(0, int)
+    n = np.add.reduceat(n, starts) if len(starts) else n
+    zero = np.zeros(len(starts), np.int64)
+    one = lambda seen: np.concatenate([zero, seen.astype(np.int64)])
+    both = np.concatenate([second[starts], first[starts]])
+    return key[starts], n, _merged(both, np.concatenate([n, zero]), np.concatenate([zero + 1, zero]), one(n == 1), one(n == 2), one(n >= 3))
+
+
 def _save(folder: str, name: str, rows: np.ndarray) -> None:
     """Whole or not at all: a second attempt writes the same."""
     part = os.path.join(folder, f".{name}.{os.getpid()}.{os.urandom(4).hex()}")
@@ -162,47 +184,50 @@ def _shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[by
 def _write_bigrams(folder: str, word_shards: int):
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, blocks in _shards_of(batches):
-            first, second, n = (np.concatenate(c) for c in zip(*map(_unpack, blocks), strict=True))
-            key = bigram(first, second)
-            order = np.argsort(key, kind="stable")
-            first, second = first[order], second[order]
-            key, n = _merged(key, n)
-            starts = np.searchsorted(bigram(first, second), key)
-            first, second = first[starts], second[starts]
-            out = np.empty(len(key), _BIGRAMS)
-            out["key"], out["n"] = key, np.minimum(n, 2**32 - 1)
-            _save(folder, f"bigrams-{shard:06d}.npy", out)
-            zero = np.zeros(len(key), np.int64)
-            both = np.concatenate([second, first])
-            one = lambda k: np.concatenate([zero, ((n >= 3) if k == 3 else (n == k)).astype(np.int64)])
-            word, c, before, n1, n2, n3 = _merged(both, np.concatenate([n, zero]), np.concatenate([zero + 1, zero]), one(1), one(2), one(3))
+            keys, counts, words, small = [], [], [], np.zeros(4, np.int64)
+            for part in range(PARTS):
+                key, n, own = _merge_part(blocks, np.uint64(part))
+                keys.append(key)
+                counts.append(np.minimum(n, 2**32 - 1).astype(np.uint32))
+                words.append(own)
+                small += [int((n == k).sum()) for k in (1, 2, 3, 4)]
+            _save(folder, f"counts-{shard:06d}.npy", np.concatenate(counts))
+            _save(folder, f"bigrams-{shard:06d}.npy", np.concatenate(keys))
+            word, c, before, n1, n2, n3 = _merged(*(np.concatenate(x) for x in zip(*words, strict=True)))
             of = (mix(word) % np.uint64(word_shards)).astype(np.int64)
             places = [np.flatnonzero(of == k) for k in range(word_shards)]
-            small = np.array([int((n == k).sum()) for k in (1, 2, 3, 4)], np.int64)
-            rows = [(k, _pack(np.array([len(p)], np.int64), word[p], *(v[p].astype(np.uint32) for v in (c, before, n1, n2, n3)))) for k, p in enumerate(places) if len(p)]
-            rows.append((-1, small.tobytes()))
+            rows = [(k, b"W" + _pack(np.array([len(p)], np.int64), word[p], *(v[p].astype(np.uint32) for v in (c, before, n1, n2, n3)))) for k, p in enumerate(places) if len(p)]
+            rows.append((0, b"C" + small.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "block"])
 
     return use
 
 
+TOTALS = ["tokens", "words", "before", "b1", "b2", "b3", "b4", "b3more", "ends", "p1", "p2", "p3", "p4"]
+
+
 def _write_words(folder: str):
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, blocks in _shards_of(batches):
-            columns = []
+            columns, pairs = [(np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 5)], np.zeros(4, np.int64)
             for block in blocks:
-                raw = zstandard.decompress(block)
+                if block[:1] == b"C":
+                    pairs = pairs + np.frombuffer(block, np.int64, 4, 1)
+                    continue
+                raw = zstandard.decompress(memoryview(block)[1:])
                 n = int(np.frombuffer(raw, np.int64, 1)[0])
                 columns.append((np.frombuffer(raw, np.uint64, n, 8), *(x.astype(np.int64) for x in np.frombuffer(raw, np.uint32, 5 * n, 8 + 8 * n).reshape(5, n))))
             merged = _merged(*(np.concatenate(c) for c in zip(*columns, strict=True)))
-            out = np.empty(len(merged[0]), _WORDS)
-            for name, v in zip(_WORDS.names, merged, strict=True):
+            key, out = merged[0], np.empty(len(merged[0]), _WORD)
+            for name, v in zip(_WORD.names, merged[1:], strict=True):
                 out[name] = v
-            _save(folder, f"words-{shard:06d}.npy", out)
-            token = (out["key"] != START) & (out["c"] > 0)
+            if len(out):
+                _save(folder, f"facts-{shard:06d}.npy", out)
+                _save(folder, f"words-{shard:06d}.npy", key)
+            token = (key != START) & (out["c"] > 0)
             b = out["before"][token]
-            yield pa.RecordBatch.from_arrays([pa.array([int(v)], pa.int64()) for v in (out["c"][token].sum(), token.sum(), b.sum(), *((b == k).sum() for k in (1, 2, 3, 4)), (b >= 3).sum(), (out["c"] * (out["key"] == END)).sum())],
-                                             ["tokens", "words", "before", "b1", "b2", "b3", "b4", "b3more", "ends"])
+            totals = [out["c"][token].sum(), token.sum(), b.sum(), *((b == k).sum() for k in (1, 2, 3, 4)), (b >= 3).sum(), (out["c"] * (key == END)).sum(), *pairs]
+            yield pa.RecordBatch.from_arrays([pa.array([int(v)], pa.int64()) for v in totals], TOTALS)
 
     return use
 
@@ -223,28 +248,27 @@ class Model:
         self.facts = facts
         names = sorted(os.listdir(folder))
         self.open = lambda kind: {int(m[1]): np.load(os.path.join(folder, n), mmap_mode="r") for n in names if (m := re.fullmatch(kind + r"-(\d+)\.npy", n))}
-        self.bigrams, self.words = self.open("bigrams"), self.open("words")
+        self.bigrams, self.counts, self.words, self.rows = self.open("bigrams"), self.open("counts"), self.open("words"), self.open("facts")
 
     def bigram_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         key, out = bigram(first, second), np.zeros(len(first), np.float64)
         shard = key % np.uint64(self.facts["shards"])
         order = np.lexsort((key, shard))
         bounds = np.searchsorted(shard[order], np.arange(self.facts["shards"] + 1, dtype=np.uint64))
-        for k, rows in self.bigrams.items():
+        for k, keys in self.bigrams.items():
             own = order[bounds[k]:bounds[k + 1]]
-            keys = rows["key"]
             at = np.minimum(np.searchsorted(keys, key[own]), len(keys) - 1)
-            out[own] = np.where(keys[at] == key[own], rows["n"][at], 0)
+            out[own] = np.where(keys[at] == key[own], self.counts[k][at], 0)
         return out
 
     def word_rows(self, word: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(word), _WORDS)
+        out = np.zeros(len(word), _WORD)
         shard = (mix(word) % np.uint64(self.facts["word_shards"])).astype(np.int64)
-        for k, rows in self.words.items():
+        for k, keys in self.words.items():
             own = np.flatnonzero(shard == k)
-            at = np.minimum(np.searchsorted(rows["key"], word[own]), len(rows) - 1)
-            found = rows["key"][at] == word[own]
-            out[own[found]] = rows[at[found]]
+            at = np.minimum(np.searchsorted(keys, word[own]), len(keys) - 1)
+            found = keys[at] == word[own]
+            out[own[found]] = self.rows[k][at[found]]
         return out
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -281,6 +305,13 @@ class Model:
         return counts, add((c > 0)[places].astype(np.int64)), add(base[places]), add(p[back])
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b in portions(batch.column("text"), SCORED_BYTES):
+            yield batch.slice(a, b - a)
+        pa.default_memory_pool().release_unused()
+
+
 def local_path(path: str) -> str:
     """The shared folder as the workers see it."""
     if path.startswith("file:"):
@@ -301,14 +332,11 @@ def train(docs: DataFrame) -> tuple[str, dict]:
     word_shards = max(2, shards // 4)
     schema = "shard int, block binary"
     blocks = taught.mapInArrow(_count(shards), schema).repartition(shards, "shard").sortWithinPartitions("shard")
-    passed = staged(blocks.mapInArrow(_write_bigrams(folder, word_shards), schema), "ngram-words")
-    small = [np.frombuffer(r.block, np.int64) for r in passed.filter("shard = -1").collect()]  # four numbers a shard
-    pairs = np.sum(small, axis=0) if small else np.zeros(4, np.int64)
-    words = passed.filter("shard >= 0").repartition(word_shards, "shard").sortWithinPartitions("shard")
-    names = ["tokens", "words", "before", "b1", "b2", "b3", "b4", "b3more", "ends"]
-    made = staged(words.mapInArrow(_write_words(folder), ", ".join(f"{n} long" for n in names)), "ngram-totals")
-    facts = {n: int(v or 0) for n, v in made.agg(*[F.sum(n).alias(n) for n in names]).first().asDict().items()}
-    facts |= {"shards": shards, "word_shards": word_shards, "d_pairs": discounts(*map(int, pairs)), "d_before": discounts(*(facts[f"b{k}"] for k in (1, 2, 3, 4)))}
+    # A task that runs again writes the same files again, so nothing between is kept.
+    words = blocks.mapInArrow(_write_bigrams(folder, word_shards), schema).repartition(word_shards, "shard").sortWithinPartitions("shard")
+    made = staged(words.mapInArrow(_write_words(folder), ", ".join(f"{n} long" for n in TOTALS)), "ngram-totals")
+    facts = {n: int(v or 0) for n, v in made.agg(*[F.sum(n).alias(n) for n in TOTALS]).first().asDict().items()}
+    facts |= {"shards": shards, "word_shards": word_shards, "d_pairs": discounts(*(facts[f"p{k}"] for k in (1, 2, 3, 4))), "d_before": discounts(*(facts[f"b{k}"] for k in (1, 2, 3, 4)))}
     return folder, facts
 
 
@@ -318,10 +346,10 @@ def score(docs: DataFrame) -> DataFrame:
 
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(folder, facts)
-        for batch in batches:
-            n, known, base, own = model.score(batch.column("text"))
+        for part in _parts(batches):
+            n, known, base, own = model.score(part.column("text"))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("held_out"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), facts["tokens"]), pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64())],
+                part.column("doc_id"), part.column("held_out"), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(np.full(len(n), facts["tokens"]), pa.int64()), pa.array(base, pa.float64()), pa.array(own, pa.float64())],
                 ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     rows = docs.select("doc_id", F.coalesce(id_remainder("doc_id", FOLDS) == 0, F.lit(False)).alias("held_out"), whole("text").alias("text"))

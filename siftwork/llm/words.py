@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
 
+def portions(texts: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``size`` bytes of text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield at, to
+        at = to
+
+
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts in order, and how many each text has. A null text has none."""
     lists = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
