@@ -15,17 +15,22 @@ def headroom(caps: DataFrame, counts: DataFrame, keys) -> DataFrame:
         *keys, F.greatest(F.lit(0), F.col("cap") - F.coalesce("used", F.lit(0))).cast("bigint").alias("headroom"))
 
 
-def fill_budgets(candidates: DataFrame, room: DataFrame, max_cap: int, order, keys=("niche", "qualification")) -> DataFrame:
+def _largest(room: DataFrame) -> int:
+    """The largest budget, read from the budget table itself: a few rows, so a small job while the plan is built."""
+    return int(room.agg(F.max("headroom")).first()[0] or 0)
+
+
+def fill_budgets(candidates: DataFrame, room: DataFrame, order, keys=("niche", "qualification")) -> DataFrame:
     """Rows taken in order while their (niche, class) budget lasts.
 
-    ``max_cap`` bounds every budget, so the ranking keeps at most that many rows per class and task.
+    No budget is above the largest one, so the ranking keeps at most that many rows per class and task.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
-    ranked = candidates.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= max_cap)
+    ranked = candidates.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= _largest(room))
     return ranked.join(room, list(keys)).where(F.col("slot") <= F.col("headroom"))
 
 
-def apply_headroom(screened: DataFrame, room: DataFrame, max_cap: int, order: list[str], keys=("niche", "bucket")) -> DataFrame:
+def apply_headroom(screened: DataFrame, room: DataFrame, order: list[str], keys=("niche", "bucket")) -> DataFrame:
     """Turn away rows that reach the budget check when their (niche, class) budget is spent.
 
     Only rows that pass everything use budget. The budget is spent at the ``headroom``-th such row;
@@ -34,7 +39,7 @@ def apply_headroom(screened: DataFrame, room: DataFrame, max_cap: int, order: li
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     passing = screened.where(F.col("bucket").isNotNull() & F.col("reason").isNull())
-    ranked = passing.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= max_cap)
+    ranked = passing.withColumn("slot", F.row_number().over(w)).where(F.col("slot") <= _largest(room))
     last = ranked.join(room, list(keys)).where(F.col("slot") == F.col("headroom")).select(*keys, F.struct(*order).alias("last"))
     ends = room.join(last, list(keys), "left").select(*keys, "headroom", "last")
     after = (F.col("headroom") == 0) | (F.struct(*order) > F.col("last"))

@@ -130,12 +130,13 @@ def send_budget(claims: DataFrame, day: str, cap: int = V.SEND_DAILY_CAP, tz=V.B
     return near.agg(n.alias("claimed"), F.greatest(F.lit(0), F.lit(cap) - n).cast("bigint").alias("remaining"))
 
 
-def claim_decision(queue: DataFrame, ledger: DataFrame, remaining: DataFrame, cap: int = V.SEND_DAILY_CAP,
+def claim_decision(queue: DataFrame, ledger: DataFrame, remaining: DataFrame,
                    allow_retry: bool = False, allow_recontact: bool = False) -> DataFrame:
     """First reason that blocks a send, per queued row, else ``granted``.
 
     ``queue``: entity_id, claim_key, qualification, address, ord. ``ledger``: entity_id, claim_key,
-    state. ``remaining``: one row with the day's left budget (never above ``cap``).
+    state. ``remaining``: one row with the day's left budget, read while the plan is built:
+    no more addresses than that are ranked.
     """
     sent = ledger.where("state = 'Sent'").select("entity_id").distinct().withColumn("ever_sent", F.lit(True))
     state = classify_claims(ledger, "claim_key").select("claim_key", F.col("reason").alias("key_reason"))
@@ -152,13 +153,13 @@ def claim_decision(queue: DataFrame, ledger: DataFrame, remaining: DataFrame, ca
     j = j.withColumn("early", early)
     open_rows = j.where("early is null")
     firsts = open_rows.groupBy("address").agg(F.min("ord").alias("ord"))
-    top = firsts.orderBy("ord").limit(cap).withColumn("rn", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("ord")))
-    left = remaining.select("remaining").scalar()
-    granted = top.where(F.col("rn") <= left)
+    left = int(remaining.select("remaining").first()[0])
+    top = firsts.orderBy("ord").limit(left).withColumn("rn", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("ord")))
+    granted = top
     end = granted.agg(F.struct(F.max("ord").alias("last"), F.count(F.lit(1)).alias("n"))).scalar()
     last_ord, n_granted = end["last"], end["n"]
     d = j.join(granted.select(F.col("ord").alias("_g")), F.col("ord") == F.col("_g"), "left")
-    spent = (n_granted >= left) & (last_ord.isNull() | (F.col("ord") > last_ord))
+    spent = (n_granted >= F.lit(left)) & (last_ord.isNull() | (F.col("ord") > last_ord))
     reason = F.coalesce(
         "early",
         F.when(F.col("_g").isNotNull(), F.lit("granted")).when(spent, F.lit("over_daily_cap")).otherwise(F.lit("duplicate_address")))

@@ -318,7 +318,7 @@ def _(s, d):
 @query("W4_fill_budgets", with_("ent", f""", {_CAPS}, {_USED} SELECT entity_id, niche, qualification, CAST(slot AS INTEGER) AS slot FROM (SELECT entity_id, niche, {_QUAL} AS qualification, row_number() OVER (PARTITION BY niche, {_QUAL} ORDER BY entity_id) AS slot FROM ent)
   JOIN room USING (niche, qualification) WHERE slot <= headroom"""))
 def _(s, d):
-    return budgets.fill_budgets(_candidates(s, d), _room(s, d), 30, ["entity_id"]).select("entity_id", "niche", "qualification", "slot")
+    return budgets.fill_budgets(_candidates(s, d), _room(s, d), ["entity_id"]).select("entity_id", "niche", "qualification", "slot")
 
 
 def _scan_sql(q, f, patience):

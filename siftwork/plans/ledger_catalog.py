@@ -185,7 +185,7 @@ def _decision_sql(sent: str) -> str:
 
 def _decide(s, d, recontact):
     budget = ledger.send_budget(B.claims(s, d).where("state = 'Claimed'"), "2023-01-01", 60)
-    return ledger.claim_decision(_queue(s, d), _keyed_claims(s, d), budget, 60, allow_recontact=recontact).select("ord", "reason")
+    return ledger.claim_decision(_queue(s, d), _keyed_claims(s, d), budget, allow_recontact=recontact).select("ord", "reason")
 
 
 @query("T7_claim_decision", _decision_sql("state = 'Sent'"))

@@ -95,7 +95,7 @@ def _(s, d):
     sc = screened(s, d)
     rows = F.array(*[F.struct(F.lit(n).alias("niche"), F.lit(b).alias("bucket"), F.lit(h).alias("headroom")) for (n, b), h in _ROOM.items()])
     room = s.range(1).select(F.explode(rows).alias("r")).select("r.*")
-    return budgets.apply_headroom(sc, room, 10, ["entity_id"]).select("entity_id", "bucket", "reason")
+    return budgets.apply_headroom(sc, room, ["entity_id"]).select("entity_id", "bucket", "reason")
 
 
 @query("P18_screen_report", with_("ent itm pos doc sup supkey", _SCREEN + " SELECT reason, count(*) AS n FROM done WHERE reason IS NOT NULL GROUP BY 1", recursive=True))

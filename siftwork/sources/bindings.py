@@ -18,15 +18,15 @@ COUNTRY_BY_NATION = [
 ]
 # A title ending per nation key: flags, country names and look-alikes.
 TITLE_END_BY_NATION = [
-    "", " Studio", " 🇯🇵", " at Home", " Inside Japan Living", " Labs", " LIV KENYA", " 🇺🇸", " 🇺🇸🇯🇵",
-    " Japanese Joinery", " South Korea Eats", " (Portrait)", "", " & Sons", " 🇨🇦🇬🇧", " TV", " bbc fan",
+    "", " Studio", " 🇯🇵", " at Home", " Around Japan Weekly", " Labs", " SUN KENYA", " 🇺🇸", " 🇺🇸🇯🇵",
+    " Japanese Gardens", " South Korea Walks", " (Portrait)", "", " & Sons", " 🇨🇦🇬🇧", " TV", " bbc fan",
     " Indiana", " 🇩🇪🇫🇷", " Ltd", " Home", " Room", " in india", " New Zealand", " +1",
 ]
 # A text ending per item key digit: location cues, bare mentions and in-zone places.
 TEXT_END_BY_DIGIT = [
-    " Based in the Philippines.", " gear from Japan", " We live in Mueang Prachuap Khiri Khan Thailand",
-    " based in Canada", " from a village in Kenya Africa", "", " moved to Lisbon, then on", " location: Seoul, Korea",
-    " Clips from India and Pakistan", " home base Toronto",
+    " Our kitchen is based in the Philippines.", " lenses out of Japan", " We live in a house on the north hills of Thailand",
+    " based in Canada", " from a farm in Kenya, near the lake", "", " moved to Lisbon, then on", " location: Seoul, Korea",
+    " Songs out of India and Pakistan", " home base Toronto",
 ]
 ZONE = ["US", "CA", "GB", "AU"]
 ITEMS_AS_OF = "2001-08-01 00:00:00"

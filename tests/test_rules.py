@@ -172,7 +172,7 @@ def test_followup_order(rows):
 def test_budgets_fill_in_order_and_claims_pass_on(rows):
     c = rows("entity_id int, niche string, qualification string", *[(i, "n", "q" if i % 2 else "f") for i in range(8)])
     room = rows("niche string, qualification string, headroom bigint", ("n", "q", 2), ("n", "f", 0))
-    assert sorted(r.entity_id for r in budgets.fill_budgets(c, room, 5, ["entity_id"]).collect()) == [1, 3]
+    assert sorted(r.entity_id for r in budgets.fill_budgets(c, room, ["entity_id"]).collect()) == [1, 3]
     both = rows("entity_id int, niche string", (1, "a"), (1, "b"), (2, "a"), (2, "b"), (3, "b"))
     got = {(r.entity_id, r.niche) for r in budgets.first_niche_claims(both, ["a", "b"], 1, ["entity_id"]).collect()}
     assert got == {(1, "a"), (2, "b")}
@@ -206,7 +206,7 @@ def test_headroom_is_used_by_passing_rows_only(rows):
               (1, "n", "Qualified", "no_social_presence", ""), (2, "n", "Qualified", None, None), (3, "n", None, "shorts_only", ""), (4, "n", "Qualified", "blocked", "email x"),
               (5, "n", "New Channel", None, None), (6, "m", "Qualified", None, None))
     room = rows("niche string, bucket string, headroom int", ("n", "Qualified", 1), ("n", "New Channel", 0))
-    got = {r.entity_id: r.reason for r in budgets.apply_headroom(sc, room, 5, ["entity_id"]).collect()}
+    got = {r.entity_id: r.reason for r in budgets.apply_headroom(sc, room, ["entity_id"]).collect()}
     full = "no_headroom_for_bucket"
     assert got == {1: "no_social_presence", 2: None, 3: "shorts_only", 4: full, 5: full, 6: None}
 
@@ -218,3 +218,23 @@ def test_normalise_items_tells_absent_from_unreadable(rows):
               ("a", ("v3", None, ("many", None, None), None, None)))
     got = [(r.item_id, r.title, r.published_at, r.views, r.engagements, r.seconds, r.language) for r in tables.normalise_items(df).collect()]
     assert got == [("v1", "T", dt.datetime(2024, 1, 2, 3, 4, 5), 12, 0, 60, "en-GB"), ("v2", "", None, None, 7, None, "fr"), ("v3", "", None, 0, 0, None, "")]
+
+
+def test_budgets_above_any_literal_are_filled(rows):
+    c = rows("entity_id int, niche string, qualification string", *[(i, "a", "q") for i in range(20)])
+    room = rows("niche string, qualification string, headroom bigint", ("a", "q", 12))
+    assert sorted(r.entity_id for r in budgets.fill_budgets(c, room, ["entity_id"]).collect()) == list(range(12))
+
+
+def test_large_headroom_is_spent_in_order(rows):
+    sc = rows("entity_id int, niche string, bucket string, reason string, detail string", *[(i, "a", "q", None, None) for i in range(20)])
+    room = rows("niche string, bucket string, headroom bigint", ("a", "q", 12))
+    got = {r.entity_id: r.reason for r in budgets.apply_headroom(sc, room, ["entity_id"]).collect()}
+    assert [i for i in range(20) if got[i] is None] == list(range(12)) and got[12] == "no_headroom_for_bucket"
+
+
+def test_a_large_send_budget_grants_all_it_covers(rows):
+    q = rows("entity_id int, claim_key string, qualification string, address string, ord int", *[(i, f"k{i}", "Qualified", f"a{i}", i) for i in range(20)])
+    led = rows("entity_id int, claim_key string, state string, settled_at timestamp, claimed_at timestamp")
+    got = [r.reason for r in ledger.claim_decision(q, led, rows("remaining bigint", (15,))).orderBy("ord").collect()]
+    assert got == ["granted"] * 15 + ["over_daily_cap"] * 5
