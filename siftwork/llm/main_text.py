@@ -2,7 +2,7 @@
 
 The weights come from labelled pages: on a bounded sample of pages (the ``SAMPLE`` with the least hash of their id) that mark
 their article up as such, words and each kind of tag are counted inside and outside of it; a weight is the log of how much more
-often the item comes inside, held between 0.2 and 2 for words and between -6 and -0.05 for tags. Without labelled pages, and for tags not
+often the item comes inside, held between 0.5 and 2 for words and between -6 and -0.05 for tags. Without labelled pages, and for tags not
 met there, fixed priors stand in. Elements that are never part of an article (menus, forms, adverts and the like, by their name, role or
 class) count nothing in the scan and their text is left out, wherever they stand. Whole blocks are returned: a block is in
 if any of its words lies in the run.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 500
-WORD_PRIOR, TAG_PRIOR = 0.5, -1.0
+WORD_PRIOR, TAG_PRIOR = 0.5, -0.5
 #: Names of elements, and what names, roles and classes say that an element is no part of an article.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html "
@@ -152,7 +152,7 @@ def train(pages: DataFrame) -> dict[str, float]:
     out = {}
     for r in rows:
         ratio = math.log((r.i + 1) / (inside + len(rows))) - math.log((r.o + 1) / (outside + len(rows)))
-        out[r.name] = min(-0.05, max(-6.0, ratio)) if r.name else min(2.0, max(0.2, ratio))
+        out[r.name] = min(-0.05, max(-6.0, ratio)) if r.name else min(2.0, max(0.5, ratio))
     return out
 
 
