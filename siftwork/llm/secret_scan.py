@@ -2,7 +2,7 @@
 
 Two first-order models over the characters of keys and names are counted from labelled strings: random ones are what the
 patterns catch in a bounded sample of documents, and strings drawn uniformly from the usual alphabets; ordinary ones are all
-other runs of the same characters in that sample. The sample is the ``SAMPLE`` documents with the least hash of their id. A run
+other runs of the same characters in that sample, but for long ones that mix letters and digits. The sample is the ``SAMPLE`` documents with the least hash of their id. A run
 of ``LEAST`` characters or more with a letter is a secret if the log-likelihood ratio is ``RATIO`` or more in favour of
 random. The patterns' spans always stay; a run that meets one of them adds nothing.
 
@@ -36,6 +36,8 @@ _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST, RATIO, SAMPLE, DRAWN = 16, 10.0, 2_000, 300
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _WORDS = re.compile(r"[A-Za-z0-9+/_=-]{4,}")
+#: Long runs of letters and digits are what is to be judged, so they are labelled as neither.
+_MIXED = re.compile(r"(?=.{16})(?=.*[0-9])(?=.*[A-Za-z])").match
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _PLACE = np.full(128, 0, np.int64)
 _PLACE[[ord(c) for c in ALPHABET]] = np.arange(1, len(ALPHABET) + 1)
@@ -76,7 +78,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hidden = list(text)
             for s, _, e in spans:
                 hidden[s:e] = "\n" * (e - s)
-            for row, strings in ((0, [x for c in caught for x in _WORDS.findall(c)]), (1, _WORDS.findall("".join(hidden)))):
+            for row, strings in ((0, [x for c in caught for x in _WORDS.findall(c)]), (1, [x for x in _WORDS.findall("".join(hidden)) if not _MIXED(x)])):
                 if strings:
                     total[row] += np.bincount(_steps(strings)[0], minlength=STATES * STATES)
     some = np.flatnonzero(total.ravel())
