@@ -173,7 +173,7 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced; rows and columns stay, n_chars follows the text, a null text stays null."""
     rows = docs.select("*", whole("text").alias("__text"))
     done = rows.mapInArrow(_scan(train(docs), True), rows.withColumnRenamed("__text", "__masked").schema)
+    if "n_chars" in docs.columns:  # before the text itself changes
+        done = done.withColumn("n_chars", F.when(F.col("__masked") == whole("text"), F.col("n_chars")).otherwise(F.length("__masked").cast(docs.schema["n_chars"].dataType)))
     done = done.withColumn("text", F.when(F.col("text").isNotNull(), F.col("__masked")))
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("__masked") == whole("text"), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return only(done, docs.columns)
