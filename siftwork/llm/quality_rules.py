@@ -195,18 +195,17 @@ def judge(measured: DataFrame, state: DataFrame | None = None, lang: str = "lang
     state = fit(measured, lang, source) if state is None else state
     estimate = F.struct(*[c for c in state.columns if c not in _KEYS]).alias("e")
     named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-"))
-    rows = measured.select("*", named(lang).alias("__lang"), named(source).alias("__source"))
+    # The rows' own columns travel as one struct, so none of their names can clash.
+    rows = measured.select(F.struct(*[F.col(f"`{c}`") for c in measured.columns]).alias("__doc"), base_failed().alias("__failed"), *_coordinates(), named(lang).alias("__lang"), named(source).alias("__source"))
     parts = {k: state.filter(F.col("level") == k).select(F.col("g_lang").alias(f"__l{k}"), F.col("g_source").alias(f"__s{k}"), estimate.alias(f"__e{k}")) for k in (0, 1, 2)}
     rows = rows.join(parts[0].filter(F.col("__e0.n") >= MIN_ROWS), (F.col("__lang") == F.col("__l0")) & (F.col("__source") == F.col("__s0")), "left")
     rows = rows.join(parts[1].filter(F.col("__e1.n") >= MIN_ROWS), F.col("__lang") == F.col("__l1"), "left")
     rows = rows.join(parts[2].withColumn("__all", F.lit(1)).hint("broadcast"), F.lit(1) == F.col("__all"), "left")  # one row
     rows = rows.withColumn("__e", F.coalesce("__e0", "__e1", "__e2"))
-    keep = [f"`{c}`" for c in measured.columns]
-    flat = rows.select(*keep, *[c for c in _coordinates()], "__e.*")
-    judged = _distance(flat).withColumn("d2", F.col("d2") / F.col("scale"))
-    out = judged.select(*keep, F.col("d2").alias("__d2"))
-    failed = base_failed()
-    return with_columns(out, base_failed=failed, distance=F.col("__d2"), kept=~failed & F.coalesce(F.col("__d2") <= CUTOFF, F.lit(True))).drop("__d2")
+    judged = _distance(rows.select("__doc", "__failed", *_Z, "__e.*"))
+    out = judged.select("__doc.*", "__failed", (F.col("d2") / F.col("scale")).alias("__d2"))
+    failed = F.col("__failed")
+    return with_columns(out, base_failed=failed, distance=F.col("__d2"), kept=~failed & F.coalesce(F.col("__d2") <= CUTOFF, F.lit(True))).drop("__d2", "__failed")
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
