@@ -47,12 +47,15 @@ def run_summary(runs: DataFrame, run: str) -> DataFrame:
 
 
 def coverage(rows: DataFrame, email="email", source="source", reachable="reachable", freemail=V.FREEMAIL_DOMAINS) -> DataFrame:
-    """Contacts found by source, how many are free mail, and the found share of reachable rows."""
-    found = ~blank(email)
+    """Contacts found by source, how many are free mail, and the found share of reachable rows.
+
+    Rows are read once, into one count per source and outcome; the totals add up these counts.
+    """
     free = F.lower(F.substring_index(F.col(email), "@", -1)).isin(*freemail)
-    n, hit = rows.agg(F.count_if(F.col(reachable))).scalar(), rows.agg(F.count_if(found & F.col(reachable))).scalar()
-    by = rows.where(found & F.col(reachable)).groupBy(source).agg(F.count(F.lit(1)).alias("found"), F.count_if(free).alias("freemail"))
-    return by.select(source, "found", "freemail", n.alias("reachable"), F.round(F.try_divide(hit.cast("double"), n) * 100, 2).alias("found_pct"))
+    counts = rows.where(F.col(reachable)).groupBy(source, (~blank(email)).alias("_found")).agg(F.count(F.lit(1)).alias("found"), F.count_if(free).alias("freemail"))
+    overall = Window.partitionBy(F.lit(1))
+    totals = counts.withColumn("reachable", F.sum("found").over(overall)).withColumn("_hit", F.sum(F.when(F.col("_found"), F.col("found"))).over(overall))
+    return totals.where("_found").select(source, "found", "freemail", "reachable", F.round(F.try_divide(F.col("_hit").cast("double"), "reachable") * 100, 2).alias("found_pct"))
 
 
 def backtest(rows: DataFrame, niche: str, status: str, score: str, flag: str, approved="Approved") -> DataFrame:

@@ -244,16 +244,17 @@ def _(s, d):
     return matching.label_join(v, lab, "doc_id", "status", ["Approved", "Rejected"])
 
 
-_CKEY = "CASE WHEN event_type IN ('view', 'click') THEN 'video' ELSE 'text' END AS tier, CAST(user_id AS VARCHAR) AS subject, CAST(json_extract_string(props, '$.k') AS BIGINT) // 10 AS start_s, left(sha256(event_type), 16) AS digest"
+_CKEY = "CASE WHEN event_type IN ('view', 'click') THEN 'video' ELSE 'text' END AS tier, CAST(user_id AS VARCHAR) AS subject, CAST(json_extract_string(props, '$.k') AS BIGINT) // 10 AS start_s, left(sha256(event_type), 16) AS digest, 'm' || event_id % 2 AS model, CAST(json_extract_string(props, '$.k') AS BIGINT) // 10 + 1 + event_id % 3 AS end_s"
 
 
-@query("J12_verdict_lookup", f"""WITH r AS (SELECT event_id, {_CKEY}, 'v1' AS version FROM events WHERE ts >= TIMESTAMP '2024-01-15'), c AS (SELECT {_CKEY}, 'v1' AS version, max(value) AS verdict FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1, 2, 3, 4, 5)
-  SELECT event_id, verdict, verdict IS NOT NULL AS hit FROM r LEFT JOIN c USING (tier, subject, start_s, digest, version)""")
+@query("J12_verdict_lookup", f"""WITH r AS (SELECT event_id, {_CKEY}, 'v1' AS version FROM events WHERE ts >= TIMESTAMP '2024-01-15'), c AS (SELECT {_CKEY}, 'v1' AS version, max(value) AS verdict FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1, 2, 3, 4, 5, 6, 7)
+  SELECT event_id, verdict, verdict IS NOT NULL AS hit FROM r LEFT JOIN c USING (tier, model, subject, start_s, end_s, digest, version)""")
 def _(s, d):
+    start = F.floor(F.get_json_object("props", "$.k").cast("bigint") / 10)
     e = B.events(s, d).select(
-        "event_id", "ts", "value", F.when(F.col("event_type").isin("view", "click"), "video").otherwise("text").alias("tier"), F.col("user_id").cast("string").alias("subject"),
-        F.floor(F.get_json_object("props", "$.k").cast("bigint") / 10).alias("start_s"), F.substring(F.sha2("event_type", 256), 1, 16).alias("digest"), F.lit("v1").alias("version"))
-    keys = ["tier", "subject", "start_s", "digest", "version"]
+        "event_id", "ts", "value", F.concat(F.lit("m"), F.col("event_id") % 2).alias("model"), (start + 1 + F.col("event_id") % 3).alias("end_s"), F.when(F.col("event_type").isin("view", "click"), "video").otherwise("text").alias("tier"), F.col("user_id").cast("string").alias("subject"),
+        start.alias("start_s"), F.substring(F.sha2("event_type", 256), 1, 16).alias("digest"), F.lit("v1").alias("version"))
+    keys = ["tier", "model", "subject", "start_s", "end_s", "digest", "version"]
     cache = e.where("ts < timestamp '2024-01-15'").groupBy(*keys).agg(F.max("value").alias("verdict"))
     return matching.verdict_lookup(e.where("ts >= timestamp '2024-01-15'").select("event_id", *keys), cache, keys).select("event_id", "verdict", "hit")
 

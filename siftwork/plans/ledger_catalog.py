@@ -128,8 +128,7 @@ _REASONS = "MAP {1: 'previously_not_sent', 2: 'in_flight', 3: 'maybe_sent', 4: '
 
 
 def _keyed_claims(s, d):
-    e = B.events(s, d).select(F.col("event_id").alias("record_id"), F.floor(k_col() / 4).alias("c"))
-    return B.claims(s, d).join(e, "record_id").withColumn("claim_key", F.concat_ws(":", F.col("entity_id").cast("string"), F.col("c").cast("string"))).drop("c")
+    return B.claims(s, d).withColumn("claim_key", F.concat_ws(":", F.col("entity_id").cast("string"), F.floor(k_col() / 4).cast("string"))).drop("props")
 
 
 _KCLM = f", kc AS (SELECT clm.*, clm.entity_id || ':' || {_K} // 4 AS claim_key FROM clm JOIN events ON event_id = record_id)"

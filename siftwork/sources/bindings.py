@@ -120,7 +120,7 @@ def claims(spark, folder) -> DataFrame:
     state = F.create_map(*[F.lit(x) for kv in CLAIM_STATE_BY_EVENT.items() for x in kv])
     return events(spark, folder).select(
         F.col("event_id").alias("record_id"), F.col("user_id").alias("entity_id"), "ts",
-        F.try_element_at(state, F.col("event_type")).alias("state"),
+        F.try_element_at(state, F.col("event_type")).alias("state"), "props",
     )
 
 

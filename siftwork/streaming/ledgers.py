@@ -120,40 +120,43 @@ def can_afford(events: DataFrame, day_cap: float, month_cap: float, delay: str =
 
 
 class _Stranded(StatefulProcessor):
-    """Remembers an open claim and reports it when nothing settled it in time."""
+    """Remembers an open claim and reports it when nothing settled it in time.
+
+    The time of the latest event stays until the watermark has passed it, so a claim that arrives
+    after the event that settled it opens nothing.
+    """
 
     def __init__(self, minutes: int):
         self.hold = minutes * 60_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", "claimed_us bigint")
+        self.open = handle.getValueState("open", "claimed_us bigint, seen_us bigint")  # claimed_us -1: settled
 
     def _report(self, key, us: int) -> pd.DataFrame:
         return pd.DataFrame([(key[0], us)], columns=["entity_id", "claimed_us"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         got = sorted((int(r[0]), int(r[1]), r[2]) for pdf in rows for r in pdf[["us", "record_id", "state"]].itertuples(index=False, name=None))
-        pending = self.open.get()[0] if self.open.exists() else None
+        pending, seen = self.open.get() if self.open.exists() else (-1, -1)
         for us, _, state in got:
-            if pending is not None and us < pending:
-                continue  # older than the claim it would settle
-            if pending is not None and us - pending > self.hold:
+            if us < seen:
+                continue  # older than what it would settle, or settled already
+            if pending >= 0 and us - pending > self.hold:
                 yield self._report(key, pending)
-            pending = us if state == "Claimed" else None
+            pending, seen = us if state == "Claimed" else -1, us
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
-        if pending is None:
-            self.open.clear()
-        else:
-            self.open.update((pending,))
-            self.handle.registerTimer(max((pending + self.hold) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+        self.open.update((pending, seen))
+        due = pending + self.hold if pending >= 0 else seen
+        self.handle.registerTimer(max(due // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         if self.open.exists():
             us = self.open.get()[0]
             self.open.clear()
-            yield self._report(key, us)
+            if us >= 0:
+                yield self._report(key, us)
 
 
 def stranded(events: DataFrame, minutes: int = V.STRANDED_AFTER_MINUTES, delay: str = "10 minutes") -> DataFrame:

@@ -88,3 +88,8 @@ def test_stranded_claims_are_reported_once_the_time_is_up(spark, feed):
         [event(6, 190, 3, "MaybeSent"), event(7, 400, 4, "Claimed")], [event(8, 430, 9, "Sent")]))
     got = {(r.entity_id, r.claimed_at) for r in io.appended(spark, ledgers.stranded(df, 60), "t").collect()}
     assert got == {(1, START), (3, START + dt.timedelta(minutes=10))}
+
+
+def test_a_claim_that_arrives_after_its_settlement_is_not_stranded(spark, feed):
+    df = states(feed([event(1, 30, 1, "Sent")], [event(2, 25, 1, "Claimed"), event(3, 26, 2, "Claimed")], [event(4, 400, 9, "Sent")], [event(5, 430, 9, "Sent")]))
+    assert {r.entity_id for r in io.appended(spark, ledgers.stranded(df, 60), "t").collect()} == {2}
