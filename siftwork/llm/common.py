@@ -39,6 +39,18 @@ def id_remainder(doc_id: str, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % n
 
 
+def sampled(df: DataFrame, key: str, n: int) -> DataFrame:
+    """About ``n`` rows: those whose key hashes into the lowest ``n`` parts of as many as there are rows; all rows of a smaller table.
+
+    Nothing is sorted or gathered. A key decides for all its rows; null keys are left out of a larger table.
+    """
+    total, parts = df.count(), 1 << 62
+    if total <= n:
+        return df
+    place = F.pmod(F.xxhash64(key), F.lit(parts))
+    return df.filter(F.col(key).isNotNull() & (place < F.lit(parts // total * n)))
+
+
 def with_columns(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with these columns; one of the same name in any case is replaced."""
     taken = {c.lower() for c in columns}

@@ -2,7 +2,7 @@
 
 Two first-order models over the characters of keys and names are counted from labelled strings: random ones are what the
 patterns catch in a bounded sample of documents, and strings drawn uniformly from the usual alphabets; ordinary ones are all
-other runs of the same characters in that sample, but for long ones that mix letters and digits. The sample is the ``SAMPLE`` documents with the least hash of their id. A run
+other runs of the same characters in that sample, but for long ones that mix letters and digits. The sample is about ``SAMPLE`` documents, by the hash of their id. A run
 of ``LEAST`` characters or more with a letter is a secret if the log-likelihood ratio is ``RATIO`` or more in favour of
 random. The patterns' spans always stay; a run that meets one of them adds nothing.
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import only, whole
+from .common import only, sampled, whole
 
 KINDS = ["assign", "access", "hex", "markov"]
 #: The base patterns and the least sizes of what they must catch.
@@ -87,7 +87,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame) -> np.ndarray:
     """Log-likelihood ratio of every transition, random over ordinary. At most 2 * STATES ** 2 counts reach the driver."""
-    sample = docs.select("doc_id", whole("text").alias("text")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+    sample = sampled(docs.select("doc_id", whole("text").alias("text")), "doc_id", SAMPLE)
     rows = sample.select("text").mapInArrow(_count, "cls int, step int, n long").groupBy("cls", "step").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros((2, STATES * STATES))
     for r in rows:
