@@ -1,6 +1,6 @@
 """Main text of web pages by the maximum-scoring run: words score for it, tags against it, and one linear scan finds the best run.
 
-The weights come from labelled pages: on a bounded sample of pages (the ``SAMPLE`` with the least hash of their id) that mark
+The weights come from labelled pages: on a bounded sample of pages (about ``SAMPLE``, by the hash of their id) that mark
 their article up as such, words and each kind of tag are counted inside and outside of it; a weight is the log of how much more
 often the item comes inside, held between 0.5 and 2 for words and between -6 and -0.05 for tags. Without labelled pages, and for tags not
 met there, fixed priors stand in. Elements that are never part of an article (menus, forms, adverts and the like, by their name, role or
@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import sampled
+
 SAMPLE = 500
 WORD_PRIOR, TAG_PRIOR = 0.5, -0.5
 #: Names of elements, and what names, roles and classes say that an element is no part of an article.
@@ -145,7 +147,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(pages: DataFrame) -> dict[str, float]:
     """Weights of words ("") and tags; the 300 most frequent names reach the driver."""
-    sample = pages.select("page_id", F.coalesce("html", F.lit("")).alias("html")).orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE)
+    sample = sampled(pages.select("page_id", F.coalesce("html", F.lit("")).alias("html")), "page_id", SAMPLE)
     rows = sample.select("html").mapInArrow(_count, "name string, inside boolean, n long").groupBy("name").agg(
         F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("i"), F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("o")).orderBy(F.desc(F.col("i") + F.col("o")), "name").limit(300).collect()
     inside, outside = sum(r.i for r in rows), sum(r.o for r in rows)
