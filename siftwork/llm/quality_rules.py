@@ -26,13 +26,14 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 #: Coordinates are multiples of 1 / UNIT.
 UNIT = 1024
-#: Coordinate and the spread, in its own units, below which no group's spread counts.
-COORDINATES = {"z_words": 0.35, "z_length": 0.08, "z_symbols": 0.10, "z_lines": 0.15, "z_repeats": 0.15, "z_upper": 0.12}
+#: Coordinate and its least spread (beside what those before it explain), in its own units, put in where the fitted one is smaller.
+#: Most texts have no symbols or repeats at all, so these are fitted as 0; a chance line or window of a short text must not decide.
+COORDINATES = {"z_words": 0.10, "z_length": 0.03, "z_symbols": 0.03, "z_lines": 0.12, "z_repeats": 0.10, "z_upper": 0.03}
 DIM = len(COORDINATES)
 #: Share of a group's rows that the estimate rests on; the chi-square quantile of that share for DIM degrees of freedom.
 SHARE, SHARE_QUANTILE = 0.75, 7.8408
-#: A squared distance over this fails (fewer than one in a million normal rows).
-CUTOFF = 40.0
+#: A squared distance over this fails: the chi-square quantile of 0.9999 for DIM degrees of freedom.
+CUTOFF = 27.856
 STEPS = 5
 #: So many ordinary words are added to a text's shares and mean length, which a short text otherwise throws about.
 SMOOTH = 20
@@ -119,11 +120,14 @@ def _with_groups(rows: DataFrame) -> DataFrame:
 
 
 def _inverse_factor(state: DataFrame) -> DataFrame:
-    """Adds the Cholesky factor (l_i_j) of the covariance (c_i_j), each factor made once, in one projection after another."""
+    """Adds the Cholesky factor (l_i_j) of the covariance (c_i_j), each factor made once, in one projection after another.
+
+    No diagonal factor is under its coordinate's least spread, so a singular covariance has a factor too.
+    """
     for i in range(DIM):
         for j in range(i + 1):
             got = F.col(f"c_{j}_{i}") - sum((F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}") for k in range(j)), F.lit(0.0))
-            state = state.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(got, F.lit(1.0))) if i == j else got / F.col(f"l_{j}_{j}"))
+            state = state.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(got, F.lit(_FLOOR[i]))) if i == j else got / F.col(f"l_{j}_{j}"))
     return state.select(*[c for c in state.columns if not c.startswith("c_")])
 
 
@@ -152,7 +156,7 @@ def _start(rows: DataFrame) -> DataFrame:
     )
     return wide.select(
         *_KEYS, "n", F.lit(1.0).alias("scale"), *[f"m_{i}" for i in range(DIM)],
-        *[(F.col(f"s_{i}") + _FLOOR[i] if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, j in PAIRS])
+        *[(F.col(f"s_{i}") if i == j else F.lit(0.0)).alias(f"c_{i}_{j}") for i, j in PAIRS])
 
 
 def _step(rows: DataFrame, state: DataFrame) -> DataFrame:
@@ -175,7 +179,7 @@ def _step(rows: DataFrame, state: DataFrame) -> DataFrame:
         # How much larger the core is than that of normal rows; a tighter core is never blown up.
         F.greatest(F.lit(1.0), F.pow(F.lit(2.0), (F.col("edge") + 1) / BANDS_PER_OCTAVE) / SHARE_QUANTILE).alias("scale"),
         *[mean[i].alias(f"m_{i}") for i in range(DIM)],
-        *[(F.col(f"q_{i}_{j}") / F.col("k") - mean[i] * mean[j] + (_FLOOR[i] if i == j else 0.0)).alias(f"c_{i}_{j}") for i, j in PAIRS])
+        *[(F.col(f"q_{i}_{j}") / F.col("k") - mean[i] * mean[j]).alias(f"c_{i}_{j}") for i, j in PAIRS])
 
 
 def fit(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:

@@ -104,6 +104,15 @@ def test_quality_keeps_good_documents(spark):
     assert sum(r.kept for r in rows if r.quality == 1) >= 0.99 * sum(r.quality == 1 for r in rows)
 
 
+def test_quality_rejects_junk(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    caps = docs.limit(1).selectExpr("-1L doc_id", "upper('the rain had stopped and we went on along the river to town') text", "'en' lang", "'src1' source")
+    rows = quality_rules.quality_rules(docs.select("doc_id", "text", "lang", "source").union(caps)).join(labels.union(spark.createDataFrame([(-1, 0, 0)], labels.schema)), "doc_id").filter("not base_failed").collect()
+    junk = [r for r in rows if r.quality == 0]
+    assert len(junk) > 20 and sum(not r.kept for r in junk) >= 0.95 * len(junk) and not any(r.kept for r in junk if r.doc_id == -1)
+    assert sum(r.kept for r in rows if r.quality == 1) >= 0.99 * sum(r.quality == 1 for r in rows)
+
+
 def _links(texts):
     sets = {}
     for k, t in texts.items():
