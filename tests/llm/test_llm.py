@@ -168,6 +168,14 @@ def test_decontamination(rows, documents, spark):
     assert {(d.doc_id, i.item_id) for d in documents.collect() for i in items if d.text and i.text in d.text} <= found
 
 
+def test_decontamination_finds_names_that_open_sentences(rows):
+    item = "Alice has 5 apples. Bob takes 2 of them. How many apples remain now?"
+    other = "Carol has 9 apples. Dan takes 4 of them. How many apples remain now?"
+    docs = rows("doc_id long, text string", (1, other), (2, f"Some text.\n{other} And more."), (3, item), (4, "so we ask: then " + other), (5, other.replace("Dan", "Eve").replace("remain", "rot")), (6, "Carol has no pears. Dan takes none of them. How many people remain now?"))
+    got = {r.doc_id: r.kind for r in decontamination.contaminated(docs, rows("item_id long, text string", (1, item))).collect()}
+    assert got.pop(3) == "exact" and got == dict.fromkeys([1, 2, 4, 5], "reparameterised")
+
+
 def test_bpe_equals_the_library(documents, awkward, spark):
     path = tokenizer_path()
     library = Tokenizer.from_file(path)
