@@ -176,6 +176,14 @@ def test_decontamination_finds_names_that_open_sentences(rows):
     assert got.pop(3) == "exact" and got == dict.fromkeys([1, 2, 4, 5], "reparameterised")
 
 
+def test_decontamination_finds_copies_of_any_words(rows):
+    items = {1: "What is the boiling point?", 2: "12 kg 7 cm 9 Bob 4 days 30 km 8", 3: "Paris is the largest city of old France"}
+    texts = {1: f"He asks: {items[1]} Nobody in the room knew it at that hour", 2: f"we read {items[2]} and then it went on", 3: f"as we know, {items[3]} by far and more", 4: "12 kg 7 cm 9 Dan 5 days 31 km 9 10 11 12", 5: "what is the melting point of this and what is the boiling heat"}
+    found = decontamination.contaminated(rows("doc_id long, text string", *texts.items()), rows("item_id long, text string", *items.items())).collect()
+    assert {(r.doc_id, r.item_id, r.kind) for r in found} == {(k, k, "exact") for k in items}
+    assert all(r.n_found == r.n_runs for r in found)
+
+
 def test_bpe_equals_the_library(documents, awkward, spark):
     path = tokenizer_path()
     library = Tokenizer.from_file(path)
