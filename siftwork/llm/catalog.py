@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontamination, jaccard_join, language_id, main_text, ngram_model, quality_rules, secret_scan, sharding, site_quality
+from . import bpe, collocations, decontamination, jaccard_join, language_id, main_text, mixing, ngram_model, prefix_trie, quality_rules, secret_scan, sharding, site_quality
 from .common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,5 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": lambda spark, d: main_text.main_text(table(spark, d, "pages")),
     "op9_lm_scoring": lambda spark, d: ngram_model.score(table(spark, d, "documents")),
     "op10_quality_rules": lambda spark, d: quality_rules.quality_rules(table(spark, d, "documents")),
+    "op11_prefix_trie": lambda spark, d: prefix_trie.digest(table(spark, d, "conversations")),
+    "op12_collocations": lambda spark, d: collocations.collocations(table(spark, d, "documents")),
+    "op13_source_mixing": lambda spark, d: mixing.digest(table(spark, d, "documents")),
 }
 ORACLES: dict[str, str] = {}
