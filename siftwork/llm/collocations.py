@@ -10,6 +10,10 @@ Counting sorts: each word of a chunk gives the window of up to five words that i
 the frequency of every phrase is the sum over the run of windows that begin with it. Frequent windows and hot first words
 spread over parts, since a range may end anywhere; the runs at the ends of a part are summed once more across parts.
 
+A phrase is no more frequent than any word or pair in it, so words and pairs are counted before, as hashes, and a window ends where
+the next pair is rare. The frequent ones are known to tasks as a bitmap of ``FILTER_BITS`` bits, whatever the size of the corpus:
+the more of it is taken, the more rare pairs pass, which costs time but changes no count.
+
 A null text has no words; a null lang is ``und``. Repeated rows count each. Other columns are not used. An empty table has no
 phrase. Text is compared as it is but for A-Z in lower case; blanks in a phrase are single spaces.
 """
@@ -39,8 +43,12 @@ TOP = 2000
 #: Parts of a language's candidates that are cut to TOP before they meet.
 SALTS = 64
 #: Bytes of text of the windows sorted in one part, and of the texts worked on at once.
-PART_BYTES = 96 << 20
-PORTION = 4 << 20
+PART_BYTES = 64 << 20
+PORTION = 2 << 20
+#: Words whose hashes are summed in a task before they leave it.
+HELD_WORDS = 2_000_000
+FILTER_BITS = 1 << 27
+BITMAP_BITS = 32_768  # of Spark's bitmap functions
 BLANK, END = 0x20, 0x0A
 
 #: What each byte becomes: A-Z in lower case, tabs as spaces, all that ends a piece as a line end.
@@ -60,7 +68,7 @@ class _Words:
         edges = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8)))
         first, behind = edges[::2], edges[1::2]
         self.n = len(first)
-        pieces = np.cumsum(raw == END)
+        pieces = np.cumsum(raw == END, dtype=np.int32)
         #: Whether the word is the last of its piece, and the text it is in.
         self.last = np.ones(self.n, bool)
         self.last[:-1] = pieces[first[1:]] != pieces[first[:-1]]
@@ -105,7 +113,7 @@ def _ranges(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
 def _summed(by: dict[str, pa.Array], n: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Equal rows once, with their sum n."""
     got = pa.table({**by, "n": n}).group_by(list(by)).aggregate([("n", "sum")])
-    out = pa.table({**{c: got[c].cast(pa.string()) for c in by}, "n": got["n_sum"]})
+    out = pa.table({**{c: got[c].cast(pa.string()) if pa.types.is_large_string(got[c].type) else got[c] for c in by}, "n": got["n_sum"]})
     yield from out.to_batches(20_000)
 
 
@@ -134,32 +142,90 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _summed({"lang": langs.take(pa.array(w.owner[start])), "chunk": chunks}, np.ones(len(stop), np.int64))
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(window, n): language, line end, and up to five words with a blank behind each, for every word of the chunks."""
+class _Owned:
+    """The words of some chunks that are counted there, with the last place their windows may reach."""
 
-    def of(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    def __init__(self, rows: pa.RecordBatch):
         chunks = rows["chunk"].cast(pa.binary()).to_pylist()
-        w = _Words(chunks)
+        self.words = w = _Words(chunks)
         complete = np.fromiter((c.endswith(b"\n") for c in chunks), bool, len(chunks))
         final = _ends(w.owner)
         left = np.flatnonzero(final)[_nth_group(final)] - np.arange(w.n)
-        piece_end = np.flatnonzero(w.last)[_nth_group(w.last)]
-        own = np.flatnonzero(complete[w.owner] | (left >= OVERLAP))
-        to = np.minimum(own + LONGEST - 1, piece_end[own])
-        w.text[w.text == END] = BLANK
-        langs = rows["lang"].combine_chunks().take(pa.array(w.owner[own]))
-        windows = pc.binary_join_element_wise(langs.cast(pa.large_string()), _ranges(w.text, w.starts[own], w.ends[to]), pa.scalar("\n", pa.large_string()))
-        yield from _summed({"window": windows}, rows["n"].to_numpy()[w.owner[own]])
-
-    held, size = [], 0
-    for b in batches:
-        held.append(b)
-        size += b["chunk"].nbytes
-        if size >= PORTION:
-            yield from of(pa.Table.from_batches(held))
-            held, size = [], 0
+        self.at = np.flatnonzero(complete[w.owner] | (left >= OVERLAP))
+        self.piece_end = np.flatnonzero(w.last)[_nth_group(w.last)]
+        self.n = rows["n"].to_numpy()[w.owner[self.at]]
+        langs = hash_words(rows["lang"].to_pylist(), 1)
+        with np.errstate(over="ignore"):
+            h = w.hashes() if w.n else np.zeros(0, np.uint64)
+            #: Hashes of each word, and of each word with the next one of its piece, in its language.
+            self.word = mix(h + langs[w.owner])
+            self.pair = np.zeros(w.n, np.uint64)
+            self.pair[:-1] = mix(self.word[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
+        self.has_next = self.piece_end > np.arange(w.n)
+
+
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b in portions(batch["chunk"], PORTION):
+            yield batch.slice(a, b - a)
+
+
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, n): how often each hash of a word or pair occurs."""
+    hashes, counts, held = [], [], 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        return _summed({"h": pa.array(np.concatenate(hashes).view(np.int64))}, np.concatenate(counts))
+
+    for rows in _small(batches):
+        o = _Owned(rows)
+        pairs = o.has_next[o.at]
+        hashes += [o.word[o.at], o.pair[o.at[pairs]]]
+        counts += [o.n, o.n[pairs]]
+        held += len(o.at)
+        if held >= HELD_WORDS:
+            yield from out()
+            hashes, counts, held = [], [], 0
     if held:
-        yield from of(pa.Table.from_batches(held))
+        yield from out()
+
+
+def _frequent_bits(chunks: DataFrame, least: int) -> np.ndarray:
+    """A bitmap over the hashes of all words and pairs that occur ``least`` times, FILTER_BITS / 8 bytes."""
+    counted = chunks.mapInArrow(_hashes, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    place = F.pmod("h", F.lit(FILTER_BITS)) + 1
+    maps = counted.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    bits = np.zeros(FILTER_BITS // 8, np.uint8)
+    size = BITMAP_BITS // 8
+    for r in maps.toLocalIterator():  # FILTER_BITS / BITMAP_BITS rows at most
+        bits[(r.bucket - 1) * size: r.bucket * size] = np.frombuffer(r.bits, np.uint8)
+    return bits
+
+
+def _windows(bits) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(window, n): language, line end, and words with a blank behind each, for every word of the chunks.
+
+    The words go on as long as their pairs may be frequent; there is none for a rare word.
+    """
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = bits.value
+        frequent = lambda h: (known[(h & np.uint64(FILTER_BITS - 1)) >> np.uint64(3)] >> (h & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        for rows in _small(batches):
+            o = _Owned(rows)
+            w = o.words
+            if not w.n:
+                continue
+            goes_on = frequent(o.pair) & o.has_next
+            # The first place at or behind each one where a window must end.
+            stop = np.flatnonzero(~goes_on)[_nth_group(~goes_on)]
+            to = np.minimum(o.at + LONGEST - 1, stop[o.at])
+            ends = np.where(frequent(o.word[o.at]), w.ends[to], w.starts[o.at])
+            w.text[w.text == END] = BLANK
+            langs = rows["lang"].take(pa.array(w.owner[o.at])).cast(pa.large_string())
+            yield from _summed({"window": pc.binary_join_element_wise(langs, _ranges(w.text, w.starts[o.at], ends), pa.scalar("\n", pa.large_string()))}, o.n)
+
+    return windows
 
 
 def _marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -263,9 +329,10 @@ def dictionary(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataF
 
 def frequencies(chunks: DataFrame, least: int = LEAST_FREQUENCY, part_bytes: int = PART_BYTES) -> DataFrame:
     """(lang, phrase, k, f) of all phrases of up to LONGEST words with f >= ``least``; k = 0, with an empty phrase, counts all words."""
-    size = chunks.agg(F.sum(F.octet_length("chunk"))).first()[0] or 0
-    windows = chunks.mapInArrow(_windows, "window string, n long")
-    dealt = windows.repartitionByRange(max(1, -(-LONGEST * int(size) // part_bytes)), "window").sortWithinPartitions("window")
+    bits = chunks.sparkSession.sparkContext.broadcast(_frequent_bits(chunks, least))
+    windows = staged(chunks.mapInArrow(_windows(bits), "window string, n long"), "windows")
+    size = windows.agg(F.sum(F.octet_length("window") + 16)).first()[0] or 0
+    dealt = windows.repartitionByRange(max(1, -(-int(size) // part_bytes)), "window").sortWithinPartitions("window")
     counted = dealt.mapInArrow(_counted(least), "gram string, k int, n long").groupBy("gram", "k").agg(F.sum("n").alias("f"))
     # The language may hold a line end itself, the words do not.
     cut = F.length("gram") - F.length(F.substring_index("gram", "\n", -1))
