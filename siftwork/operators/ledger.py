@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import fixed_values as V
 from ..functions.shape import local_day
 from ..functions.text import as_col
+from .folds import fold_in_order
 
 UNIT = 10_000  # ledgers round to four places; folds run on whole units
 
@@ -15,13 +16,35 @@ def units(amount) -> Column:
     return F.round(as_col(amount) * UNIT).cast("bigint")
 
 
+class _Running:
+    """Totals of one account and month."""
+
+    def __init__(self, day_cap: int, month_cap: int):
+        self.day_cap, self.month_cap = day_cap, month_cap
+
+    def __call__(self):
+        on, d, m = None, 0, 0
+
+        def step(day: int, u: int):
+            nonlocal on, d, m
+            if day != on:
+                on, d = day, 0
+            if d + u > self.day_cap or m + u > self.month_cap:
+                return None
+            d, m = d + u, m + u
+            return d, m
+
+        return step
+
+
 def can_afford(events: DataFrame, day_cap: float, month_cap: float, tz=V.BUDGET_ZONE, balance: float | None = None,
                account="account", ts="ts", event_id="event_id", amount="amount", splits: int = 16) -> DataFrame:
     """Accept each event unless the day or month total would pass its cap; refused events add nothing.
 
     Returns ``event_id, accepted, day_total, month_total`` (totals after an accepted paid event).
 
-    The fold is sequential per account and month, so its input is bounded first. Of the events of
+    The fold passes over an account's month once, in order, and carries three numbers. It is sequential,
+    so its input is bounded first. Of the events of
     one account, day and *amount* ``c`` at most ``cap // c`` can be accepted, and once one is
     refused every later one of that amount is too: only the first ``cap // c + 1`` need folding,
     however many events a hot account has. They are found in two steps, first within ``splits``
@@ -42,22 +65,8 @@ def can_afford(events: DataFrame, day_cap: float, month_cap: float, tz=V.BUDGET_
 
     parts = first_of(payable.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(splits))), "account", "day", "u", "part")
     may = first_of(parts, "account", "day", "u")
-    start = F.struct(
-        F.lit(None).cast("date").alias("day"), F.lit(0).cast("bigint").alias("d"), F.lit(0).cast("bigint").alias("m"),
-        F.array().cast("array<struct<event_id:bigint,d:bigint,m:bigint>>").alias("ok"))
-
-    def step(acc, x):
-        d0 = F.when(acc["day"] == x["day"], acc["d"]).otherwise(F.lit(0).cast("bigint"))
-        fits = (d0 + x["u"] <= cap_d) & (acc["m"] + x["u"] <= cap_m)
-        d1, m1 = d0 + x["u"], acc["m"] + x["u"]
-        taken = F.struct(
-            x["day"].alias("day"), d1.alias("d"), m1.alias("m"),
-            F.concat(acc["ok"], F.array(F.struct(x["event_id"].alias("event_id"), d1.alias("d"), m1.alias("m")))).alias("ok"))
-        return F.when(fits, taken).otherwise(F.struct(x["day"].alias("day"), d0.alias("d"), acc["m"].alias("m"), acc["ok"].alias("ok")))
-
-    folded = may.groupBy("account", F.trunc("day", "month").alias("month")).agg(
-        F.sort_array(F.collect_list(F.struct("ts", "event_id", "u", "day"))).alias("s"))
-    ok = folded.select(F.explode(F.aggregate("s", start, step)["ok"]).alias("o")).select("o.event_id", "o.d", "o.m")
+    may = may.withColumn("month", F.trunc("day", "month")).withColumn("on", F.dayofmonth("day"))
+    ok = fold_in_order(may, ["account", "month"], ["ts", "event_id"], ["on", "u"], _Running(cap_d, cap_m), ["event_id"], [("d", "bigint"), ("m", "bigint")])
     return e.join(ok, "event_id", "left").select(
         "event_id", "account", "day", ((F.col("u") <= 0) | F.col("d").isNotNull()).alias("accepted"),
         (F.col("d") / UNIT).alias("day_total"), (F.col("m") / UNIT).alias("month_total"))
@@ -77,9 +86,13 @@ def spend_rollup(events: DataFrame, tz=V.BUDGET_ZONE, ts="ts", kind="kind", amou
     return e.rollup("month", "day", "kind").agg(F.sum("a").alias("spent"))
 
 
+def strict_day(day_col: str) -> Column:
+    return F.when(F.col(day_col).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(F.col(day_col), "yyyy-MM-dd"))
+
+
 def retain(df: DataFrame, day_col: str, today: str, days: int) -> DataFrame:
     """Drop entries older than the window. The cut-off day stays, and so does a day that cannot be read."""
-    strict = F.when(F.col(day_col).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(F.col(day_col), "yyyy-MM-dd"))
+    strict = strict_day(day_col)
     return df.where(strict.isNull() | (strict >= F.date_sub(F.lit(today).cast("date"), days)))
 
 

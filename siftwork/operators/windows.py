@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.text import normalize_title
+from .folds import fold_in_order
 
 
 def newest_first():
@@ -34,16 +35,16 @@ def comparable_title(title, seconds) -> Column:
     return F.nullif(F.when(F.coalesce(F.col(seconds), F.lit(0)) != 0, norm), F.lit(""))
 
 
-def fold_reuploads(sample: Column, tolerance: int = V.DUPLICATE_TOLERANCE_SECONDS, same_title: bool = False) -> Column:
-    """Keep the first of each re-upload in an ordered array of structs with ``norm`` and ``seconds``.
+def fold_reuploads(sample: Column, tolerance: int = V.DUPLICATE_TOLERANCE_SECONDS) -> Column:
+    """Keep the first of each re-upload in an ordered, bounded array of structs with ``norm`` and ``seconds``.
 
     An entry falls only to an entry already *kept*, so this is a fold, not a lag. A null ``norm``
-    matches nothing. With ``same_title`` the entries are known to share one title.
+    matches nothing.
     """
 
     def same(kept, x):
         close = F.abs(kept["seconds"] - x["seconds"]) <= tolerance
-        return close if same_title else F.coalesce((kept["norm"] == x["norm"]) & close, F.lit(False))
+        return F.coalesce((kept["norm"] == x["norm"]) & close, F.lit(False))
 
     return F.aggregate(
         sample, F.slice(sample, 1, 0),
@@ -51,20 +52,44 @@ def fold_reuploads(sample: Column, tolerance: int = V.DUPLICATE_TOLERANCE_SECOND
     )
 
 
+class _KeptLengths:
+    """Lengths kept of one island. Two lengths in one cell are within the tolerance, so a cell holds one and only its neighbours matter."""
+
+    def __init__(self, tolerance: int):
+        self.tolerance = tolerance
+
+    def __call__(self):
+        cells, width, tolerance = {}, self.tolerance + 1, self.tolerance
+
+        def step(seconds: int):
+            cell = seconds // width
+            for c in (cell - 1, cell, cell + 1):
+                if abs(cells.get(c, seconds + width) - seconds) <= tolerance:
+                    return None
+            cells[cell] = seconds
+            return ()
+
+        return step
+
+
 def drop_reuploads(items: DataFrame, tolerance: int = V.DUPLICATE_TOLERANCE_SECONDS, order_col: str = "item_id") -> DataFrame:
     """Items kept after re-upload removal over whole histories.
 
     Copies with the same title *and* length share the fate of the first of them, so each
-    (entity, title, seconds) is first reduced to that one row by a partial aggregate. What is
-    left to fold per title is at most one entry per distinct length, however many copies exist.
+    (entity, title, seconds) is first reduced to that one row by a partial aggregate. The lengths
+    of a title that lie within the tolerance of a neighbour form islands; across a wider gap nothing can
+    meet. A length alone on its island stays, and only the others are folded, an island at a time in one pass over sorted rows.
     """
-    keyed = items.select("entity_id", "item_id", F.col(order_col).alias("ord"), comparable_title("title", "seconds").alias("norm"), "seconds")
+    keyed = items.select("entity_id", "item_id", F.col(order_col).alias("ord"), comparable_title("title", "seconds").alias("norm"), F.col("seconds").cast("bigint").alias("seconds"))
     loose = keyed.where("norm is null").select("entity_id", "item_id")
     firsts = keyed.where("norm is not null").groupBy("entity_id", "norm", "seconds").agg(
         F.min("ord").alias("ord"), F.min_by("item_id", "ord").alias("item_id"))
-    folded = firsts.groupBy("entity_id", "norm").agg(F.sort_array(F.collect_list(F.struct("ord", "item_id", "seconds"))).alias("s"))
-    kept = folded.select("entity_id", F.explode(fold_reuploads(F.col("s"), tolerance, same_title=True)).alias("k")).select("entity_id", "k.item_id")
-    return kept.unionByName(loose)
+    title = Window.partitionBy("entity_id", "norm").orderBy("seconds")
+    far = F.coalesce(F.col("seconds") - F.lag("seconds").over(title) > tolerance, F.lit(True))
+    alone = far & F.coalesce(F.lead("seconds").over(title) - F.col("seconds") > tolerance, F.lit(True))
+    placed = firsts.withColumn("alone", alone).withColumn("far", far).withColumn("island", F.sum(F.col("far").cast("int")).over(title))
+    kept = fold_in_order(placed.where("not alone"), ["entity_id", "norm", "island"], ["ord", "item_id"], ["seconds"], _KeptLengths(tolerance), ["entity_id", "item_id"], [])
+    return kept.unionByName(placed.where("alone").select("entity_id", "item_id")).unionByName(loose)
 
 
 def representative(sample: DataFrame) -> DataFrame:

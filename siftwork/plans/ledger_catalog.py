@@ -49,7 +49,10 @@ def _(s, d):
 _RET = "SELECT event_id, CASE event_type WHEN 'error' THEN 'day ' || user_id ELSE strftime(ts, '%Y-%m-%d') END AS day FROM events"
 
 
-@query("T3_retain", f"SELECT * FROM ({_RET}) WHERE day LIKE 'day%' OR day >= '2024-01-24'")
+RETAINED_SQL = f"SELECT * FROM ({_RET}) WHERE day LIKE 'day%' OR day >= '2024-01-24'"
+
+
+@query("T3_retain", RETAINED_SQL)
 def _(s, d):
     e = B.events(s, d).select("event_id", F.when(F.col("event_type") == "error", F.concat(F.lit("day "), "user_id")).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("day"))
     return ledger.retain(e, "day", "2024-01-31", 7)

@@ -1,7 +1,7 @@
 """Sinks: upsert, guarded delete, run records, guards and the published projection.
 
-Writers publish a new snapshot folder; readers of the old one are undisturbed and a
-re-run with the same input gives the same snapshot.
+Writers publish a new version of a table beside the old one (see :mod:`.versions`), so a table can be rewritten from
+itself, readers of the old version are undisturbed, and a re-run with the same input gives the same rows.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.text import blank, csv_safe, miss_note
+from . import versions
 
 PROTECTED = ("status", "notes")
 
@@ -80,8 +81,29 @@ def append_run_records(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by=()) -> None:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+def write_snapshot(df: DataFrame, path: str, partition_by=(), unique: str | None = None) -> int:
+    """Publish ``df`` as the next version of the table; with ``unique`` only if no two rows share that key."""
+
+    def check(written: DataFrame) -> None:
+        if written.groupBy(unique).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+            raise ValueError(f"{unique} is not unique in the new version of {path}")
+
+    return versions.publish(df, path, partition_by, check if unique else None)
+
+
+def read_snapshot(spark, path: str, back: int = 0) -> DataFrame:
+    return versions.current(spark, path, back)
+
+
+def upsert_snapshot(new: DataFrame, path: str, key: str, protected=PROTECTED, sparse: bool = False) -> int:
+    """Upsert into the table that is read and written in one go."""
+    old = read_snapshot(new.sparkSession, path)
+    return write_snapshot(upsert(old, new, key, protected, sparse).select(*old.columns), path, unique=key)
+
+
+def delete_from_snapshot(targets: DataFrame, path: str, key: str, max_rows=V.DELETE_MAX_ROWS, max_fraction=V.DELETE_MAX_FRACTION) -> int:
+    """Guarded delete from the table itself; a refusal publishes the same rows again."""
+    return write_snapshot(guarded_delete(read_snapshot(targets.sparkSession, path), key, targets, max_rows, max_fraction), path)
 
 
 def published_rows(df: DataFrame, sink_columns=None, source_label: str = "discovery", day: str | None = None) -> DataFrame:

@@ -1,7 +1,8 @@
 """The ledgers as streams. Each gives the batch operator's result on the same finite input.
 
 State is bounded by the watermark: days that have closed leave the state store, and what
-must outlive them (latest claim state, remembered rejects) is read from the written table.
+must outlive them (latest claim state, remembered rejects) is merged into a table of one row a key.
+A :class:`~.io.FiniteStream` ends with a marker, which every ledger lets through to its watermark and no further.
 """
 
 from __future__ import annotations
@@ -13,40 +14,84 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import fixed_values as V
-from ..operators.ledger import UNIT, units
+from ..operators.ledger import UNIT, strict_day, units
+from .io import is_event
 
 
 def daily_spend(events: DataFrame, delay: str = "10 minutes", tz: str = V.BUDGET_ZONE, kind="kind", amount="amount") -> DataFrame:
     """Amount per local day and kind, emitted once when the day has closed; rows later than that are dropped."""
     e = events.withColumn("local_ts", F.from_utc_timestamp("ts", tz)).withWatermark("local_ts", delay)
-    g = e.groupBy(F.window("local_ts", "1 day").alias("w"), F.col(kind).alias("kind")).agg(
+    g = e.where(is_event(e, "local_ts")).groupBy(F.window("local_ts", "1 day").alias("w"), F.col(kind).alias("kind")).agg(
         F.sum(units(amount)).alias("u"), F.count(F.lit(1)).alias("n"))
     return g.select(F.to_date("w.start").alias("day"), "kind", (F.col("u") / UNIT).alias("spent"), "n")
 
 
 def remember_rejects(events: DataFrame, niche: Column, handle: Column, durable: Column, delay: str = "10 minutes", tz: str = V.BUDGET_ZONE) -> DataFrame:
-    """Days on which a (niche, handle) was rejected for good, as updates; see :func:`latest_rejects`."""
+    """Days on which a (niche, handle) was rejected for good, as updates; its newest day is the one to keep."""
     e = events.where(durable).select(F.from_utc_timestamp("ts", tz).alias("local_ts"), niche.alias("niche"), handle.alias("handle")).where("handle <> ''")
     g = e.withWatermark("local_ts", delay).groupBy(F.window("local_ts", "1 day").alias("w"), "niche", "handle").agg(F.count(F.lit(1)).alias("n"))
-    return g.select("niche", "handle", F.to_date("w.start").alias("day"), "n")
-
-
-def latest_rejects(log: DataFrame) -> DataFrame:
-    return log.groupBy("niche", "handle").agg(F.max("day").alias("last_day"))
+    return g.select("niche", "handle", F.to_date("w.start").alias("last_day"))
 
 
 def claim_states(events: DataFrame, key: str, delay: str = "10 minutes") -> DataFrame:
-    """Latest state per claim and day, as updates; see :func:`latest_claims`."""
+    """Latest state per claim and day, as updates; the newest by (state_at, record_id) is the one to keep. Only NotSent may be retried."""
     last = F.max_by(F.struct("state", "ts", "record_id"), F.struct("ts", "record_id"))
     g = events.withWatermark("ts", delay).groupBy(F.window("ts", "1 day").alias("w"), F.col(key)).agg(last.alias("l"))
-    return g.select(key, F.col("l.state").alias("state"), F.col("l.ts").alias("state_at"), F.col("l.record_id").alias("record_id"))
+    return g.select(key, F.col("l.state").alias("state"), F.col("l.ts").alias("state_at"), F.col("l.record_id").alias("record_id"), (F.col("l.state") == "NotSent").alias("retryable"))
+
 
+_DAY_MS = 86_400_000
 
-def latest_claims(log: DataFrame, key: str) -> DataFrame:
-    """Current state per claim over all written updates. Only NotSent may be retried."""
-    last = F.max_by(F.struct("state", "state_at"), F.struct("state_at", "record_id"))
-    return log.groupBy(key).agg(last.alias("l")).select(
-        key, F.col("l.state").alias("state"), F.col("l.state_at").alias("state_at"), (F.col("l.state") == "NotSent").alias("retryable"))
+
+class _Retained(StatefulProcessor):
+    """The newest day of a key and its number of rows, until the watermark has passed that day by ``days``."""
+
+    def __init__(self, days: int, keys: list[str]):
+        self.days, self.keys = days, keys
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.entry = handle.getValueState("entry", "last_day string, n bigint, until_ms bigint")  # until_ms -1: no day, kept for good
+
+    def _row(self, key, day: str, n: int, until: int, gone: bool) -> pd.DataFrame:
+        return pd.DataFrame([(*key, day, n, until, gone)], columns=[*self.keys, "last_day", "n", "until_ms", "gone"])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        day, n, until = self.entry.get() if self.entry.exists() else ("", 0, -2)
+        for pdf in rows:
+            n += len(pdf)
+            top = pdf.loc[pdf["start_ms"].idxmax()]
+            at = -1 if top["start_ms"] < 0 else int(top["start_ms"]) + (self.days + 1) * _DAY_MS
+            if at > until or until == -2:
+                day, until = top["day"], at
+        if until >= 0 and until <= timerValues.getCurrentWatermarkInMs():
+            return  # out of the window before it came
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if until >= 0:
+            self.handle.registerTimer(until)
+        self.entry.update((day, n, until))
+        yield self._row(key, day, n, until, False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.entry.exists():
+            day, n, until = self.entry.get()
+            self.entry.clear()
+            yield self._row(key, day, n, until, True)
+
+
+def retain(events: DataFrame, keys: list[str], day: Column, days: int, time: str = "ts", delay: str = "10 minutes") -> DataFrame:
+    """Entries (one a key) that leave the state once their newest day is more than ``days`` before the watermark's day.
+
+    Gives updates: keys, last_day, n, until_ms and ``gone``; the newest by (until_ms, n, gone) is the one to keep. The cut-off day stays, and so
+    does an entry whose day cannot be read.
+    """
+    e = events.withWatermark(time, delay)
+    start = F.coalesce(F.unix_millis(strict_day("day").cast("timestamp")), F.lit(-1))
+    rows = e.where(is_event(e, time)).select(*keys, time, day.alias("day")).withColumn("start_ms", start)
+    types = dict(rows.dtypes)
+    out = ", ".join(f"{k} {types[k]}" for k in keys) + ", last_day string, n bigint, until_ms bigint, gone boolean"
+    return rows.groupBy(*keys).transformWithStateInPandas(statefulProcessor=_Retained(days, keys), outputStructType=out, outputMode="Update", timeMode="EventTime")
 
 
 class _Afford(StatefulProcessor):
@@ -111,7 +156,8 @@ def can_afford(events: DataFrame, day_cap: float, month_cap: float, delay: str =
 
     Only events inside the watermark delay are held back; an account's running totals are three numbers.
     """
-    e = events.withWatermark("ts", delay).select(
+    e = events.withWatermark("ts", delay)
+    e = e.where(is_event(e)).select(
         F.col(account).alias("account"), "ts", F.unix_micros("ts").alias("us"), "event_id",
         F.date_format(F.from_utc_timestamp("ts", tz), "yyyy-MM-dd").alias("day"), units(amount).alias("u"))
     return e.groupBy("account").transformWithStateInPandas(
@@ -120,10 +166,9 @@ def can_afford(events: DataFrame, day_cap: float, month_cap: float, delay: str =
 
 
 class _Stranded(StatefulProcessor):
-    """Remembers an open claim and reports it when nothing settled it in time.
+    """The latest state of a claim, and whether it was reported: a row when a claim is due, one with ``gone`` when it was settled after all.
 
-    The time of the latest event stays until the watermark has passed it, so a claim that arrives
-    after the event that settled it opens nothing.
+    A settled claim leaves once the watermark has passed it, as nothing older can come then.
     """
 
     def __init__(self, minutes: int):
@@ -131,37 +176,45 @@ class _Stranded(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", "claimed_us bigint, seen_us bigint")  # claimed_us -1: settled
+        self.last = handle.getValueState("last", "us bigint, record_id bigint, claimed boolean, reported_us bigint")  # -1: not reported
 
-    def _report(self, key, us: int) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], us)], columns=["entity_id", "claimed_us"])
+    def _row(self, key, us: int, gone: bool, seq: int) -> pd.DataFrame:
+        return pd.DataFrame([(key[0], us, gone, seq)], columns=["entity_id", "state_us", "gone", "seq"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        got = sorted((int(r[0]), int(r[1]), r[2]) for pdf in rows for r in pdf[["us", "record_id", "state"]].itertuples(index=False, name=None))
-        pending, seen = self.open.get() if self.open.exists() else (-1, -1)
-        for us, _, state in got:
-            if us < seen:
-                continue  # older than what it would settle, or settled already
-            if pending >= 0 and us - pending > self.hold:
-                yield self._report(key, pending)
-            pending, seen = us if state == "Claimed" else -1, us
+        us, record, claimed, reported = self.last.get() if self.last.exists() else (-1, -1, False, -1)
+        before = (us, record)
+        for pdf in rows:  # only the newest of a key matters, so nothing is gathered or sorted
+            n, i, state = max(zip(pdf["us"].tolist(), pdf["record_id"].tolist(), pdf["state"].tolist()))
+            if (n, i) > (us, record):
+                us, record, claimed = n, i, state == "Claimed"
+        if (us, record) == before:
+            return
+        if reported >= 0:
+            yield self._row(key, reported, True, 2 * us)
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
-        self.open.update((pending, seen))
-        due = pending + self.hold if pending >= 0 else seen
-        self.handle.registerTimer(max(due // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
+        self.last.update((us, record, claimed, -1))
+        self.handle.registerTimer(max((us + self.hold if claimed else us) // 1000 + 1, timerValues.getCurrentWatermarkInMs() + 1))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.open.exists():
-            us = self.open.get()[0]
-            self.open.clear()
-            if us >= 0:
-                yield self._report(key, us)
+        if not self.last.exists():
+            return
+        us, record, claimed, reported = self.last.get()
+        if not claimed:
+            self.last.clear()
+        elif reported < 0:
+            self.last.update((us, record, True, us))
+            yield self._row(key, us, False, 2 * us + 1)
 
 
 def stranded(events: DataFrame, minutes: int = V.STRANDED_AFTER_MINUTES, delay: str = "10 minutes") -> DataFrame:
-    """Claims that nothing settled within ``minutes`` of event time, reported by a timer."""
-    e = events.withWatermark("ts", delay).select("entity_id", "ts", F.unix_micros("ts").alias("us"), "record_id", "state")
+    """Claims still Claimed when ``minutes`` of event time have passed, as in the batch form with the watermark as the time to look.
+
+    Gives updates: entity_id, state_at, ``gone`` and seq; the newest by seq is the one to keep.
+    """
+    e = events.withWatermark("ts", delay)
+    e = e.where(is_event(e)).select("entity_id", "ts", F.unix_micros("ts").alias("us"), "record_id", "state")
     out = e.groupBy("entity_id").transformWithStateInPandas(
-        statefulProcessor=_Stranded(minutes), outputStructType="entity_id bigint, claimed_us bigint", outputMode="Append", timeMode="EventTime")
-    return out.select("entity_id", F.timestamp_micros("claimed_us").alias("claimed_at"))
+        statefulProcessor=_Stranded(minutes), outputStructType="entity_id bigint, state_us bigint, gone boolean, seq bigint", outputMode="Update", timeMode="EventTime")
+    return out.select("entity_id", F.timestamp_micros("state_us").alias("state_at"), "gone", "seq")

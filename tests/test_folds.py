@@ -183,3 +183,32 @@ def test_newest_n_keeps_only_n_rows_of_a_hot_key(spark):
     assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
     hot = out.where("entity_id = 'hot'").orderBy("position").collect()
     assert [r.item_id for r in hot] == [29_997 - 3 * i for i in range(10)]
+
+
+def test_a_title_with_very_many_lengths(spark):
+    """100,000 lengths of one title, most of them on one island: one pass, no list."""
+    n, tol = 100_000, 3
+    df = spark.range(n).selectExpr("'a' as entity_id", "id as item_id", "'same title' as title", "cast(10 + pmod(id * 7919, 100003) as int) as seconds")
+    seen, want = {}, 0
+    for i in range(n):
+        s = 10 + (i * 7919) % 100003
+        cell = s // (tol + 1)
+        if not any(abs(seen.get(c, -99) - s) <= tol for c in (cell - 1, cell, cell + 1)):
+            seen[cell] = s
+            want += 1
+    assert windows.drop_reuploads(df, tol).count() == want
+    assert "collect_list" not in windows.drop_reuploads(df, tol)._jdf.queryExecution().toString()
+
+
+def test_an_account_with_a_million_amounts(spark):
+    """The fold carries three numbers: no list, however many amounts an account has."""
+    df = spark.range(1_000_000).selectExpr("1 as account", "timestamp'2024-01-05 12:00:00' + make_interval(0, 0, 0, 0, 0, 0, id / 1000) as ts", "id as event_id", "cast((pmod(id * 7919, 1000003) + 1) / 10000 as double) as amount")
+    out = ledger.can_afford(df, 90.0, 700.0)
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+    got = out.where("accepted").agg(F.max("day_total").alias("d"), F.count("*").alias("n")).first()
+    total, n = 0, 0
+    for i in range(1_000_000):
+        u = (i * 7919) % 1000003 + 1
+        if total + u <= 900_000:
+            total, n = total + u, n + 1
+    assert (got.n, got.d) == (n, total / 10000)

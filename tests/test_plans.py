@@ -6,6 +6,8 @@ import __spark_entry__ as entry
 
 FOLDER = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
+#: Folds that rest on the decisions before them run in Python over sorted rows; of the dealt operators these four are DataFrame code alone.
+FOLDS, NATIVE = ("T2_can_afford", "W3_drop_reuploads"), ("op1_", "op2_", "op10_", "op13_")
 
 
 def plan(df):
@@ -15,7 +17,8 @@ def plan(df):
 @pytest.mark.parametrize("name", [n for n in entry.queries() if not n.endswith("_stream")])
 def test_no_cross_join_and_no_python(spark, name):
     p = plan(entry.queries()[name](spark, FOLDER))
-    assert not [k for k in FORBIDDEN if k in p]
+    free = name.startswith(FOLDS) or name == "pipeline" or (name.startswith("op") and not name.startswith(NATIVE))
+    assert not [k for k in FORBIDDEN + (() if free else ("MapInArrow", "FlatMapGroupsInArrow")) if k in p]
 
 
 @pytest.mark.parametrize("name", ["W1_newest_n", "W2_newest_n_where", "S7_search_recent", "W4_fill_budgets", "A1_performance", "W11_bounded_long_count"])

@@ -107,9 +107,40 @@ def test_upsert_protects_and_is_idempotent(rows, tmp_path, spark):
     once = sinks.upsert(old, new, "id")
     want = [(1, "a", "Approved"), (2, "B", "New"), (3, "c", "New")]
     assert sorted(map(tuple, once.collect())) == want
-    sinks.write_snapshot(once, str(tmp_path / "s1"))
-    again = sinks.upsert(spark.read.parquet(str(tmp_path / "s1")), new, "id")
-    assert sorted(map(tuple, again.collect())) == want
+    path = str(tmp_path / "s1")
+    sinks.write_snapshot(once, path)
+    for version in (2, 3):  # written back to the table it was computed from
+        assert sinks.upsert_snapshot(new, path, "id") == version
+        assert sorted(map(tuple, sinks.read_snapshot(spark, path).collect())) == want
+
+
+def test_a_failed_write_leaves_the_old_version(rows, tmp_path, spark):
+    path = str(tmp_path / "t")
+    first = rows("id int, v string", (1, "a"), (2, "b"))
+    sinks.write_snapshot(first, path)
+    table = lambda back=0: sorted(map(tuple, sinks.read_snapshot(spark, path, back).collect()))
+    broken = first.withColumn("v", F.when(F.col("id") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="no"):
+        sinks.write_snapshot(broken, path)
+    with pytest.raises(ValueError, match="not unique"):
+        sinks.write_snapshot(first.union(first), path, unique="id")
+    assert table() == [(1, "a"), (2, "b")]
+    held = sinks.read_snapshot(spark, path)
+    sinks.write_snapshot(first.where("id = 1"), path)
+    assert table() == [(1, "a")] and table(1) == [(1, "a"), (2, "b")] == sorted(map(tuple, held.collect()))
+    with pytest.raises(FileNotFoundError):
+        sinks.read_snapshot(spark, path, 2)
+    sinks.write_snapshot(first, path, partition_by=["v"])
+    assert table() == [(1, "a"), (2, "b")] and len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("version-")]) == 2
+
+
+def test_delete_from_the_table_itself(spark, tmp_path):
+    path = str(tmp_path / "d")
+    sinks.write_snapshot(spark.range(40), path)
+    sinks.delete_from_snapshot(spark.range(10), path, "id")
+    assert sinks.read_snapshot(spark, path).count() == 30
+    sinks.delete_from_snapshot(spark.range(10, 40), path, "id")
+    assert sinks.read_snapshot(spark, path).count() == 30
 
 
 def test_sparse_upsert_never_blanks(rows):
