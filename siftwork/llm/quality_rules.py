@@ -144,6 +144,7 @@ def _start(rows: DataFrame) -> DataFrame:
     """Centre and diagonal covariance from the quartiles of every group and coordinate, exact to 16 units."""
     coarse = F.explode(F.array(*[F.struct(F.lit(i).alias("axis"), F.floor(F.col(z) / 16).alias("v")) for i, z in enumerate(_Z)])).alias("e")
     counted = rows.select(*_KEYS, coarse).groupBy(*_KEYS, F.col("e.axis").alias("axis"), F.col("e.v").alias("v")).agg(F.count("*").alias("n"))
+    counted = staged(counted, "quality-quartiles")
     of = Window.partitionBy(*_KEYS, "axis")
     ranked = counted.withColumn("upto", F.sum("n").over(of.orderBy("v"))).withColumn("all", F.sum("n").over(of))
     at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("v"))) * 16.0 + 8.0
@@ -167,6 +168,8 @@ def _step(rows: DataFrame, state: DataFrame) -> DataFrame:
     sums = near.groupBy(*_KEYS, band.alias("band")).agg(
         F.count("*").alias("k"), *[exact(F.col(z)).alias(f"s_{i}") for i, z in enumerate(_Z)],
         *[exact(F.col(_Z[i]) * F.col(_Z[j])).alias(f"q_{i}_{j}") for i, j in PAIRS])
+    # Written first, as the window's key alone would deal the partial sums: all of the widest group to one task.
+    sums = staged(sums, "quality-bands")
     of = Window.partitionBy(*_KEYS)
     ranked = sums.withColumn("upto", F.sum("k").over(of.orderBy("band"))).withColumn("all", F.sum("k").over(of))
     total = lambda c: F.sum(F.col(c)).cast("double")
@@ -197,15 +200,17 @@ def fit(measured: DataFrame, lang: str = "lang", source: str = "source") -> Data
 def judge(measured: DataFrame, state: DataFrame | None = None, lang: str = "lang", source: str = "source") -> DataFrame:
     """Adds base_failed, distance (null where no estimate exists) and kept to the measured rows."""
     state = fit(measured, lang, source) if state is None else state
-    estimate = F.struct(*[c for c in state.columns if c not in _KEYS]).alias("e")
     named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-"))
     # The rows' own columns travel as one struct, so none of their names can clash.
     rows = measured.select(F.struct(*[F.col(f"`{c}`") for c in measured.columns]).alias("__doc"), base_failed().alias("__failed"), *_coordinates(), named(lang).alias("__lang"), named(source).alias("__source"))
-    parts = {k: state.filter(F.col("level") == k).select(F.col("g_lang").alias(f"__l{k}"), F.col("g_source").alias(f"__s{k}"), estimate.alias(f"__e{k}")) for k in (0, 1, 2)}
-    rows = rows.join(parts[0].filter(F.col("__e0.n") >= MIN_ROWS), (F.col("__lang") == F.col("__l0")) & (F.col("__source") == F.col("__s0")), "left")
-    rows = rows.join(parts[1].filter(F.col("__e1.n") >= MIN_ROWS), F.col("__lang") == F.col("__l1"), "left")
-    rows = rows.join(parts[2].withColumn("__all", F.lit(1)).hint("broadcast"), F.lit(1) == F.col("__all"), "left")  # one row
-    rows = rows.withColumn("__e", F.coalesce("__e0", "__e1", "__e2"))
+    # Which estimate a group uses is settled group by group; the rows then meet one estimate each.
+    groups = measured.select(named(lang).alias("__lang"), named(source).alias("__source")).distinct()
+    levels = [(0, F.col("__lang"), F.col("__source")), (1, F.col("__lang"), F.lit("*")), (2, F.lit("*"), F.lit("*"))]
+    entry = F.array(*[F.struct(F.lit(k).alias("level"), a.alias("g_lang"), b.alias("g_source")) for k, a, b in levels])
+    usable = state.filter((F.col("n") >= MIN_ROWS) | (F.col("level") == 2))
+    met = groups.select("__lang", "__source", F.explode(entry).alias("e")).select("__lang", "__source", "e.*").join(usable, _KEYS)
+    estimates = met.groupBy(F.col("__lang").alias("__l"), F.col("__source").alias("__s")).agg(F.min_by(F.struct(*[c for c in state.columns if c not in _KEYS]), "level").alias("__e"))
+    rows = rows.join(estimates, (F.col("__lang") == F.col("__l")) & (F.col("__source") == F.col("__s")), "left")
     judged = _distance(rows.select("__doc", "__failed", *_Z, "__e.*"))
     out = judged.select("__doc.*", "__failed", (F.col("d2") / F.col("scale")).alias("__d2"))
     failed = F.col("__failed")
@@ -219,7 +224,10 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """``docs`` without the documents that the rules reject, with the same columns."""
-    judged = judge(staged(measure(docs), "quality-docs"))
-    return only(judged.filter("kept"), docs.columns)
+    c = lambda x: F.col(f"`{x}`")
+    # As one struct from the start: a column of docs may have the name of a statistic.
+    rows = docs.select(F.struct(*[c(x) for x in docs.columns]).alias("doc"), c(text).alias("text"), c(lang).alias("lang"), c(source).alias("source"))
+    judged = judge(staged(measure(rows).drop("text"), "quality-docs"))
+    return judged.filter("kept").select("doc.*")
