@@ -16,18 +16,28 @@ COUNTRY_BY_NATION = [
     "Brazil", "US", "gb", "Australia", "Viet Nam", "Unknown", "New Zealand", "Atlantis", "Ireland",
     "au", "Czech Republic", "England", "n/a", "South Korea", "USA", "Korea, South",
 ]
-# A title ending per nation key: flags, country names and look-alikes.
+
+
+def flag(codes: str) -> str:
+    """Two-letter codes as flag emoji."""
+    return "".join(chr(0x1F1E6 + ord(c) - ord("A")) for c in codes)
+
+
+_PLACES = ["Qatar", "Nepal", "Sri Lanka", "Hong Kong"]
+# A title ending per nation key: flags, places as words in three spellings, places inside longer words, and plain endings.
 TITLE_END_BY_NATION = [
-    "", " Studio", " 🇯🇵", " at Home", " Around Japan Weekly", " Labs", " SUN KENYA", " 🇺🇸", " 🇺🇸🇯🇵",
-    " Japanese Gardens", " South Korea Walks", " (Portrait)", "", " & Sons", " 🇨🇦🇬🇧", " TV", " bbc fan",
-    " Indiana", " 🇩🇪🇫🇷", " Ltd", " Home", " Room", " in india", " New Zealand", " +1",
-]
-# A text ending per item key digit: location cues, bare mentions and in-zone places.
-TEXT_END_BY_DIGIT = [
-    " Our kitchen is based in the Philippines.", " lenses out of Japan", " We live in a house on the north hills of Thailand",
-    " based in Canada", " from a farm in Kenya, near the lake", "", " moved to Lisbon, then on", " location: Seoul, Korea",
-    " Songs out of India and Pakistan", " home base Toronto",
+    *[f" {flag(codes)}" for codes in ("QA", "CA", "NPGB", "USAU", "GB")],
+    *[f" {p} {w}" for p, w in zip(_PLACES, ("Diary", "Eats", "by Bus", "Nights"))],
+    *[f" meets {p.upper()}" for p in _PLACES],
+    *[f" {p.replace(' ', '')}ese" for p in _PLACES],
+    *[f" ({p.lower()})" for p in _PLACES[:2]],
+    *[f" No. {i}" for i in range(6)],
 ]
+# A text ending per item key digit, as cue, gap and place: told, too far off, on the next line, without a cue, in the zone.
+TEXT_END_BY_DIGIT = [f" {cue}{gap}{place}." for cue, gap, place in (
+    ("located in", " ", "Qatar"), ("Life in", " a small town a day's walk from ", "Nepal"), ("living in", "\n", "Sri Lanka"), ("Home base", ", for now: ", "Hong Kong"),
+    ("moved to", " a place that is" + " far" * 20 + " from ", "Qatar"), ("", "Postcards about ", "Nepal"), ("home in", " ", "Australia"), ("", "", ""),
+    ("from the old harbour in", " ", "Singapore"), ("Location -", " ", "Malaysia"))]
 ZONE = ["US", "CA", "GB", "AU"]
 ITEMS_AS_OF = "2001-08-01 00:00:00"
 EVENTS_AS_OF = "2024-01-31 00:00:00"

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftwork.functions import geo, links, scoring, shape, text, verdicts
+from siftwork.sources.bindings import flag
 
 
 def test_normalize_handle(evaluate):
@@ -110,30 +111,36 @@ def test_region_of(evaluate):
 
 
 def test_flags(evaluate):
-    cases = ["Daichi 🇯🇵", "🇨🇦🇺🇸", "🇯🇵🇩🇪", "none", None]
-    assert evaluate("s string", cases, F.array_join(geo.flag_codes("s"), ",")) == ["JP", "CA,US", "DE,JP", "", ""]
-    assert evaluate("s string", cases, geo.flag_outside("s", ["US", "CA"])) == ["JP", "", "DE", "", ""]
+    cases = [f"Tea {flag('NP')}", flag("USCA"), f"{flag('QA')} and {flag('BR')}", "none", None]
+    assert evaluate("s string", cases, F.array_join(geo.flag_codes("s"), ",")) == ["NP", "CA,US", "BR,QA", "", ""]
+    assert evaluate("s string", cases, geo.flag_outside("s", ["US", "CA"])) == ["NP", "", "BR", "", ""]
+
+
+PLACES = {"Qatar": "QA", "Nepal": "NP", "Sri Lanka": "LK", "Saudi Arabia": "SA", "Viet Nam": "VN"}
 
 
 def test_title_country_is_a_word_and_longest_first(evaluate):
-    cases = ["SUN KENYA", "Japanese Gardens", "South Korea Walks", "Around Japan Weekly", "Germany", None]
-    assert evaluate("s string", cases, geo.title_country("s")) == ["KE", "", "KR", "JP", "", ""]
+    cases = {f(p): code for p, code in PLACES.items() for f in (str.upper, str.lower, lambda p: f"Two weeks, {p}: part 1")}
+    cases |= {f(p): "" for p in PLACES for f in (lambda p: f"{p}i tea", lambda p: f"no{p}")}
+    cases |= {"Republic of Ireland by rail": "IE", "Canada": "", "": ""}
+    assert evaluate("s string", list(cases), geo.title_country("s")) == list(cases.values())
 
 
-def test_description_needs_a_cue(evaluate):
-    cases = ["We live in a house on the north hills of Thailand", "from a farm in Kenya, near the lake", "lenses out of Japan", "Songs out of India and Pakistan",
-             "I live in\nBelarus", "based in the Philippines", "📍 Tokyo, Japan", "moved together to Japan", "location: Seoul, South Korea",
-             "lives in " + "x" * 61 + " Japan", "based in Canada", ""]
-    assert evaluate("s string", cases, geo.desc_location("s")) == ["TH", "KE", "", "", "", "PH", "JP", "", "KR", "", "", ""]
+@pytest.mark.parametrize("cue", ["located in", "Living in", "life in", "moved to", "HOME BASE", "from the quiet coast in", "from a boat in", "Location -", "\N{ROUND PUSHPIN}"])
+def test_description_needs_a_cue(evaluate, cue):
+    cases = {}
+    for p, code in PLACES.items():
+        cases |= {f"{cue} {p}": code, f"Hello! {cue} a town near {p}, mostly": code, f"{cue} {'x' * 58} {p}": code, f"{cue} {'x' * 59} {p}": "", f"{cue}\n{p}": "", f"Songs about {p}": "", f"{cue} {p}ville": ""}
+    assert evaluate("s string", list(cases), geo.desc_location("s")) == list(cases.values())
 
 
 def test_location_precedence(evaluate):
-    zone = ["US", "CA"]
-    cases = [("X 🇯🇵 Kenya", "", "US"), ("Kenya X", "based in India", "US"), ("X", "based in India", "US"), ("X", "", "Germany"), ("X", "", ""), ("X", "", "us")]
+    zone, told = ["US", "CA"], "located in Qatar"
+    cases = [(f"X {flag('BR')} Nepal", told, "US"), ("Nepal X", told, "US"), ("X", told, "US"), ("X", "", "Germany"), ("X", "", ""), ("X", "", "us")]
     got = evaluate("t string, d string, c string", cases, geo.location_gate("t", "d", "c", zone))
-    assert [g and (g.reason, g.detail) for g in got] == [
-        ("outside_search_zone", "title flies the JP flag"), ("outside_search_zone", "title names KE"), ("outside_search_zone", "description says IN"),
-        ("outside_search_zone", "declared country Germany"), ("no_declared_country", "no country set on the channel"), None]
+    outside = [("outside_search_zone", d) for d in ("title flies the BR flag", "title names NP", "description says QA", "declared country Germany")]
+    assert [g and (g.reason, g.detail) for g in got] == [*outside, ("no_declared_country", "no country set on the channel"), None]
+
 
 
 def test_emails(evaluate):
