@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import fixed_values as V
 from .text import as_col, strip, strip_control
@@ -48,6 +48,37 @@ def extract_links(html) -> Column:
     return F.array_distinct(F.filter(F.transform(raw, unwrap_redirect), lambda u: u != ""))
 
 
+LINK_DEPTH = 12
+
+
+def nested_links(df: DataFrame, doc: str, out: str, root: str = "$", host: str = "youtube.com", depth: int = LINK_DEPTH) -> DataFrame:
+    """``df`` with ``out``: distinct destinations of the redirect links in a nested JSON document, however it is nested.
+
+    Every object down to ``depth`` may have a ``url``; one that is a redirect counts, unwrapped. An object's own link comes before those inside
+    it; inside, arrays keep their order and the fields of one object come by name, as VARIANT does not keep theirs. What is no JSON has none.
+    """
+    level, found = F.col("_level"), F.col("_found")
+    start = F.array(F.struct(F.lit("").alias("at"), F.try_variant_get(F.try_parse_json(doc), root, "variant").alias("v")))
+    rows = df.withColumn("_level", start).withColumn("_found", F.array().cast("array<struct<at:string,url:string>>"))
+
+    def own(e: Column) -> Column:
+        url = F.try_variant_get(e["v"], "$.url", "variant")
+        return F.struct(e["at"].alias("at"), F.when(F.schema_of_variant(url) == "STRING", F.try_variant_get(e["v"], "$.url", "string")).alias("url"))
+
+    def inside(e: Column) -> Column:
+        children = F.coalesce(
+            F.map_values(F.try_variant_get(e["v"], "$", "map<string,variant>")), F.try_variant_get(e["v"], "$", "array<variant>"), F.array().cast("array<variant>"))
+        return F.transform(children, lambda c, i: F.struct(F.concat(e["at"], F.lpad(i.cast("string"), 9, "0")).alias("at"), c.alias("v")))
+
+    for d in range(depth + 1):
+        urls = F.filter(F.transform(level, own), lambda u: F.coalesce(F.contains(u["url"], F.lit("/redirect")), F.lit(False)))
+        rows = rows.withColumn("_found", F.concat(found, urls))
+        if d < depth:
+            rows = rows.withColumn("_level", F.flatten(F.transform(level, inside)))
+    ordered = F.transform(F.array_sort(found), lambda u: unwrap_redirect(u["url"], host))
+    return rows.withColumn(out, F.array_distinct(F.filter(ordered, lambda u: u != ""))).drop("_level", "_found")
+
+
 def external_links(urls, hosts=V.THIRD_PARTY_DOMAINS) -> Column:
     """Links that may be the entity's own site: third-party hosts dropped, order kept."""
     keep = F.filter(

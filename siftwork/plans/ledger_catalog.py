@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V, links, shape, text, verdicts
-from ..operators import gates, ledger, metrics, reports, windows
+from ..operators import contacts, gates, ledger, metrics, reports, windows
 from ..sources import bindings as B
 from .metrics_catalog import DOC_ORDER
 from .registry import query
@@ -305,10 +305,4 @@ def _best(src, least):
 def _(s, d):
     docs = B.documents(s, d).select("entity_id", "item_id", "description")
     words = F.regexp_extract_all("description", F.lit(r"\b(th[a-z]{6,9})\b"), 1)
-    a = metrics.repeated_contact(windows.newest_n(docs, 20, DOC_ORDER), words, "item_id", 7).select("entity_id", F.col("contact").alias("a"))
-    mail = links.first_email("description")
-    b = docs.where(mail != "").groupBy("entity_id").agg(F.min_by(mail, "item_id").alias("b"))
-    c = windows.deep_scan(docs, words, a.select("entity_id").unionByName(b.select("entity_id")), page_size=20, pages=1, min_items=7, order=DOC_ORDER).select("entity_id", F.col("contact").alias("c"))
-    g = docs.select("entity_id").distinct().join(a, "entity_id", "left").join(b, "entity_id", "left").join(c, "entity_id", "left")
-    r = g.select("entity_id", links.resolve_contact(("a", V.CONTACT_SOURCES[0]), ("b", V.CONTACT_SOURCES[1]), ("c", V.CONTACT_SOURCES[2])).alias("r"))
-    return r.select("entity_id", "r.value", "r.source")
+    return contacts.contact_chain(docs, words, links.first_email("description"), page_size=20, pages=1, min_items=7, order=DOC_ORDER)

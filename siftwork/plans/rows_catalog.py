@@ -453,6 +453,30 @@ def _(s, d):
     return p.select("page_id", F.col("place").cast("bigint").alias("place"), "link")
 
 
+def _about_json(urls):
+    """A page's links as the nested document an about page carries: each one wrapped in a redirect, nine levels down."""
+
+    def one(u):
+        node = F.struct(F.concat(F.lit("https://go.example/redirect?event=about&q="), F.url_encode(u)).alias("url"))
+        for name in ("webCommand", "metadata", "command", "onTap"):
+            node = F.struct(node.alias(name))
+        node = F.struct(F.array(node).alias("runs"))
+        for name in ("link", "externalLink"):
+            node = F.struct(node.alias(name))
+        return node
+
+    return F.to_json(F.struct(F.struct(F.lit("https://go.example/redirect?q=outside").alias("url")).alias("header"), F.transform(urls, one).alias("links")))
+
+
+@query("F27_nested_links", r"""SELECT page_id, i - 1 AS place, links[i] AS link FROM (SELECT page_id, links, unnest(range(1, len(links) + 1)) AS i FROM (
+  SELECT page_id, list_filter(l, lambda x, i: x <> '' AND list_position(l, x) = i) AS links FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages)))""")
+def _(s, d):
+    hrefs = F.filter(F.regexp_extract_all("html", F.lit(r'href="([^"]*)"'), 1), lambda u: u != "")
+    docs = B.pages(s, d).select("page_id", _about_json(hrefs).alias("about"))
+    found = links.nested_links(docs, "about", "links", "$.links", "go.example")
+    return found.select("page_id", F.posexplode("links").alias("place", "link")).select("page_id", F.col("place").cast("bigint").alias("place"), "link")
+
+
 @query("F32_safe_urls", r"""SELECT page_id, CASE WHEN regexp_matches(url, '^https://[a-z.-]+/[a-z]{2}/\d+$') THEN url WHEN page_id >= 100 THEN 'https://video.example/channel/' || page_id END AS entity_url,
   CASE WHEN url LIKE 'https%' THEN url WHEN contains(url, '?') THEN NULL ELSE 'mailto:stop@' || page_id || '.example?subject=x' END AS unsubscribe FROM pages""")
 def _(s, d):

@@ -212,3 +212,41 @@ def test_an_account_with_a_million_amounts(spark):
         if total + u <= 900_000:
             total, n = total + u, n + 1
     assert (got.n, got.d) == (n, total / 10000)
+
+
+def chain_loop(items, page_size, pages, least):
+    """items of one entity in order: (contacts, address)."""
+    for step in range(pages + 1):
+        n, first = {}, {}
+        for at, (found, _) in enumerate(items[: page_size * (step + 1)]):
+            for c in dict.fromkeys(found):
+                n[c] = n.get(c, 0) + 1
+                first.setdefault(c, at)
+        good = sorted((-n[c], first[c], c) for c in n if n[c] >= least)
+        if good:
+            if step == 0:
+                return good[0][2], 0
+            older = good[0][2]
+            break
+    else:
+        older = ""
+    mail = next((a for _, a in items if a), "")
+    return (mail, 1) if mail else (older, 2) if older else ("", None)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_contact_chain_equals_the_steps(rows, seed):
+    from siftwork.functions import fixed_values as V
+    from siftwork.operators import contacts
+
+    rnd = random.Random(seed)
+    data, want = [], {}
+    for e in range(30):
+        mine = [([rnd.choice("abcdefgh") for _ in range(rnd.randrange(3))], rnd.choice([None, "", "", f"x{e}@y.z"]) if e % 3 == 0 else None) for _ in range(rnd.randrange(1, 40))]
+        data += [(e, i, c, a) for i, (c, a) in enumerate(mine)]
+        value, source = chain_loop(mine, 6, 2, 4)
+        want[e] = (value, "" if source is None else V.CONTACT_SOURCES[source])
+    rnd.shuffle(data)
+    df = rows("entity_id int, item_id int, c array<string>, a string", *data)
+    got = contacts.contact_chain(df, F.col("c"), F.col("a"), page_size=6, pages=2, min_items=4, order=["item_id"])
+    assert {r.entity_id: (r.value, r.source) for r in got.collect()} == want and len({s for _, s in want.values()}) >= 3

@@ -38,3 +38,8 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate" in p and "o_totalprice" not in p.split("ReadSchema")[1]
     day = plan(entry.queries()["A11_added_on"](spark, FOLDER))
     assert "GreaterThanOrEqual(ts" in day and "props" not in day.split("ReadSchema")[1]
+
+
+def test_the_contact_chain_reads_its_texts_once(spark):
+    p = plan(entry.queries()["F28_resolve_contact"](spark, FOLDER))
+    assert p.count("FileScan parquet") == 1 and "WindowGroupLimit" in p

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from siftwork.functions import text
+from siftwork.functions import links, text
 from siftwork.operators import budgets, gates, ledger, matching, metrics, reports
 from siftwork.plans import screening
 from siftwork.sources import sinks, tables
@@ -269,3 +269,40 @@ def test_a_large_send_budget_grants_all_it_covers(rows):
     led = rows("entity_id int, claim_key string, state string, settled_at timestamp, claimed_at timestamp")
     got = [r.reason for r in ledger.claim_decision(q, led, rows("remaining bigint", (15,))).orderBy("ord").collect()]
     assert got == ["granted"] * 15 + ["over_daily_cap"] * 5
+
+
+# ---- nested links ---------------------------------------------------------------------------
+
+def walk(node, depth=0, out=None):
+    """Destinations as a recursive walk finds them, fields of an object by name."""
+    out = [] if out is None else out
+    if depth <= 12 and isinstance(node, dict):
+        if isinstance(node.get("url"), str) and "/redirect" in node["url"]:
+            out.append(node["url"].split("q=")[-1])
+        for k in sorted(node):
+            walk(node[k], depth + 1, out)
+    elif depth <= 12 and isinstance(node, list):
+        for x in node:
+            walk(x, depth + 1, out)
+    return list(dict.fromkeys(out))
+
+
+def link_to(x):
+    return {"url": f"https://go.example/redirect?q={x}"}
+
+
+def deep(node, n):
+    return {"in": [deep(node, n - 2)]} if n > 1 else ({"in": node} if n else node)
+
+
+def test_nested_links_equal_the_walk(rows):
+    import json
+
+    docs = [
+        [deep(link_to("a"), 9), deep(link_to("b"), 8), link_to("a")], [], {}, None, 7, "https://go.example/redirect?q=text",
+        {"url": "https://go.example/redirect?q=own", "z": link_to("later"), "m": [link_to("1"), {"url": 5, "k": link_to("2")}]},
+        [deep(link_to("edge"), 11)], [deep(link_to("too deep"), 12)], {"url": {"url": "https://go.example/redirect?q=inner"}}, {"url": "https://plain.example"},
+        [[link_to(str(i)) for i in range(30)], [[link_to("3")]]]]
+    data = [(i, json.dumps(x)) for i, x in enumerate(docs)] + [(90, None), (91, ""), (92, "{not json")]
+    got = {r.i: r.found for r in links.nested_links(rows("i int, doc string", *data), "doc", "found", host="go.example").collect()}
+    assert got == {**{i: walk(x) for i, x in enumerate(docs)}, 90: [], 91: [], 92: []}
