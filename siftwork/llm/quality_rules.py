@@ -40,6 +40,8 @@ SMOOTH = 20
 #: Smaller groups use the estimate of their language, and smaller languages that of all rows.
 MIN_ROWS = 60
 BANDS_PER_OCTAVE = 16
+#: Rows of a group meet its estimate in so many places, as one group is all rows.
+SALTS = 32
 
 
 def _let(value: Column, use) -> Column:
@@ -116,7 +118,7 @@ def _with_groups(rows: DataFrame) -> DataFrame:
     named = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
     levels = [(0, named("g_lang"), named("g_source")), (1, named("g_lang"), F.lit("*")), (2, F.lit("*"), F.lit("*"))]
     entry = F.array(*[F.struct(F.lit(k).alias("level"), a.alias("g_lang"), b.alias("g_source")) for k, a, b in levels])
-    return rows.select(*_Z, F.explode(entry).alias("e")).select(*_Z, "e.*")
+    return rows.select(*_Z, "salt", F.explode(entry).alias("e")).select(*_Z, "salt", "e.*")
 
 
 def _inverse_factor(state: DataFrame) -> DataFrame:
@@ -162,7 +164,8 @@ def _start(rows: DataFrame) -> DataFrame:
 
 def _step(rows: DataFrame, state: DataFrame) -> DataFrame:
     """One concentration step: the nearest SHARE of every group's rows, to the end of a band, give its next estimate."""
-    near = _distance(rows.join(state.drop("n", "scale"), _KEYS))
+    salted = state.drop("n", "scale").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    near = _distance(rows.join(salted, [*_KEYS, "salt"]))
     band = F.floor(F.log2(F.greatest(F.col("d2"), F.lit(1e-6))) * BANDS_PER_OCTAVE)
     exact = lambda c: F.sum(c.cast("decimal(18,0)"))
     sums = near.groupBy(*_KEYS, band.alias("band")).agg(
@@ -188,7 +191,7 @@ def _step(rows: DataFrame, state: DataFrame) -> DataFrame:
 def fit(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """Centre, factor of the covariance and scale of every group, language and all rows, from the rows that pass the base rules."""
     narrow = staged(
-        measured.filter(~base_failed()).select(*_coordinates(), F.col(f"`{lang}`").cast("string").alias("g_lang"), F.col(f"`{source}`").cast("string").alias("g_source")), "quality-rows")
+        measured.filter(~base_failed()).select(*_coordinates(), F.col(f"`{lang}`").cast("string").alias("g_lang"), F.col(f"`{source}`").cast("string").alias("g_source"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int").alias("salt")), "quality-rows")
     rows = _with_groups(narrow)
     state = staged(_inverse_factor(_start(rows)), "quality-state")
     for _ in range(STEPS):
