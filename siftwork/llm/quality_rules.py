@@ -213,6 +213,8 @@ def judge(measured: DataFrame, state: DataFrame | None = None, lang: str = "lang
     usable = state.filter((F.col("n") >= MIN_ROWS) | (F.col("level") == 2))
     met = groups.select("__lang", "__source", F.explode(entry).alias("e")).select("__lang", "__source", "e.*").join(usable, _KEYS)
     estimates = met.groupBy(F.col("__lang").alias("__l"), F.col("__source").alias("__s")).agg(F.min_by(F.struct(*[c for c in state.columns if c not in _KEYS]), "level").alias("__e"))
+    # Written, so that Spark knows how small it is and need not move the documents.
+    estimates = staged(estimates, "quality-estimates")
     rows = rows.join(estimates, (F.col("__lang") == F.col("__l")) & (F.col("__source") == F.col("__s")), "left")
     judged = _distance(rows.select("__doc", "__failed", *_Z, "__e.*"))
     out = judged.select("__doc.*", "__failed", (F.col("d2") / F.col("scale")).alias("__d2"))
