@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.text import as_col, fold_name, handle_key, normalize_handle, strip, suppression_name
@@ -43,20 +43,78 @@ def suppression_index(rows: DataFrame, name="name", url="url", email="email") ->
     return keys.unionByName(counts.select(checked.alias("kind"), F.lit("checked").alias("key"))).where("kind <> 'checked'")
 
 
+def _handle_key(handle) -> Column:
+    k = handle_key(handle)
+    return F.struct(F.lit("handle").alias("kind"), F.lit(0).alias("rank"), k.alias("key"), F.concat(F.lit("handle @"), k).alias("detail"))
+
+
+def _email_key(email) -> Column:
+    e = F.lower(strip(F.coalesce(as_col(email), F.lit(""))))
+    return F.struct(F.lit("email").alias("kind"), F.lit(1).alias("rank"), e.alias("key"), F.concat(F.lit("email "), e).alias("detail"))
+
+
+def _name_key(name, for_external: bool = False, kind: str = "name") -> Column:
+    n = fold_name(name) if for_external else suppression_name(name)
+    shown = F.concat(F.lit("name '"), strip(F.coalesce(as_col(name), F.lit(""))), F.lit("'"))
+    return F.struct(F.lit(kind).alias("kind"), F.lit(2).alias("rank"), n.alias("key"), shown.alias("detail"))
+
+
+def _exploded(df: DataFrame, id_col: str, keys: list[Column]) -> DataFrame:
+    return df.select(F.col(id_col), F.explode(F.array(*keys)).alias("k")).select(id_col, "k.*").where("key <> ''")
+
+
 def entity_keys(df: DataFrame, id_col="entity_id", handle=None, email=None, name=None, for_external=False) -> DataFrame:
     """Entities as ``(id, kind, rank, key, detail)``; blank keys are dropped, so they never match."""
-    arr = []
+    keys = []
     if handle is not None:
-        k = handle_key(handle)
-        arr.append(F.struct(F.lit("handle").alias("kind"), F.lit(0).alias("rank"), k.alias("key"), F.concat(F.lit("handle @"), k).alias("detail")))
+        keys.append(_handle_key(handle))
     if email is not None:
-        e = F.lower(strip(F.coalesce(as_col(email), F.lit(""))))
-        arr.append(F.struct(F.lit("email").alias("kind"), F.lit(1).alias("rank"), e.alias("key"), F.concat(F.lit("email "), e).alias("detail")))
+        keys.append(_email_key(email))
     if name is not None:
-        n = fold_name(name) if for_external else suppression_name(name)
-        shown = F.concat(F.lit("name '"), strip(F.coalesce(as_col(name), F.lit(""))), F.lit("'"))
-        arr.append(F.struct(F.lit("name").alias("kind"), F.lit(2).alias("rank"), n.alias("key"), shown.alias("detail")))
-    return df.select(F.col(id_col), F.explode(F.array(*arr)).alias("k")).select(id_col, "k.*").where("key <> ''")
+        keys.append(_name_key(name, for_external))
+    return _exploded(df, id_col, keys)
+
+
+BLOCKED, KNOWN, RESCUED = 1, 2, 4
+
+
+def tagged_index(suppression: DataFrame | None = None, external: DataFrame | None = None, known: DataFrame | None = None,
+                 rescued: DataFrame | None = None) -> DataFrame:
+    """All lists a candidate is held against as one index: ``(kind, key, bits, tracked)``, one row per key.
+
+    ``bits`` tells which lists hold the key, ``tracked`` is the first external source that does. Names are folded
+    differently for suppression and for external sources, so these are two kinds; ids are compared as text.
+    A suppression list fails closed as in :func:`suppression_index`.
+    """
+    def part(df, kind, key, bit, tracked=None):
+        none = F.lit(None).cast("struct<source_rank:int,source:string>")
+        return df.select(kind.alias("kind"), key.alias("key"), F.lit(bit).alias("bits"), (none if tracked is None else tracked).alias("tracked"))
+
+    parts = []
+    if suppression is not None:
+        parts.append(part(suppression_index(suppression), F.col("kind"), F.col("key"), BLOCKED))
+    if external is not None:
+        kind = F.when(F.col("kind") == "name", F.lit("tracked name")).otherwise(F.col("kind"))
+        parts.append(part(external, kind, F.col("key"), 0, F.struct(F.col("source_rank").cast("int").alias("source_rank"), "source")))
+    for ids, bit in ((known, KNOWN), (rescued, RESCUED)):
+        if ids is not None:
+            parts.append(part(ids, F.lit("id"), F.col(ids.columns[0]).cast("string"), bit))
+    return reduce(DataFrame.unionByName, parts).groupBy("kind", "key").agg(F.bit_or("bits").alias("bits"), F.min("tracked").alias("tracked"))
+
+
+def index_hits(df: DataFrame, index: DataFrame, id_col="entity_id", handle="handle", email="email", name="title") -> DataFrame:
+    """What a :func:`tagged_index` knows of each entity, from one explode and one join: ``key_hit`` (first blocked handle or name),
+    ``mail_hit``, ``tracked_in``, ``is_known``, ``is_rescued``. Entities without any hit have no row."""
+    own_id = F.struct(F.lit("id").alias("kind"), F.lit(3).alias("rank"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("key"), F.lit("").alias("detail"))
+    mine = _exploded(df, id_col, [_handle_key(handle), _email_key(email), _name_key(name), _name_key(name, True, "tracked name"), own_id])
+    has = lambda bit: F.col("bits").bitwiseAND(bit) != 0
+    mail = F.col("kind") == "email"
+    order = F.when(F.col("tracked").isNotNull(), F.struct("rank", "tracked.source_rank"))
+    return mine.join(index, ["kind", "key"]).groupBy(id_col).agg(
+        F.min_by("detail", F.when(has(BLOCKED) & ~mail, F.col("rank"))).alias("key_hit"),
+        F.min(F.when(has(BLOCKED) & mail, F.col("detail"))).alias("mail_hit"),
+        F.min_by("tracked.source", order).alias("tracked_in"),
+        F.coalesce(F.bool_or(has(KNOWN)), F.lit(False)).alias("is_known"), F.coalesce(F.bool_or(has(RESCUED)), F.lit(False)).alias("is_rescued"))
 
 
 def suppression_hits(df: DataFrame, rows: DataFrame, id_col="entity_id", handle=None, email=None, name=None) -> DataFrame:

@@ -18,17 +18,25 @@ def _rate(engagements: Column, views: Column) -> Column:
     return F.when(views > 0, F.try_divide(engagements.cast("double"), views) * 100).otherwise(F.lit(0.0))
 
 
+def _mode(tags: Column) -> Column:
+    """The most frequent entry of a bounded array, ties to the first; a blank for an empty one."""
+    seen = F.array_distinct(tags)
+    counts = F.transform(seen, lambda x, i: F.struct((-F.size(F.filter(tags, lambda y: y == x))).alias("neg"), i.alias("at"), x.alias("tag")))
+    return F.coalesce(F.array_min(counts)["tag"], F.lit(""))
+
+
 def entity_metrics(items: DataFrame, as_of: str, wide=V.WIDE_WINDOW, narrow=V.METRIC_WINDOW, long_target=V.MIN_LONG_COUNT,
-                   long_pages: int = 0, row_columns: dict[str, Column] | None = None, aggregates: list[Column] = ()) -> DataFrame:
+                   long_pages: int = 0, row_columns: dict[str, Column] | None = None, aggregates: list[Column] = (), modes: list[str] = ()) -> DataFrame:
     """All per-entity metrics in one shuffle: window to the newest items, then one aggregate.
 
     Views, engagement, minimum and sample come from the long, de-duplicated, reported and
     settled items (newest ``narrow`` of them), falling back to the newest ``narrow`` raw items
     when there are none. Dates always come from the newest ``narrow`` list positions. With
     ``long_pages`` the long count may read that many further pages of ``wide`` items.
-    ``row_columns`` and ``aggregates`` let a caller take more from the same wide window.
+    ``row_columns`` and ``aggregates`` let a caller take more from the same wide window. Each column named in ``modes``
+    gives its most frequent non-blank value there (ties to the newest), or a blank, from that same aggregate.
     """
-    row_columns = row_columns or {}
+    row_columns = {**(row_columns or {}), **{f"tag_{c}": F.nullif(F.col(c), F.lit("")) for c in modes}}
     w = newest_n(
         items.select(
             "entity_id", "item_id", "published_at", "views", "engagements", "seconds",
@@ -48,6 +56,7 @@ def entity_metrics(items: DataFrame, as_of: str, wide=V.WIDE_WINDOW, narrow=V.ME
         F.count_if(inside).alias("wide_n"),
         F.every(~inside | F.coalesce("short", F.lit(False))).alias("all_short"),
         *paged_counts(F.col("position"), F.col("short"), wide, long_pages),
+        *[F.sort_array(F.collect_list(F.when(inside & F.col(f"tag_{c}").isNotNull(), F.struct("position", F.col(f"tag_{c}").alias("tag"))))).alias(f"tags_{c}") for c in modes],
         *aggregates,
     )
     kept = F.slice(F.filter(fold_reuploads(F.col("s")), lambda x: x["views"].isNotNull() & x["settled"]), 1, narrow)
@@ -55,7 +64,7 @@ def entity_metrics(items: DataFrame, as_of: str, wide=V.WIDE_WINDOW, narrow=V.ME
     views, eng = _total(F.col("k"), "views"), _total(F.col("k"), "engagements")
     n = F.size("k")
     has = n > 0
-    extra = [c for c in agg.columns if c not in _OWN and not c.startswith("p")]
+    extra = [c for c in agg.columns if c not in _OWN and not c.startswith(("p", "tags_"))] + [_mode(F.col(f"tags_{c}.tag")).alias(c) for c in modes]
     return m.select(
         "entity_id",
         F.when(has, F.try_divide(views.cast("double"), n)).otherwise(F.try_divide(F.col("raw_views").cast("double"), F.col("raw_n"))).alias("avg_views"),

@@ -55,73 +55,100 @@ def _with_metrics(rows: DataFrame, items: DataFrame, as_of: str, rules: Rules, o
         terms = rules.off_terms if rules.off_categories is None else {c: t for c, t in rules.off_terms.items() if c in rules.off_categories}
         extra = dict(row_columns=metrics.off_target_marks("title", terms, rules.on_terms),
                      aggregates=metrics.off_target_aggregates(terms, F.col("position") <= V.WIDE_WINDOW))
+    if "language" in items.columns:
+        rows, extra["modes"] = rows.drop("language"), ["language"]
     if only_open:
         items = items.join(rows.where("early is null").select("entity_id"), "entity_id", "left_semi")
     m = metrics.entity_metrics(items, as_of, long_target=rules.min_long, long_pages=rules.long_pages, **extra)
     return rows.join(m, "entity_id", "left")
 
 
-def screen(entities: DataFrame, items: DataFrame, rules: Rules, as_of: str, suppression: DataFrame | None = None,
-           external: DataFrame | None = None, known: DataFrame | None = None, rescued: DataFrame | None = None,
-           stage: str | None = None) -> DataFrame:
-    """Run every rule in contract order; the first failing one is the row's ``reason`` (null: passed).
+def own_rules(entities: DataFrame, rules: Rules) -> DataFrame:
+    """``entities`` with the outcome of the rules that need the row alone, and without the long text these read."""
+    return entities.withColumn("own_rule", _entity_stage(rules)).withColumn("signals", text.persona_signals("description", rules.bio_signals)).drop("description")
+
 
-    The rules that need the entity row alone come first. With a ``stage`` folder their outcome is
-    written there once and read back: the text rules run once, only the items of entities still
-    open are windowed, and a lost executor does not send the job back to the raw texts.
+def key_rules(judged: DataFrame, suppression: DataFrame | None = None, external: DataFrame | None = None, known: DataFrame | None = None,
+              rescued: DataFrame | None = None) -> DataFrame:
+    """``own_rules`` rows held against all lists at once; ``early`` is the first rule failed before any item is read."""
+    if suppression is external is known is rescued is None:
+        none = F.lit(None).cast("string")
+        rows = judged.select("*", none.alias("key_hit"), none.alias("mail_hit"), none.alias("tracked_in"), F.lit(False).alias("is_known"), F.lit(False).alias("is_rescued"))
+    else:
+        rows = judged.join(matching.index_hits(judged, matching.tagged_index(suppression, external, known, rescued)), "entity_id", "left")
+    return rows.withColumn("early", F.coalesce(
+        _hit(F.col("key_hit").isNotNull(), "blocked", F.col("key_hit")),
+        _hit(F.col("tracked_in").isNotNull(), "duplicate", F.col("tracked_in")),
+        _hit(F.col("is_known"), "duplicate", F.lit("already tracked in this table")),
+        F.col("own_rule")))
 
-    ``entities``: entity_id, title, handle, description, country, language, subscribers, published_at,
-    email, links (null: unread). ``suppression`` rows fail closed. ``external`` is a multi-source index,
-    ``known`` a set of ids, ``rescued`` the ids a verdict re-admits past the off-target rule.
+
+def stage_rows(entities: DataFrame, rules: Rules, path: str, **lists: DataFrame | None) -> DataFrame:
+    """``key_rules`` of ``entities``, written in two steps under ``path`` and read back.
+
+    The candidates are read once and their texts go no further than the first step: neither folder holds them.
     """
-    rows = entities
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
 
-    def attach(df, other, name):
-        return df.withColumn(name, F.lit(None).cast("string")) if other is None else df.join(other.toDF("entity_id", name), "entity_id", "left")
+    return kept(key_rules(kept(own_rules(entities, rules), "rules"), **lists), "keys")
 
-    by_key = None if suppression is None else matching.suppression_hits(entities, suppression, handle="handle", name="title")
-    by_mail = None if suppression is None else matching.suppression_hits(entities, suppression, email="email")
-    tracked = None if external is None else matching.match_external(entities, external)
-    mine = None if known is None else known.select(F.col(known.columns[0]).alias("entity_id"), F.lit("already tracked in this table").alias("x"))
-    ok = None if rescued is None else rescued.select("entity_id", F.lit("yes").alias("x"))
-    for other, name in ((by_key, "key_hit"), (by_mail, "mail_hit"), (tracked, "tracked_in"), (mine, "known_hit"), (ok, "rescue")):
-        rows = attach(rows, other, name)
 
-    def hit(cond, reason, detail):
-        return F.when(cond, F.struct(F.lit(reason).alias("reason"), detail.alias("detail")))
+def _hit(cond: Column, reason: str, detail: Column) -> Column:
+    return F.when(cond, F.struct(F.lit(reason).alias("reason"), detail.alias("detail")))
 
-    early = F.coalesce(
-        hit(F.col("key_hit").isNotNull(), "blocked", F.col("key_hit")),
-        hit(F.col("tracked_in").isNotNull(), "duplicate", F.col("tracked_in")),
-        hit(F.col("known_hit").isNotNull(), "duplicate", F.col("known_hit")),
-        _entity_stage(rules),
-    )
-    rows = rows.withColumn("early", early)
-    if stage:
-        rows.write.mode("overwrite").parquet(stage)
-        rows = rows.sparkSession.read.schema(rows.schema).parquet(stage)
+
+def gate_detail(rules: Rules, item_count: str) -> Column:
+    """What the hard gate saw: average views, how many settled items clear the floor, item count and language."""
+    floor = rules.gate.get("floor", V.MIN_VIEWS_PER_ITEM)
+    settled = F.coalesce(F.col("settled_views"), F.array().cast("array<bigint>"))
+    return F.concat(
+        F.lit("avg "), F.format_number(F.coalesce("avg_views", F.lit(0.0)), 0), F.lit(" views, "),
+        F.size(F.filter(settled, lambda v: v >= floor)).cast("string"), F.lit("/"), F.size(settled).cast("string"), F.lit(f" long-form videos over {floor // 1000}k, "),
+        F.coalesce(F.col(item_count).cast("string"), F.lit("None")), F.lit(" videos, lang "), F.coalesce(F.nullif("language", F.lit("")), F.lit("unset")))
+
+
+def screen(entities: DataFrame, items: DataFrame, rules: Rules, as_of: str, suppression: DataFrame | None = None,
+           external: DataFrame | None = None, known: DataFrame | None = None, rescued: DataFrame | None = None,
+           stage: str | None = None) -> DataFrame:
+    """Run every rule in contract order; the first failing one is the row's ``reason`` (null: passed).
+
+    With a ``stage`` folder what is known before items are read comes from :func:`stage_rows`: the text rules run
+    once, only the items of entities still open are windowed, and a lost executor does not send the job back to the texts.
+
+    ``entities``: entity_id, title, handle, description, country, subscribers, published_at, email, links (null: unread),
+    item_count (null: unknown; without the column, the items at hand count) and language. Where ``items`` have a language,
+    the most frequent one of the newest items is the entity's instead. ``suppression`` rows fail closed. ``external`` is a
+    multi-source index, ``known`` a set of ids, ``rescued`` the ids a verdict re-admits past the off-target rule. The
+    result has all columns of ``entities`` but the description.
+    """
+    lists = dict(suppression=suppression, external=external, known=known, rescued=rescued)
+    rows = stage_rows(entities, rules, stage, **lists) if stage else key_rules(own_rules(entities, rules), **lists)
     j = _with_metrics(rows, items, as_of, rules, only_open=bool(stage))
     none = F.lit("").alias("detail")
-    gate = gates.hard_gate(item_count="wide_n", **rules.gate)
+    item_count = "item_count" if "item_count" in entities.columns else "wide_n"
+    gate = gates.hard_gate(item_count=item_count, **rules.gate)
     long = gates.longform_gate("long_total", rules.min_long)
-    later = [hit(F.col("wide_n").isNull(), "unreachable", none)]
+    later = [_hit(F.col("wide_n").isNull(), "unreachable", none)]
     if rules.on_terms:
-        off = metrics.off_target_verdict(text.persona_signals("description", rules.bio_signals), rules.off_categories is not None, rules.off_min_share)
-        later.append(F.when(F.col("rescue").isNull(), off))
+        off = metrics.off_target_verdict(F.col("signals"), rules.off_categories is not None, rules.off_min_share)
+        later.append(F.when(~F.coalesce("is_rescued", F.lit(False)), off))
     later += [
-        F.when(gate.isNotNull(), F.struct(gate.alias("reason"), none)),
+        F.when(gate.isNotNull(), F.struct(gate.alias("reason"), gate_detail(rules, item_count).alias("detail"))),
         F.when(long.isNotNull(), F.struct(long.alias("reason"), F.concat(F.col("long_total").cast("string"), F.lit(" confirmed long-form videos")).alias("detail"))),
     ]
     # Rules after the daily budget check; see ``budgets.apply_headroom``.
     last = [
-        hit(links.no_presence("links").isNotNull(), "no_social_presence", none),
-        hit(F.col("mail_hit").isNotNull(), "blocked", F.col("mail_hit")),
+        _hit(links.no_presence("links").isNotNull(), "no_social_presence", none),
+        _hit(F.col("mail_hit").isNotNull(), "blocked", F.col("mail_hit")),
     ]
     scored = j.withColumn("gated", F.coalesce("early", *later)).withColumn("verdict", F.coalesce("gated", *last)).withColumn("risk", scoring.fake_follower_risk("subscribers", "avg_views", "engagement_rate"))
     passed = F.col("verdict").isNull()
     kind = shape.qualify(shape.age_months("published_at", as_of), rules.min_age_months)
+    own = [c for c in entities.columns if c not in ("description", "language")]
     return scored.select(
-        *entities.columns, F.col("verdict.reason").alias("reason"), F.col("verdict.detail").alias("detail"),
+        *own, "language", F.col("verdict.reason").alias("reason"), F.col("verdict.detail").alias("detail"),
         "avg_views", "engagement_rate", "per_month", "per_year", "days_since", "long_total", "settled_items",
         F.when(passed, F.col("risk")).alias("risk"),
         F.when(passed, scoring.overall_score("subscribers", "avg_views", "engagement_rate", "per_month", "risk")).alias("score"),

@@ -306,3 +306,30 @@ def test_nested_links_equal_the_walk(rows):
     data = [(i, json.dumps(x)) for i, x in enumerate(docs)] + [(90, None), (91, ""), (92, "{not json")]
     got = {r.i: r.found for r in links.nested_links(rows("i int, doc string", *data), "doc", "found", host="go.example").collect()}
     assert got == {**{i: walk(x) for i, x in enumerate(docs)}, 90: [], 91: [], 92: []}
+
+
+def test_language_and_item_count_decide_in_the_screen(spark, rows, tmp_path):
+    day = dt.datetime(2024, 1, 1)
+    ent = rows("entity_id int, title string, handle string, description string, country string, subscribers bigint, published_at timestamp, email string, links array<string>, item_count bigint",
+               *[(e, f"T{e}", f"h{e}", "text" * 9, "US", 90_000, day, "", None, n) for e, n in ((1, 40), (2, 40), (3, None), (4, 2), (5, 40))])
+    tags = {1: ["en", "de"], 2: ["de", "en"], 3: ["", "en-GB", None], 4: ["en"], 5: ["", None]}  # newest first, in turn
+    its = rows("entity_id int, item_id int, published_at timestamp, title string, views bigint, engagements bigint, seconds int, w string, h string, language string",
+               *[(e, e * 100 + i, day - dt.timedelta(days=20 + 7 * i), f"sofa {i}", 50_000, 500, 600, "1280", "720", t[i % len(t)]) for e, t in tags.items() for i in range(40)])
+    rules = screening.Rules(zone=["US"], gate=dict(min_avg_views=10_000.0))
+    stage = str(tmp_path / "stage")
+    got = {r.entity_id: r for r in screening.screen(ent, its, rules, "2024-01-01 00:00:00", stage=stage).collect()}
+    assert {e: (r.reason, r.language) for e, r in got.items()} == {1: (None, "en"), 2: ("not_english", "de"), 3: (None, "en-GB"), 4: ("too_few_videos", "en"), 5: ("not_english", "")}
+    assert got[4].detail.startswith("avg 50,000 views, ") and got[4].detail.endswith(", 2 videos, lang en") and got[5].detail.endswith("40 videos, lang unset")
+    for step in ("rules", "keys"):  # no long text goes into either folder
+        assert "description" not in spark.read.parquet(f"{stage}/{step}").columns
+
+
+def test_one_index_of_all_lists(rows):
+    ent = rows("entity_id int, title string, handle string, email string", (1, "Kim  Lee", "kim", "a@a.io"), (2, "Zed", "zed", " B@b.io "), (3, "Ann", "", ""), (4, None, None, None), (5, "Q", "q", ""))
+    sup = rows(LIST, ("Kim  Lee", "https://x.example/@kim", ""), ("", "", "b@B.io"))
+    ext = rows("kind string, key string, source string, source_rank int", ("name", "kim lee", "B", 1), ("name", "ann", "B", 1), ("name", "ann", "A", 0), ("handle", "zed", "C", 2))
+    index = matching.tagged_index(sup, ext, rows("id int", (3,), (3,)), rows("entity_id int", (5,)))
+    got = {r.entity_id: tuple(r)[1:] for r in matching.index_hits(ent, index).collect()}
+    assert got == {1: ("handle @kim", None, "B", False, False), 2: (None, "email b@b.io", "C", False, False), 3: (None, None, "A", True, False), 5: (None, None, None, False, True)}
+    with pytest.raises(Exception, match="suppression list has no rows"):
+        matching.index_hits(ent, matching.tagged_index(sup.limit(0), ext)).collect()
