@@ -39,16 +39,16 @@ def id_remainder(doc_id: str, n: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % n
 
 
-def sampled(df: DataFrame, key: str, n: int) -> DataFrame:
-    """About ``n`` rows: those whose key hashes into the lowest ``n`` parts of as many as there are rows; all rows of a smaller table.
+def sampled(df: DataFrame, n: int) -> DataFrame:
+    """About ``n`` distinct rows: those that hash, all columns together, into the lowest ``n`` parts of as many as there are rows.
 
-    Nothing is sorted or gathered. A key decides for all its rows; null keys are left out of a larger table.
+    The same rule holds at every size; nulls are values like others. Nothing is sorted. Equal rows share a place and count
+    once, so a group of copies is one row of the sample.
     """
     total, parts = df.count(), 1 << 62
-    if total <= n:
-        return df
-    place = F.pmod(F.xxhash64(key), F.lit(parts))
-    return df.filter(F.col(key).isNotNull() & (place < F.lit(parts // total * n)))
+    if total > n:
+        df = df.filter(F.pmod(F.xxhash64(*df.columns), F.lit(parts)) < F.lit(parts // total * n))
+    return df.dropDuplicates()
 
 
 def with_columns(df: DataFrame, **columns: Column) -> DataFrame:
