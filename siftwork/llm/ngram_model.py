@@ -1,27 +1,28 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark, kept as sorted hash arrays that workers map into memory.
-
-Tasks count the bigrams of their training texts and send each shard of the hash space one compressed block of (first word, second
-word, count). The task of a shard merges its blocks, writes its bigrams as sorted arrays into the shared folder and passes on what
-words need: how often a word comes, after how many different words, and before how many different words seen once, twice or
-more often. These meet by word, again by shards, and are written as sorted arrays too. Only the counts of counts reach the driver: they
-fix the discounts. Scoring maps the arrays (no copies: the workers of a machine share the pages), looks up the
-distinct bigrams of a batch in sorted order, and adds up each text.
-
-``p(w|v) = (c(vw) - D(c(vw))) / c(v) + g(v) q(w)`` where q is the same over the numbers of different first words, down to
-an even share for every word and one unknown word. A word first seen while scoring has q's unknown share; behind an unseen
-word q(w) alone counts.
-
-Texts are lower-cased in A-Z; words are runs without space or the controls from tab to carriage return; every text ends in one end token,
-and begins after a start mark that is no token. Null and empty texts have the end token only. Training leaves out ids whose
-checksum is 0 modulo FOLDS, and null ids, which are not held out. Repeated rows count each time. Other columns are left out. With an empty training set every token
-has the chance of the one unknown word. Words are told apart by 64-bit hashes. The shared folder must be mounted on the workers.
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark, kept as sorted hash arrays that workers map into memory.
+
+Tasks count the n-grams of their training texts and send each shard of the hash space one compressed block of (words, count). The
+task of a shard merges its blocks, writes its n-grams as sorted arrays into the shared folder and passes on what the next
+shorter grams need: how often one occurs, behind how many different words, and, as a context, the sum of what follows it and how much of
+that has the value one, two or more. These meet by gram, again by shards, and are written as sorted arrays too, down to single words. Only
+the counts of counts reach the driver: they fix the discounts. Scoring maps the arrays (no copies: the workers of a machine share
+the pages, and a map holds no open file), looks up the distinct n-grams of a batch in sorted order, and adds up each text.
+
+``p(w|vu) = (a(vuw) - D(a(vuw))) / a(vu.) + g(vu) p(w|u)`` where the value a is the count for the longest grams and for those that open
+with a start mark, and else the number of different words before the gram; below single words lies an even share for every word and
+one unknown word. A word first seen while scoring has the unknown share; behind an unseen context the shorter one alone counts.
+
+ORDER is the length of the longest grams, 2 or more. Texts are lower-cased in A-Z; words are runs without space or the controls
+from tab to carriage return; every text ends in one end token, and begins after ORDER - 1 start marks that are no tokens. Null and empty
+texts have the end token only. Training leaves out ids whose checksum is 0 modulo FOLDS, and null ids, which are not held out. Repeated
+rows count each time. Other columns are left out. With an empty training set every token has the chance of the one unknown
+word. Words are told apart by 64-bit hashes. The shared folder must be mounted on the workers.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ from .common import id_remainder, staged, whole
 from .words import hash_words, mix, portions, split_words, word_codes
 
 FOLDS = 10
+#: Length of the longest grams the queries learn.
+ORDER = 2
 #: Bytes of text that a shard of the model stands for, and bytes of text in one block of counts.
 SHARD_BYTES, BLOCK_BYTES = 24 << 20, 13 << 20
 #: Parts of a shard's hash space that are merged one after the other.
@@ -43,12 +46,19 @@ PARTS = 4
 #: Bytes of text scored at once.
 SCORED_BYTES = 6 << 20
 START, END = np.uint64(1), np.uint64(2)
-_WORD = np.dtype([("c", "<i8"), ("before", "<i8"), ("n1", "<f4"), ("n2", "<f4"), ("n3", "<f4")])
+#: What is kept of a gram shorter than the longest: count, different words before, and as a context the sum of values and how many are 1, 2 and more.
+FIELDS = ("c", "before", "total", "n1", "n2", "n3")
+_FACTS = np.dtype([("c", "<i8"), ("before", "<i8"), ("total", "<i8"), ("n1", "<f4"), ("n2", "<f4"), ("n3", "<f4")])
+_TOP = np.dtype([("c", "<u8")])
 
 
-def bigram(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+def gram(words: Sequence[np.ndarray]) -> np.ndarray:
+    """One hash for each row of word hashes."""
+    out = mix(words[0])
     with np.errstate(over="ignore"):
-        return mix(first * np.uint64(0x9E3779B97F4A7C15) + second)
+        for w in words[1:]:
+            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + w)
+    return out
 
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,25 +79,40 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, places, counts
 
 
-def _steps(hashes: np.ndarray, places: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes with the start mark added, and for every token the place of what comes before it."""
+def _steps(hashes: np.ndarray, places: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Hashes with the start mark added, and for every token the places of the words of the gram that ends in it."""
     hashes = np.append(hashes, START)
-    before = np.empty_like(places)
-    before[1:] = places[:-1]
-    before[np.cumsum(counts) - counts] = len(hashes) - 1
-    return hashes, before
-
-
-def _pack(*columns: np.ndarray) -> bytes:
-    return zstandard.compress(b"".join(c.tobytes() for c in columns), 1)
-
-
-def _merged(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
-    """Rows with equal keys added up, by key."""
+    columns, starts = [places], np.cumsum(counts) - counts
+    for _ in range(order - 1):
+        before = np.empty_like(places)
+        before[1:] = columns[0][:-1]
+        before[starts] = len(hashes) - 1
+        columns.insert(0, before)
+    return hashes, columns
+
+
+def _distinct(columns: list[np.ndarray], base: int, inverse: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of places below ``base``, by their first word, with their numbers or with each row's place among them."""
+    code, levels = columns[0], []
+    for c in columns[1:-1]:
+        seen, code = np.unique(code * base + c, return_inverse=True)
+        levels.append(seen)
+    code, extra = np.unique(code * base + columns[-1], **({"return_inverse": True} if inverse else {"return_counts": True}))
+    out = [code % base]
+    code = code // base
+    for seen in reversed(levels):
+        out.insert(0, seen[code] % base)
+        code = seen[code] // base
+    return [code, *out], extra
+
+
+def _merged(columns: Sequence[np.ndarray], values: Sequence[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Equal rows of word hashes with their values added up: keys in order, words, values."""
+    key = gram(columns)
     order = np.argsort(key, kind="stable")
     key = key[order]
     starts = np.flatnonzero(np.diff(key, prepend=key[:1] ^ np.uint64(1))) if len(key) else np.zeros(0, int)
-    return [key[starts], *[np.add.reduceat(v[order], starts) if len(starts) else v[order] for v in values]]
+    return key[starts], [c[order[starts]] for c in columns], [np.add.reduceat(v[order], starts) if len(starts) else v[order] for v in values]
 
 
 def _lowered(texts: pa.Array) -> pa.Array:
@@ -104,59 +129,70 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Array]:
         pa.default_memory_pool().release_unused()
 
 
-def _count(shards: int):
+def _pieces(table: np.ndarray, places: Sequence[np.ndarray], values: Sequence[np.ndarray], shards: int) -> Iterator[tuple[int, bytes]]:
+    """The rows of each shard as a compressed block of its words, the places of the rows' words in them and the values. Rows come by their first place."""
+    # By hash of all words: the followers of a frequent word spread over all shards.
+    shard = (gram([table[p] for p in places]) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    bounds = np.searchsorted(shard[order], np.arange(shards + 1))
+    for k in np.flatnonzero(np.diff(bounds)):
+        own = order[bounds[k]:bounds[k + 1]]
+        used, at = np.unique(np.concatenate([p[own] for p in places]), return_inverse=True)
+        at = at.reshape(len(places), len(own)).astype(np.uint32)
+        at[0, 1:] -= at[0, :-1].copy()
+        kept = [v[own] for v in values]
+        wide = np.dtype(np.uint32 if max(int(v.max()) for v in kept) < 2**32 else np.uint64)
+        head = np.array([len(used), len(own), wide.itemsize], np.int64)
+        yield int(k), b"G" + zstandard.compress(b"".join([head.tobytes(), table[used].tobytes(), at.tobytes(), *(v.astype(wide).tobytes() for v in kept)]), 1)
+
+
+def _unpack(block: bytes, length: int, fields: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    raw = zstandard.decompress(memoryview(block)[1:])
+    words, n, wide = (int(x) for x in np.frombuffer(raw, np.int64, 3))
+    hashes = np.frombuffer(raw, np.uint64, words, 24)
+    at = np.frombuffer(raw, np.uint32, length * n, 24 + 8 * words).reshape(length, n)
+    values = np.frombuffer(raw, np.dtype(f"<u{wide}"), fields * n, 24 + 8 * words + 4 * length * n).reshape(fields, n)
+    return [hashes[np.cumsum(at[0], dtype=np.uint32)], *(hashes[a] for a in at[1:])], [v.astype(np.int64) for v in values]
+
+
+_BLOCK = "shard int, block binary"
+
+
+def _rows(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "block"])
+
+
+def _count(order: int, shards: int):
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _blocks(batches):
             hashes, places, counts = tokens(_lowered(texts))
-            hashes, before = _steps(hashes, places, counts)
-            pair, n = np.unique(before * len(hashes) + places, return_counts=True)
-            first, second = pair // len(hashes), pair % len(hashes)
-            # By hash of both words: the followers of a frequent word spread over all shards.
-            shard = (bigram(hashes[first], hashes[second]) % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            bounds = np.searchsorted(shard[order], np.arange(shards + 1))
-            rows = []
-            for k in range(shards):
-                own = order[bounds[k]:bounds[k + 1]]
-                if len(own):
-                    used, at = np.unique(np.concatenate([first[own], second[own]]), return_inverse=True)
-                    a, b = at[:len(own)].astype(np.uint32), at[len(own):].astype(np.uint32)
-                    a[1:] -= a[:-1].copy()  # sorted by first word
-                    head = np.array([len(used), len(own)], np.int64)
-                    rows.append((k, _pack(head, hashes[used], a, b, n[own].astype(np.uint32))))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "block"])
+            hashes, columns = _steps(hashes, places, counts, order)
+            columns, n = _distinct(columns, len(hashes))
+            yield _rows(list(_pieces(hashes, columns, [n], shards)))
 
     return use
 
 
-def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = zstandard.decompress(block)
-    words, n = np.frombuffer(raw, np.int64, 2)
-    hashes = np.frombuffer(raw, np.uint64, words, 16)
-    a, b, c = np.frombuffer(raw, np.uint32, 3 * n, 16 + 8 * int(words)).reshape(3, n)
-    return hashes[np.cumsum(a, dtype=np.uint32)], hashes[b], c.astype(np.int64)
+def _merge_part(blocks: list[bytes], part: int, length: int, fields: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """The grams of one part of the key space, in order."""
+    low, high = part * (2**64 // PARTS), (part + 1) * (2**64 // PARTS) - 1 if part + 1 < PARTS else 2**64 - 1
+    found = [([np.zeros(0, np.uint64)] * length, [np.zeros(0, np.int64)] * fields)]
+    for block in blocks:
+        columns, values = _unpack(block, length, fields)
+        key = gram(columns)
+        own = (key >= np.uint64(low)) & (key <= np.uint64(high))
+        found.append(([c[own] for c in columns], [v[own] for v in values]))
+    return _merged([np.concatenate(c) for c in zip(*(f[0] for f in found), strict=True)], [np.concatenate(v) for v in zip(*(f[1] for f in found), strict=True)])
 
 
-def _merge_part(blocks: list[bytes], part: np.uint64) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of one part of the key space, in order: the bigrams and their counts, and what they say of words."""
-    bounds = [np.uint64(k * (2**64 // PARTS)) for k in range(PARTS)]
-    columns = []
-    for block in blocks:
-        first, second, n = _unpack(block)
-        key = bigram(first, second)
-        own = key >= bounds[int(part)]
-        if int(part) + 1 < PARTS:
-            own &= key < bounds[int(part) + 1]
-        columns.append((key[own], first[own], second[own], n[own]))
-    key, first, second, n = (np.concatenate(c) for c in zip(*columns, strict=True))
-    order = np.argsort(key, kind="stable")
-    key, first, second, n = key[order], first[order], second[order], n[order]
-    starts = np.flatnonzero(np.diff(key, prepend=key[:1] ^ np.uint64(1))) if len(key) else np.zeros(0, int)
-    n = np.add.reduceat(n, starts) if len(starts) else n
-    zero = np.zeros(len(starts), np.int64)
-    one = lambda seen: np.concatenate([zero, seen.astype(np.int64)])
-    both = np.concatenate([second[starts], first[starts]])
-    return key[starts], n, _merged(both, np.concatenate([n, zero]), np.concatenate([zero + 1, zero]), one(n == 1), one(n == 2), one(n >= 3))
+def _shorter(columns: list[np.ndarray], c: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """What grams say of those one word shorter: of their ends, and of their beginnings as contexts."""
+    real = value > 0  # rows of start marks alone are contexts only
+    columns, c, value = [w[real] for w in columns], c[real], value[real]
+    zero = np.zeros(len(c), np.int64)
+    context = lambda seen: np.concatenate([zero, seen.astype(np.int64)])
+    both = [np.concatenate([end, opening]) for end, opening in zip(columns[1:], columns[:-1], strict=True)]
+    return _merged(both, [np.concatenate([c, zero]), np.concatenate([zero + 1, zero]), context(value), context(value == 1), context(value == 2), context(value >= 3)])
 
 
 def _save(folder: str, name: str, rows: np.ndarray) -> None:
@@ -181,55 +217,49 @@ def _shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[by
         yield shard, held
 
 
-def _write_bigrams(folder: str, word_shards: int):
+def _write_grams(folder: str, length: int, order: int, below: int):
+    """Writes the arrays of a shard's grams of this length; passes on what the next shorter ones need, or from single words the totals."""
+    dtype = _TOP if length == order else _FACTS
+
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, blocks in _shards_of(batches):
-            keys, counts, words, small = [], [], [], np.zeros(4, np.int64)
+        for shard, held in _shards_of(batches):
+            blocks, rows = [b for b in held if b[:1] == b"G"], [(0, b) for b in held if b[:1] == b"T"]
+            keys, facts, shorter, totals = [], [], [], {}
             for part in range(PARTS):
-                key, n, own = _merge_part(blocks, np.uint64(part))
+                key, columns, values = _merge_part(blocks, part, length, len(dtype.names))
+                out = np.empty(len(key), dtype)
+                for name, v in zip(dtype.names, values, strict=True):
+                    out[name] = v
+                value = values[0] if length == order else np.where(columns[0] == START, values[0], values[1])
+                for k in (1, 2, 3, 4):
+                    totals[f"{length}:{k}"] = totals.get(f"{length}:{k}", 0) + int((value == k).sum())
+                if length == 1:
+                    for name, v in (("tokens", values[0].sum()), ("words", (values[0] > 0).sum()), ("before", value.sum()), ("more", (value >= 3).sum())):
+                        totals[name] = totals.get(name, 0) + int(v)
+                else:
+                    shorter.append(_shorter(columns, values[0], value)[1:])
                 keys.append(key)
-                counts.append(np.minimum(n, 2**32 - 1).astype(np.uint32))
-                words.append(own)
-                small += [int((n == k).sum()) for k in (1, 2, 3, 4)]
-            _save(folder, f"counts-{shard:06d}.npy", np.concatenate(counts))
-            _save(folder, f"bigrams-{shard:06d}.npy", np.concatenate(keys))
-            word, c, before, n1, n2, n3 = _merged(*(np.concatenate(x) for x in zip(*words, strict=True)))
-            of = (mix(word) % np.uint64(word_shards)).astype(np.int64)
-            places = [np.flatnonzero(of == k) for k in range(word_shards)]
-            rows = [(k, b"W" + _pack(np.array([len(p)], np.int64), word[p], *(v[p].astype(np.uint32) for v in (c, before, n1, n2, n3)))) for k, p in enumerate(places) if len(p)]
-            rows.append((0, b"C" + small.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "block"])
+                facts.append(out)
+            if blocks:
+                _save(folder, f"facts{length}-{shard:06d}.npy", np.concatenate(facts))
+                _save(folder, f"keys{length}-{shard:06d}.npy", np.concatenate(keys))
+            rows += [(0, f"T{name}={n}".encode()) for name, n in totals.items()]
+            if length > 1 and blocks:
+                words, values = ([np.concatenate(c) for c in zip(*(s[i] for s in shorter), strict=True)] for i in (0, 1))
+                _, words, values = _merged(words, values)
+                table, at = np.unique(np.concatenate(words), return_inverse=True)
+                at = at.reshape(len(words), len(words[0]))
+                by_first = np.argsort(at[0], kind="stable")
+                rows += _pieces(table, [a[by_first] for a in at], [v[by_first] for v in values], below)
+            yield _rows(rows)
 
     return use
 
 
-TOTALS = ["tokens", "words", "before", "b1", "b2", "b3", "b4", "b3more", "ends", "p1", "p2", "p3", "p4"]
-
-
-def _write_words(folder: str):
-    def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, blocks in _shards_of(batches):
-            columns, pairs = [(np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 5)], np.zeros(4, np.int64)
-            for block in blocks:
-                if block[:1] == b"C":
-                    pairs = pairs + np.frombuffer(block, np.int64, 4, 1)
-                    continue
-                raw = zstandard.decompress(memoryview(block)[1:])
-                n = int(np.frombuffer(raw, np.int64, 1)[0])
-                columns.append((np.frombuffer(raw, np.uint64, n, 8), *(x.astype(np.int64) for x in np.frombuffer(raw, np.uint32, 5 * n, 8 + 8 * n).reshape(5, n))))
-            merged = _merged(*(np.concatenate(c) for c in zip(*columns, strict=True)))
-            key, out = merged[0], np.empty(len(merged[0]), _WORD)
-            for name, v in zip(_WORD.names, merged[1:], strict=True):
-                out[name] = v
-            if len(out):
-                _save(folder, f"facts-{shard:06d}.npy", out)
-                _save(folder, f"words-{shard:06d}.npy", key)
-            token = (key != START) & (out["c"] > 0)
-            b = out["before"][token]
-            totals = [out["c"][token].sum(), token.sum(), b.sum(), *((b == k).sum() for k in (1, 2, 3, 4)), (b >= 3).sum(), (out["c"] * (key == END)).sum(), *pairs]
-            yield pa.RecordBatch.from_arrays([pa.array([int(v)], pa.int64()) for v in totals], TOTALS)
-
-    return use
+def _read_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = [b.as_py()[1:].decode().split("=") for b in batch.column("block")]
+        yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.string()), pa.array([int(p[1]) for p in pairs], pa.int64())], ["name", "n"])
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -241,65 +271,71 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k + 0.95) for k, d in enumerate(raw))
 
 
+def mapped(path: str) -> np.ndarray:
+    """The array in a file, mapped: the map stays while the array lives, the file is closed at once."""
+    with pa.memory_map(path) as f:
+        raw = f.read_buffer()
+    head = pa.BufferReader(raw)
+    version = np.lib.format.read_magic(head)
+    shape, _, dtype = (np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0)(head)
+    return np.frombuffer(raw, dtype, shape[0], head.tell())
+
+
 class Model:
     """The arrays in a folder, mapped into memory."""
 
     def __init__(self, folder: str, facts: dict):
-        self.facts = facts
+        self.facts, self.order = facts, facts["order"]
         names = sorted(os.listdir(folder))
-        self.open = lambda kind: {int(m[1]): np.load(os.path.join(folder, n), mmap_mode="r") for n in names if (m := re.fullmatch(kind + r"-(\d+)\.npy", n))}
-        self.bigrams, self.counts, self.words, self.rows = self.open("bigrams"), self.open("counts"), self.open("words"), self.open("facts")
-
-    def bigram_counts(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        key, out = bigram(first, second), np.zeros(len(first), np.float64)
-        shard = key % np.uint64(self.facts["shards"])
+        files = lambda kind: {int(m[1]): mapped(os.path.join(folder, n)) for n in names if (m := re.fullmatch(kind + r"-(\d+)\.npy", n))}
+        self.keys = {k: files(f"keys{k}") for k in range(1, self.order + 1)}
+        self.rows = {k: files(f"facts{k}") for k in range(1, self.order + 1)}
+
+    def look_up(self, words: Sequence[np.ndarray]) -> np.ndarray:
+        """What is kept of these grams, zeros where one is unknown."""
+        length = len(words)
+        key, out = gram(words), np.zeros(len(words[0]), _TOP if length == self.order else _FACTS)
+        shard = key % np.uint64(self.facts["shards"][length])
         order = np.lexsort((key, shard))
-        bounds = np.searchsorted(shard[order], np.arange(self.facts["shards"] + 1, dtype=np.uint64))
-        for k, keys in self.bigrams.items():
+        bounds = np.searchsorted(shard[order], np.arange(self.facts["shards"][length] + 1, dtype=np.uint64))
+        for k, keys in self.keys[length].items():
             own = order[bounds[k]:bounds[k + 1]]
-            at = np.minimum(np.searchsorted(keys, key[own]), len(keys) - 1)
-            out[own] = np.where(keys[at] == key[own], self.counts[k][at], 0)
-        return out
-
-    def word_rows(self, word: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(word), _WORD)
-        shard = (mix(word) % np.uint64(self.facts["word_shards"])).astype(np.int64)
-        for k, keys in self.words.items():
-            own = np.flatnonzero(shard == k)
-            at = np.minimum(np.searchsorted(keys, word[own]), len(keys) - 1)
-            found = keys[at] == word[own]
-            out[own[found]] = self.rows[k][at[found]]
+            if len(own) and len(keys):
+                at = np.minimum(np.searchsorted(keys, key[own]), len(keys) - 1)
+                found = keys[at] == key[own]
+                out[own[found]] = self.rows[length][k][at[found]]
         return out
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tokens, known tokens, base score and the model's log10 probability of each text."""
         f = self.facts
         hashes, places, counts = tokens(_lowered(texts))
-        hashes, before = _steps(hashes, places, counts)
-        rows = self.word_rows(hashes)
-        c = rows["c"].astype(np.float64)
-        c[-1] = 0.0  # the start mark is no token
+        hashes, columns = _steps(hashes, places, counts, self.order)
+        single = self.look_up([hashes])
+        c = single["c"].astype(np.float64)
         base = np.log10((c + 0.1) / (f["tokens"] + 0.1 * (f["words"] + 1)))
-        # q: chances from the number of different words before.
-        b = rows["before"].astype(np.float64)
-        d = np.array([0.0, *f["d_before"]])
-        even = 1.0 / (f["words"] + 1)
+        # Single words: chances from the number of different words before.
+        b, even = single["before"].astype(np.float64), 1.0 / (f["words"] + 1)
+        d = np.array([0.0, *f["d"][1]])
         if f["before"]:
-            spare = f["d_before"][0] * f["b1"] + f["d_before"][1] * f["b2"] + f["d_before"][2] * f["b3more"]
-            q = np.maximum(b - d[np.minimum(b, 3).astype(np.int64)], 0) / f["before"] + spare / f["before"] * even
+            spare = d[1] * f["1:1"] + d[2] * f["1:2"] + d[3] * f["more"]
+            word = np.maximum(b - d[np.minimum(b, 3).astype(np.int64)], 0) / f["before"] + spare / f["before"] * even
         else:
-            q = np.full(len(b), even)
-        total = rows["c"].astype(np.float64)
-        total[-1] = f["ends"]  # as many starts as ends
-        total[len(hashes) - 2] = 0.0  # nothing comes after an end
-        pair, back = np.unique(before * len(hashes) + places, return_inverse=True)
-        first, second = pair // len(hashes), pair % len(hashes)
-        n = self.bigram_counts(hashes[first], hashes[second])
-        d = np.array([0.0, *f["d_pairs"]])
-        spare = f["d_pairs"][0] * rows["n1"] + f["d_pairs"][1] * rows["n2"] + f["d_pairs"][2] * rows["n3"]
-        v = np.maximum(total[first], 1)
-        weight = np.where(total[first] > 0, spare[first] / v, 1.0)
-        p = np.log10(np.maximum(n - d[np.minimum(n, 3).astype(np.int64)], 0) / v * (total[first] > 0) + weight * q[second])
+            word = np.full(len(b), even)
+        grams, back = _distinct(columns, len(hashes), inverse=True)
+        p = word[grams[-1]]
+        context = single[grams[-2]]
+        for length in range(2, self.order + 1):
+            own = [hashes[g] for g in grams[-length:]]
+            row = self.look_up(own)
+            value = (row["c"] if length == self.order else np.where(own[0] == START, row["c"], row["before"])).astype(np.float64)
+            d = np.array([0.0, *f["d"][length]])
+            total = np.maximum(context["total"], 1)
+            weight = np.where(context["total"] > 0, (d[1] * context["n1"] + d[2] * context["n2"] + d[3] * context["n3"]) / total, 1.0)
+            p = np.maximum(value - d[np.minimum(value, 3).astype(np.int64)], 0) / total * (context["total"] > 0) + weight * p
+            if length < self.order:
+                context = self.look_up([hashes[g] for g in grams[-length - 1:-1]])
+        p = np.log10(p)
         starts = np.cumsum(counts) - counts
         add = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
         return counts, add((c > 0)[places].astype(np.int64)), add(base[places]), add(p[back])
@@ -321,28 +357,31 @@ def local_path(path: str) -> str:
     return path
 
 
-def train(docs: DataFrame) -> tuple[str, dict]:
+def train(docs: DataFrame, order: int = ORDER) -> tuple[str, dict]:
     """Counts the training documents; returns the folder of the arrays and the model's few totals."""
+    if order < 2:
+        raise ValueError("the longest grams have two words or more")
     spark = docs.sparkSession
     folder = local_path(scratch_dir(spark, "ngrams"))
     os.makedirs(folder, exist_ok=True)
     taught = docs.filter(id_remainder("doc_id", FOLDS) != 0).select(whole("text").alias("text"))
     size = taught.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(4, -(-int(size) // SHARD_BYTES))
-    word_shards = max(2, shards // 4)
-    schema = "shard int, block binary"
-    blocks = taught.mapInArrow(_count(shards), schema).repartition(shards, "shard").sortWithinPartitions("shard")
-    # A task that runs again writes the same files again, so nothing between is kept.
-    words = blocks.mapInArrow(_write_bigrams(folder, word_shards), schema).repartition(word_shards, "shard").sortWithinPartitions("shard")
-    made = staged(words.mapInArrow(_write_words(folder), ", ".join(f"{n} long" for n in TOTALS)), "ngram-totals")
-    facts = {n: int(v or 0) for n, v in made.agg(*[F.sum(n).alias(n) for n in TOTALS]).first().asDict().items()}
-    facts |= {"shards": shards, "word_shards": word_shards, "d_pairs": discounts(*(facts[f"p{k}"] for k in (1, 2, 3, 4))), "d_before": discounts(*(facts[f"b{k}"] for k in (1, 2, 3, 4)))}
-    return folder, facts
-
-
-def score(docs: DataFrame) -> DataFrame:
+    wide = max(4, -(-int(size) // SHARD_BYTES))
+    shards = {k: wide for k in range(2, order + 1)} | {1: max(2, wide // 4)}
+    rows = taught.mapInArrow(_count(order, wide), _BLOCK)
+    # A task that runs again writes the same files again, so nothing between is kept. Each shard is a partition of its own.
+    for length in range(order, 0, -1):
+        rows = rows.repartitionById(shards[length], "shard").sortWithinPartitions("shard")
+        rows = rows.mapInArrow(_write_grams(folder, length, order, shards.get(length - 1, 0)), _BLOCK)
+    made = staged(rows.mapInArrow(_read_totals, "name string, n long"), "ngram-totals")
+    names = ["tokens", "words", "before", "more", *(f"{length}:{k}" for length in range(1, order + 1) for k in (1, 2, 3, 4))]
+    facts = dict.fromkeys(names, 0) | {r["name"]: int(r["n"]) for r in made.groupBy("name").agg(F.sum("n").alias("n")).collect()}
+    return folder, facts | {"order": order, "shards": shards, "d": {k: discounts(*(facts[f"{k}:{j}"] for j in (1, 2, 3, 4))) for k in range(1, order + 1)}}
+
+
+def score(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """Query form: base score and model score of every document."""
-    folder, facts = train(docs)
+    folder, facts = train(docs, order)
 
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(folder, facts)

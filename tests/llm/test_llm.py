@@ -1,12 +1,15 @@
 """The operators of the llm subpackage against brute force, and on awkward rows."""
 
 import collections
+import functools
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
@@ -253,39 +256,59 @@ def test_main_text(spark, rows):
     assert main_text.main_text(odd.limit(0)).collect() == []
 
 
-def test_ngram_model(spark):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_ngram_model(spark, order):
     docs = spark.read.parquet(f"{ROOT}/documents.parquet")
     low = str.maketrans({chr(65 + k): chr(97 + k) for k in range(26)})
     tokens = {r.doc_id: [*WORD.findall((r.text or "").translate(low)), "</s>"] for r in docs.collect()}
-    c, pairs = collections.Counter(), collections.Counter()
-    for k, t in tokens.items():
-        if zlib.crc32(str(k).encode()) % 10:
+
+    def grams(t):
+        marked = ["<s>"] * (order - 1) + t
+        return [tuple(marked[k:k + order]) for k in range(len(t))]
+
+    c, value = collections.Counter(), {k: collections.Counter() for k in range(1, order + 1)}
+    raw = {k: collections.Counter() for k in range(1, order + 1)}
+    for key, t in tokens.items():
+        if zlib.crc32(str(key).encode()) % 10:
             c.update(t)
-            pairs.update(zip(["<s>", *t], t))
+            for k in raw:
+                raw[k].update(g[-k:] for g in grams(t))
     n, v = sum(c.values()), len(c)
-    total, kinds, before = collections.Counter(), collections.defaultdict(lambda: [0, 0, 0]), collections.Counter()
-    for (a, b), m in pairs.items():
-        total[a] += m
-        kinds[a][min(m, 3) - 1] += 1
-        before[b] += 1
-    cc, cb = collections.Counter(pairs.values()), collections.Counter(before.values())
-    dp, db = ((0, *ngram_model.discounts(*(x[k] for k in (1, 2, 3, 4)))) for x in (cc, cb))
-    spare = (db[1] * cb[1] + db[2] * cb[2] + db[3] * sum(m for k, m in cb.items() if k >= 3)) / len(pairs)
-
-    def q(w):
-        return max(before[w] - db[min(before[w], 3)], 0) / len(pairs) + spare / (v + 1)
-
-    def p(a, b):
-        if not total[a]:
-            return q(b)
-        m = pairs[a, b]
-        return max(m - dp[min(m, 3)], 0) / total[a] + sum(x * y for x, y in zip(dp[1:], kinds[a])) / total[a] * q(b)
-
-    for r in ngram_model.score(docs).collect():
+    value[order] = raw[order]
+    for k in range(order - 1, 0, -1):
+        behind = collections.Counter(g[1:] for g in value[k + 1])
+        value[k] = collections.Counter({g: raw[k][g] if g[0] == "<s>" else m for g, m in behind.items()})
+    total, kinds, d = collections.Counter(), collections.defaultdict(lambda: [0, 0, 0]), {}
+    for k in value:
+        seen = collections.Counter(value[k].values())
+        d[k] = (0, *ngram_model.discounts(*(seen[j] for j in (1, 2, 3, 4))))
+        for g, m in value[k].items():
+            total[g[:-1]] += m
+            kinds[g[:-1]][min(m, 3) - 1] += 1
+
+    @functools.cache
+    def p(g):
+        if not g:
+            return 1 / (v + 1)
+        if not total[g[:-1]]:
+            return p(g[1:])
+        m, own = value[len(g)][g], d[len(g)]
+        return max(m - own[min(m, 3)], 0) / total[g[:-1]] + sum(x * y for x, y in zip(own[1:], kinds[g[:-1]])) / total[g[:-1]] * p(g[1:])
+
+    for r in ngram_model.score(docs, order).collect():
         t = tokens[r.doc_id]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(c[w] > 0 for w in t), n)
         assert r.base_score == pytest.approx(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), rel=1e-9)
-        assert r.score == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip(["<s>", *t], t)), rel=1e-5)
+        assert r.score == pytest.approx(sum(math.log10(p(g)) for g in grams(t)), rel=1e-5)
+
+
+def test_mapped_arrays_hold_no_open_files(tmp_path):
+    made = []
+    for k in range(50):
+        np.save(tmp_path / f"{k}.npy", np.arange(k, dtype=np.uint64))
+        made.append(ngram_model.mapped(str(tmp_path / f"{k}.npy")))
+    assert all(list(a) == list(range(k)) for k, a in enumerate(made))
+    assert not [f for f in os.listdir("/proc/self/fd") if os.path.realpath(f"/proc/self/fd/{f}").startswith(str(tmp_path))]
 
 
 def test_site_quality_finds_bad_documents(spark):
