@@ -83,6 +83,32 @@ def test_sharding(documents, awkward):
     assert all(sorted(x.slot for x in small if x.shard == k) == list(range(sum(x.shard == k for x in small))) for k in (0, 1))
 
 
+def test_sharding_writes_whole_shards_in_slots(spark, documents, tmp_path):
+    sharding.write_shards(documents, str(tmp_path / "s"), shards=3, bucket_bytes=100_000)
+    written = spark.read.parquet(str(tmp_path / "s"))
+    rows = written.collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == sorted((r.doc_id, r.text) for r in documents.collect())
+    assert all(sorted(r.slot for r in rows if r.shard == k) == list(range(sum(r.shard == k for r in rows))) for k in range(3))
+    # A shuffle, not a sort: neighbours in a shard are not in the order of their ids.
+    first = [r.doc_id for r in sorted(rows, key=lambda r: r.slot) if r.shard == 0]
+    assert 0.3 < sum(a < b for a, b in zip(first, first[1:])) / len(first) < 0.7
+
+
+def test_sharding_deals_out_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 7)
+    docs = spark.createDataFrame([(1, "same")] * 50 + [(None, None)] * 15 + [(None, "")] * 7 + [(2, "same"), (3, "other")], "doc_id long, text string").repartition(5)
+    rows = sharding.digest(docs).collect()
+    assert collections.Counter((r.doc_id, r.size) for r in rows) == {(1, 12): 50, (None, 8): 22, (2, 12): 1, (3, 13): 1}
+    for k in {r.shard for r in rows}:
+        own = [r.slot for r in rows if r.shard == k]
+        assert sorted(own) == list(range(len(own)))
+    assert sorted(map(tuple, sharding.digest(docs.repartition(3)).collect()), key=str) == sorted(map(tuple, rows), key=str)
+    # Copies that a column tells apart are spread over buckets of 100, so those of a run of slots are not a run of numbers.
+    copies = spark.range(2000).selectExpr("1L AS doc_id", "'same' AS text", "id AS n")
+    spread = sharding.shard(copies, shards=1, bucket_bytes=1200, copy="n")
+    assert sorted(r.slot for r in spread.collect()) == list(range(2000))
+
+
 def test_quality_counts(documents, awkward):
     texts = [*documents.collect(), *awkward.filter("doc_id not in (4, 8)").collect()]
     got = {r.doc_id: r for d in (documents, awkward.filter("doc_id not in (4, 8)").withColumn("doc_id", awkward.doc_id + 10**6)) for r in quality_rules.quality_rules(d).collect()}
