@@ -49,7 +49,7 @@ START, END = np.uint64(1), np.uint64(2)
 #: What is kept of a gram shorter than the longest: count, different words before, and as a context the sum of values and how many are 1, 2 and more.
 FIELDS = ("c", "before", "total", "n1", "n2", "n3")
 _FACTS = np.dtype([("c", "<i8"), ("before", "<i8"), ("total", "<i8"), ("n1", "<f4"), ("n2", "<f4"), ("n3", "<f4")])
-_TOP = np.dtype([("c", "<u8")])
+_TOP, _NARROW = np.dtype([("c", "<u8")]), np.dtype([("c", "<u4")])
 
 
 def gram(words: Sequence[np.ndarray]) -> np.ndarray:
@@ -241,7 +241,10 @@ def _write_grams(folder: str, length: int, order: int, below: int):
                 keys.append(key)
                 facts.append(out)
             if blocks:
-                _save(folder, f"facts{length}-{shard:06d}.npy", np.concatenate(facts))
+                kept = np.concatenate(facts)
+                if length == order and kept["c"].max(initial=0) < 2**32:
+                    kept = kept.astype(_NARROW)
+                _save(folder, f"facts{length}-{shard:06d}.npy", kept)
                 _save(folder, f"keys{length}-{shard:06d}.npy", np.concatenate(keys))
             rows += [(0, f"T{name}={n}".encode()) for name, n in totals.items()]
             if length > 1 and blocks:
