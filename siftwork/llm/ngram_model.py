@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,9 @@ FOLDS = 10
 #: Length of the longest grams the queries learn.
 ORDER = 2
 #: Bytes of text that a shard of the model stands for, and bytes of text in one block of counts.
-SHARD_BYTES, BLOCK_BYTES = 24 << 20, 13 << 20
+SHARD_BYTES, BLOCK_BYTES = 24 << 20, 10 << 20
+#: Bytes of blocks passed on at once.
+SENT_BYTES = 4 << 20
 #: Parts of a shard's hash space that are merged one after the other.
 PARTS = 4
 #: Bytes of text scored at once.
@@ -158,8 +160,18 @@ def _unpack(block: bytes, length: int, fields: int) -> tuple[list[np.ndarray], l
 _BLOCK = "shard int, block binary"
 
 
-def _rows(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["shard", "block"])
+def _rows(rows: Iterable[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    """Batches of about SENT_BYTES, so that neither side holds all pieces of a block at once."""
+    batch = lambda: pa.RecordBatch.from_arrays([pa.array([r[0] for r in held], pa.int32()), pa.array([r[1] for r in held], pa.binary())], ["shard", "block"])
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[1])
+        if size >= SENT_BYTES:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
 
 
 def _count(order: int, shards: int):
@@ -168,7 +180,7 @@ def _count(order: int, shards: int):
             hashes, places, counts = tokens(_lowered(texts))
             hashes, columns = _steps(hashes, places, counts, order)
             columns, n = _distinct(columns, len(hashes))
-            yield _rows(list(_pieces(hashes, columns, [n], shards)))
+            yield from _rows(_pieces(hashes, columns, [n], shards))
 
     return use
 
@@ -254,7 +266,7 @@ def _write_grams(folder: str, length: int, order: int, below: int):
                 at = at.reshape(len(words), len(words[0]))
                 by_first = np.argsort(at[0], kind="stable")
                 rows += _pieces(table, [a[by_first] for a in at], [v[by_first] for v in values], below)
-            yield _rows(rows)
+            yield from _rows(rows)
 
     return use
 
