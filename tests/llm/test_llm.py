@@ -103,7 +103,7 @@ def test_sharding_deals_out_repeated_rows(spark, monkeypatch):
         own = [r.slot for r in rows if r.shard == k]
         assert sorted(own) == list(range(len(own)))
     assert sorted(map(tuple, sharding.digest(docs.repartition(3)).collect()), key=str) == sorted(map(tuple, rows), key=str)
-    # Copies that a column tells apart are spread over buckets of 100, so those of a run of slots are not a run of numbers.
+    # Copies that a column tells apart are placed one by one.
     copies = spark.range(2000).selectExpr("1L AS doc_id", "'same' AS text", "id AS n")
     spread = sharding.shard(copies, shards=1, bucket_bytes=1200, copy="n")
     assert sorted(r.slot for r in spread.collect()) == list(range(2000))
