@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from . import fixed_values as V
-from .text import as_col
+from .text import as_col, rounded
 
 
 def _clamp(x, lo, hi) -> Column:
@@ -19,29 +19,29 @@ def fake_follower_risk(subscribers, views, engagement) -> Column:
     low_views = F.when(ratio < V.RISK_VIEW_RATIO, 45 * _clamp(1 - ratio / V.RISK_VIEW_RATIO, 0, 1)).otherwise(0.0)
     low_eng = F.when(e < V.RISK_ENGAGEMENT, 35 * _clamp(1 - e / V.RISK_ENGAGEMENT, 0, 1)).otherwise(0.0)
     combo = F.when((s >= V.RISK_HIGH_SUBSCRIBERS) & (ratio < V.RISK_COMBO_RATIO), 20.0).otherwise(0.0)
-    return F.when(s <= 0, F.lit(100.0)).otherwise(F.round(F.least(F.lit(100.0), low_views + low_eng + combo), 1))
+    return F.when(s <= 0, F.lit(100.0)).otherwise(rounded(F.least(F.lit(100.0), low_views + low_eng + combo), 1))
 
 
 def norm_log(value, ceiling) -> Column:
     v = as_col(value).cast("double")
     positive = F.greatest(v, F.lit(0.0))
     scaled = F.log10(positive + 1) / F.log10(F.lit(float(ceiling) + 1)) * 100
-    return F.when(v <= 0, F.lit(0.0)).otherwise(F.round(_clamp(scaled, 0, 100), 1))
+    return F.when(v <= 0, F.lit(0.0)).otherwise(rounded(_clamp(scaled, 0, 100), 1))
 
 
 def norm_linear(value, ceiling) -> Column:
     if ceiling <= 0:
         return F.lit(0.0)
-    return F.round(_clamp(as_col(value).cast("double") / F.lit(float(ceiling)) * 100, 0, 100), 1)
+    return rounded(_clamp(as_col(value).cast("double") / F.lit(float(ceiling)) * 100, 0, 100), 1)
 
 
 def norm_freq(per_month) -> Column:
     f = as_col(per_month).cast("double")
     return (
         F.when(f <= 0, F.lit(0.0))
-        .when(f < V.FREQ_IDEAL_MIN, F.round(f / V.FREQ_IDEAL_MIN * 100, 1))
+        .when(f < V.FREQ_IDEAL_MIN, rounded(f / V.FREQ_IDEAL_MIN * 100, 1))
         .when(f <= V.FREQ_IDEAL_MAX, F.lit(100.0))
-        .otherwise(F.round(F.greatest(F.lit(50.0), F.try_divide(F.lit(float(V.FREQ_IDEAL_MAX)), f) * 100), 1))
+        .otherwise(rounded(F.greatest(F.lit(50.0), F.try_divide(F.lit(float(V.FREQ_IDEAL_MAX)), f) * 100), 1))
     )
 
 

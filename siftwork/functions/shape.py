@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from . import fixed_values as V
-from .text import as_col, strip
+from .text import as_col, rounded, strip
 
 _DAY_MICROS = 86_400_000_000
 
@@ -80,11 +80,11 @@ def upload_frequency(n, first, last) -> Column:
     return (
         F.when(as_col(n) < 2, F.lit(0.0))
         .when(span <= 0, as_col(n).cast("double"))
-        .otherwise(F.round(F.try_divide(as_col(n).cast("double"), span) * 30, 2))
+        .otherwise(rounded(F.try_divide(as_col(n).cast("double"), span) * 30, 2))
     )
 
 
 def uploads_per_year(n, first, last) -> Column:
     """Monthly pace times twelve, null (not zero) when the sample cannot show one."""
     span = _span_days(first, last)
-    return F.when((as_col(n) >= 2) & (span > 0), F.round(F.try_divide(as_col(n).cast("double"), span) * 30, 2) * 12)
+    return F.when((as_col(n) >= 2) & (span > 0), rounded(F.try_divide(as_col(n).cast("double"), span) * 30, 2) * 12)

@@ -13,6 +13,15 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def rounded(x, places: int) -> Column:
+    """A double rounded half up as SQL engines do it: times the power of ten, to a whole number, and back.
+
+    ``F.round`` looks at the shortest decimal form instead: 103 / 4000 * 100 is written 2.5749999999999997, but a hundred times that is 257.5.
+    """
+    scale = F.lit(10.0**places)
+    return F.round(as_col(x).cast("double") * scale) / scale
+
+
 # Every Unicode white-space character.
 WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(chr(c) for c in range(0x2000, 0x200B))
 
@@ -138,7 +147,7 @@ def display_count(c, suffix: str = "") -> Column:
         return F.regexp_replace(x.cast("string"), r"\.0$", "")
 
     text = (
-        F.when(n >= 1_000_000, F.concat(short(F.round(n / 1_000_000, 1)), F.lit("M")))
+        F.when(n >= 1_000_000, F.concat(short(rounded(n / 1_000_000, 1)), F.lit("M")))
         .when(n >= 1000, F.concat(F.round(n / 1000, 0).cast("bigint").cast("string"), F.lit("K")))
         .otherwise(as_col(c).cast("bigint").cast("string"))
     )

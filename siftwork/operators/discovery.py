@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.text import rounded
+
 
 def keyword_hits(items: DataFrame, keywords: list[str], text: str = "title") -> DataFrame:
     """One row per (item, keyword it contains) with the keyword's place in the list.
@@ -65,4 +67,4 @@ def query_union(hits: DataFrame, variants: list[str]) -> DataFrame:
     union = F.sum("new").over(w)
     return per.select(
         "idx", "keyword", "fetched", "new", union.alias("union"),
-        F.round((F.try_divide(union.cast("double"), base) - 1) * 100, 2).alias("gain_pct"))
+        rounded((F.try_divide(union.cast("double"), base) - 1) * 100, 2).alias("gain_pct"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import fixed_values as V
 from ..functions.shape import local_day
-from ..functions.text import blank, normalize_handle
+from ..functions.text import blank, normalize_handle, rounded
 from .ledger import UNIT, units
 from .matching import suppression_keys
 
@@ -39,23 +39,24 @@ def run_summary(runs: DataFrame, run: str) -> DataFrame:
     """One row per run: totals over niches, duration and a reason -> count map."""
     totals = runs.groupBy(run).agg(
         F.sum("rows").alias("rows_pushed"), F.sum("discovered").alias("discovered"),
-        F.round((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / 1e6, 1).alias("duration_s"),
-        F.round(F.sum(units("spent")) / UNIT, 4).alias("spent"))
+        rounded((F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / 1e6, 1).alias("duration_s"),
+        rounded(F.sum(units("spent")) / UNIT, 4).alias("spent"))
     reasons = runs.where("reason is not null").groupBy(run, "reason").agg(F.count(F.lit(1)).alias("n")).groupBy(run).agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n")))).alias("drop_reasons"))
     return totals.join(reasons, run, "left")
 
 
-def coverage(rows: DataFrame, email="email", source="source", reachable="reachable", freemail=V.FREEMAIL_DOMAINS) -> DataFrame:
-    """Contacts found by source, how many are free mail, and the found share of reachable rows.
+def coverage(rows: DataFrame, email="email", source="source", reachable="reachable", freemail=V.FREEMAIL_DOMAINS, any_case: bool = True) -> DataFrame:
+    """Contacts found by source, how many are free mail (domains in any case, or just as listed), and the found share of reachable rows.
 
     Rows are read once, into one count per source and outcome; the totals add up these counts.
     """
-    free = F.lower(F.substring_index(F.col(email), "@", -1)).isin(*freemail)
+    domain = F.substring_index(F.col(email), "@", -1)
+    free = (F.lower(domain) if any_case else domain).isin(*freemail)
     counts = rows.where(F.col(reachable)).groupBy(source, (~blank(email)).alias("_found")).agg(F.count(F.lit(1)).alias("found"), F.count_if(free).alias("freemail"))
     overall = Window.partitionBy(F.lit(1))
     totals = counts.withColumn("reachable", F.sum("found").over(overall)).withColumn("_hit", F.sum(F.when(F.col("_found"), F.col("found"))).over(overall))
-    return totals.where("_found").select(source, "found", "freemail", "reachable", F.round(F.try_divide(F.col("_hit").cast("double"), "reachable") * 100, 2).alias("found_pct"))
+    return totals.where("_found").select(source, "found", "freemail", "reachable", rounded(F.try_divide(F.col("_hit").cast("double"), "reachable") * 100, 2).alias("found_pct"))
 
 
 def backtest(rows: DataFrame, niche: str, status: str, score: str, flag: str, approved="Approved") -> DataFrame:
@@ -76,11 +77,11 @@ def backtest(rows: DataFrame, niche: str, status: str, score: str, flag: str, ap
         return F.coalesce(F.sum(F.when(cond, F.col("c"))), F.lit(0))
 
     stats = both.groupBy("grp", "status").agg(
-        total().alias("n"), F.round(F.try_divide(F.sum(F.col("score") * F.col("c")).cast("double"), F.sum("c")), 4).alias("mean"), F.min("score").alias("lo"), F.max("score").alias("hi"),
+        total().alias("n"), rounded(F.try_divide(F.sum(F.col("score") * F.col("c")).cast("double"), F.sum("c")), 4).alias("mean"), F.min("score").alias("lo"), F.max("score").alias("hi"),
         total(on).alias("n_flag"), total(~on).alias("n_noflag"))
 
     def rate(cond):
-        return F.round(F.try_divide(total(cond & ok).cast("double"), total(cond)), 4)
+        return rounded(F.try_divide(total(cond & ok).cast("double"), total(cond)), 4)
 
     base = both.groupBy("grp").agg(rate(F.lit(True)).alias("base_rate"), rate(on).alias("p_given_flag"), rate(~on).alias("p_given_noflag"))
     return stats.join(median, ["grp", "status"]).join(base, "grp")
@@ -103,7 +104,7 @@ def filter_ablation(pool: DataFrame, filters: dict[str, Column], relaxed: dict[s
     one = marked.agg(
         F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(v).alias("variant"), F.count_if(c).alias("pool"), F.count_if(c & F.col("net")).alias("net")) for i, (v, c) in enumerate(variants.items())]).alias("a"))
     rows = one.select(F.get("a", 0)["pool"].alias("base"), F.explode("a").alias("v"))
-    return rows.select("v.variant", "v.pool", "v.net", F.round((F.try_divide(F.col("v.pool").cast("double"), "base") - 1) * 100, 2).alias("change_pct"))
+    return rows.select("v.variant", "v.pool", "v.net", rounded((F.try_divide(F.col("v.pool").cast("double"), "base") - 1) * 100, 2).alias("change_pct"))
 
 
 def suppression_quality(rows: DataFrame, name="name", url="url", email="email") -> DataFrame:
@@ -112,14 +113,14 @@ def suppression_quality(rows: DataFrame, name="name", url="url", email="email")
     keys = suppression_keys(rows, name, url, email)
     kinds = [keys.agg(F.count_if(F.col("kind") == x)).scalar().alias(f"{x}s") for x in ("handle", "email", "name")]
     return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(weak).alias("weak_rows")).select(
-        "n_rows", *kinds, "weak_rows", F.round(F.try_divide(F.col("weak_rows").cast("double"), "n_rows") * 100, 2).alias("weak_pct"))
+        "n_rows", *kinds, "weak_rows", rounded(F.try_divide(F.col("weak_rows").cast("double"), "n_rows") * 100, 2).alias("weak_pct"))
 
 
 def verification_summary(judgements: DataFrame) -> DataFrame:
     return judgements.agg(
         *[F.count_if(F.col("state") == s).alias(s) for s in ("scored", "rescued", "unavailable")],
         F.count_if(~F.col("cached")).alias("requests"), F.count_if(~F.col("cached") & F.col("video")).alias("video_requests"),
-        F.count_if(F.col("cached")).alias("cache_hits"), F.sum("tokens").alias("tokens"), F.round(F.sum(units("seconds")) / UNIT, 4).alias("seconds"))
+        F.count_if(F.col("cached")).alias("cache_hits"), F.sum("tokens").alias("tokens"), rounded(F.sum(units("seconds")) / UNIT, 4).alias("seconds"))
 
 
 def unit_cost(spend: DataFrame, written: DataFrame, key: str) -> DataFrame:
@@ -127,7 +128,7 @@ def unit_cost(spend: DataFrame, written: DataFrame, key: str) -> DataFrame:
     s = spend.groupBy(key).agg((F.sum(units("amount")) / UNIT).alias("spent"))
     w = written.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     return s.join(w, key, "left").select(
-        key, "spent", F.coalesce("rows", F.lit(0)).alias("rows"), F.round(F.try_divide("spent", "rows"), 4).alias("per_row"))
+        key, "spent", F.coalesce("rows", F.lit(0)).alias("rows"), rounded(F.try_divide("spent", "rows"), 4).alias("per_row"))
 
 
 def latest_balance(events: DataFrame, balance: Column, account: str, day: str, day_cap=V.SPEND_DAY_CAP, month_cap=V.SPEND_MONTH_CAP, tz=V.BUDGET_ZONE) -> DataFrame:
@@ -142,7 +143,7 @@ def latest_balance(events: DataFrame, balance: Column, account: str, day: str, d
         (F.sum(F.when(month, units("amount")).otherwise(0)) / UNIT).alias("month_spent"))
     return g.select(
         account, "balance", "day_spent", "month_spent",
-        F.round(F.greatest(F.lit(0.0), F.least(F.lit(float(day_cap)) - F.col("day_spent"), F.lit(float(month_cap)) - F.col("month_spent"), F.col("balance"))), 4).alias("can_spend"))
+        rounded(F.greatest(F.lit(0.0), F.least(F.lit(float(day_cap)) - F.col("day_spent"), F.lit(float(month_cap)) - F.col("month_spent"), F.col("balance"))), 4).alias("can_spend"))
 
 
 def send_summary(decisions: DataFrame, outcome: str) -> DataFrame:

@@ -137,7 +137,7 @@ def _(s, d):
 @query("F8_age_months", f"SELECT o_custkey AS entity_id, round({days('min(o_orderdate)', lit(B.ITEMS_AS_OF))} / 30.44, 6) AS age FROM orders GROUP BY 1")
 def _(s, d):
     first = B.plain_items(s, d).groupBy("entity_id").agg(F.min("published_at").alias("first"))
-    return first.select("entity_id", F.round(shape.age_months("first", B.ITEMS_AS_OF), 6).alias("age"))
+    return first.select("entity_id", text.rounded(shape.age_months("first", B.ITEMS_AS_OF), 6).alias("age"))
 
 
 @query("F10_is_vertical", "SELECT p_partkey, CAST(CASE WHEN p_size > 0 AND p_partkey % 51 > 0 THEN CAST(p_size AS DOUBLE) / (p_partkey % 51) <= 0.95 END AS VARCHAR) AS vertical FROM part")

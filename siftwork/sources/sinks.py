@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import fixed_values as V
-from ..functions.text import blank, csv_safe, miss_note
+from ..functions.text import blank, csv_safe, miss_note, rounded
 from . import versions
 
 PROTECTED = ("status", "notes")
@@ -113,8 +113,8 @@ def published_rows(df: DataFrame, sink_columns=None, source_label: str = "discov
         "entity_id": F.col("entity_id"),
         "title": csv_safe("title"),
         "subscribers": F.col("subscribers"),
-        "avg_views": F.round("avg_views", 1),
-        "engagement_rate": F.round("engagement_rate", 2),
+        "avg_views": rounded("avg_views", 1),
+        "engagement_rate": rounded("engagement_rate", 2),
         "upload_frequency": F.concat(F.bround("per_month", 0).cast("bigint").cast("string"), F.lit(" videos/month")),
         "language": csv_safe(F.coalesce(F.nullif("language", F.lit("")), F.lit("Unknown"))),
         "email": csv_safe("email"),
