@@ -20,7 +20,6 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import only, whole, with_columns
+from .common import only, with_columns
 
 #: Fixed value: how byte-level tokenizers of this kind split a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -45,7 +44,7 @@ NO_LETTERS = (
     "323B0-33479 3D000-3FC3F"
 ).split()
 #: Pieces laid out at once, pieces after which a worker forgets those that its last batch did not hold, and characters of text in a batch of results.
-CHUNK, REMEMBERED, BATCH_CHARS = 60_000, 500_000, 8_000_000
+CHUNK, REMEMBERED, BATCH_CHARS = 60_000, 500_000, 2_000_000
 #: A list of so many positions is long.
 MANY = 40
 
@@ -190,27 +189,53 @@ def merge_pieces(pieces: list[str], v: Vocabulary) -> tuple[np.ndarray, np.ndarr
 
 def _runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """All places of runs of these starts and lengths, run after run."""
-    ends = np.cumsum(lengths)
+    ends = np.cumsum(lengths, dtype=np.int64)
     total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+    at = np.arange(total)
+    at += np.repeat(starts - (ends - lengths), lengths)
+    return at
+
+
+class _Numbers(dict):
+    """Numbers pieces as they are asked for; ``new`` lists those without ids yet."""
+
+    def __init__(self, *given):
+        super().__init__(*given)
+        self.new: list = []
+
+    def __missing__(self, piece) -> int:
+        self[piece] = n = len(self)
+        self.new.append(piece)
+        return n
 
 
 class _Table:
     """Pieces and their ids, numbered as they come."""
 
     def __init__(self):
-        self.number: dict = {}
-        self.ids, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def add(self, pieces: list, ids: np.ndarray, lengths: np.ndarray) -> None:
-        self.number.update(zip(pieces, range(len(self.number), len(self.number) + len(pieces)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.ids, self.lengths = np.concatenate([self.ids, ids]), np.concatenate([self.lengths, lengths])
-
-    def only(self, pieces: list) -> _Table:
-        at = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
-        out = _Table()
-        out.add(pieces, self.ids[_runs(self.starts[at], self.lengths[at])], self.lengths[at])
+        self.number = _Numbers()
+        self.ids, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def fill(self, v: Vocabulary) -> None:
+        """Gives ids to the pieces numbered since the last call. Special tokens, tuples of one, are laid behind the others."""
+        new, self.number.new = self.number.new, []
+        plain = [p for p in new if type(p) is str]
+        parts = [merge_pieces(plain[at:at + CHUNK], v) for at in range(0, len(plain), CHUNK)]
+        marks = np.array([v.special[p[0]] for p in new if type(p) is tuple], np.int32)
+        lengths = np.concatenate([*(part[1] for part in parts), np.ones(len(marks), np.int64)])
+        order = np.argsort(np.fromiter((type(p) is tuple for p in new), bool, len(new)), kind="stable")
+        placed = np.zeros((2, len(new)), np.int32)
+        placed[:, order] = len(self.ids) + np.cumsum(lengths) - lengths, lengths
+        self.starts, self.lengths = np.concatenate([self.starts, placed[0]]), np.concatenate([self.lengths, placed[1]])
+        self.ids = np.concatenate([self.ids, *(part[0] for part in parts), marks])
+
+    def only(self, numbers: np.ndarray) -> _Table:
+        """The pieces of these ascending numbers."""
+        pieces, out = list(self.number), _Table()
+        out.number = _Numbers(zip(map(pieces.__getitem__, numbers.tolist()), range(len(numbers))))
+        out.lengths = self.lengths[numbers]
+        out.ids = self.ids[_runs(self.starts[numbers], out.lengths)]
+        out.starts = (np.cumsum(out.lengths) - out.lengths).astype(np.int32)
         return out
 
 
@@ -245,25 +270,19 @@ class Coder:
         return out
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts in order, and how many each text has."""
-        split = [self._pieces(t) for t in texts]
-        met = set(chain.from_iterable(split))
-        if len(self.table.number) > REMEMBERED:
-            self.table = self.table.only(list(met.intersection(self.table.number)))
+        """The ids of all texts in order, and how many each text has. A text's pieces go once they are numbered."""
         table = self.table
-        new = met.difference(table.number)
-        marks = [p for p in new if type(p) is tuple]
-        table.add(marks, np.array([self.v.special[p[0]] for p in marks], np.int32), np.ones(len(marks), np.int64))
-        new = list(new.difference(marks))
-        for at in range(0, len(new), CHUNK):
-            part = new[at:at + CHUNK]
-            table.add(part, *merge_pieces(part, self.v))
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(table.number.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        numbers = [np.fromiter(map(table.number.__getitem__, pieces), np.int32, len(pieces)) for pieces in map(self._pieces, texts)]
+        table.fill(self.v)
+        at = np.concatenate([np.zeros(0, np.int32), *numbers])
         lengths = table.lengths[at]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        ends = np.cumsum(sizes)
-        return table.ids[_runs(table.starts[at], lengths)], upto[ends] - upto[ends - sizes]
+        upto = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        ends = np.cumsum(np.fromiter(map(len, numbers), np.int64, len(numbers)))
+        counts = np.diff(upto[ends], prepend=0)
+        ids = table.ids[_runs(table.starts[at], lengths)]
+        if len(table.number) > REMEMBERED:
+            self.table = table.only(np.unique(at))
+        return ids, counts
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """The text of each list of ids; bytes that are no UTF-8 become U+FFFD."""
@@ -291,10 +310,10 @@ def _coder(vocabulary) -> Coder:
 
 
 def _portions(column: pa.Array) -> Iterator[list[str]]:
-    """The texts in lists of about BATCH_CHARS characters."""
+    """The texts in lists of about BATCH_CHARS characters; null texts are empty ones."""
     held, size = [], 0
     for text in column:
-        held.append(text.as_py())
+        held.append(text.as_py() or "")
         size += len(held[-1])
         if size >= BATCH_CHARS:
             yield held
@@ -303,24 +322,28 @@ def _portions(column: pa.Array) -> Iterator[list[str]]:
         yield held
 
 
-def _task(vocabulary, work):
+def _task(vocabulary, work, text: int, kept: int):
+    """Adds what ``work`` makes of the texts in column ``text`` to the first ``kept`` columns."""
+
     def use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # nothing here makes cycles, and the tables of pieces are slow to walk
         coder = _coder(vocabulary)
         for batch in batches:
             at = 0
-            for texts in _portions(batch.column("__text")):
+            for texts in _portions(batch.column(text)):
                 part = batch.slice(at, len(texts))
                 at += len(texts)
-                kept = [part.column(i) for i in range(part.num_columns - 1)]
                 made = work(coder, texts)
-                yield pa.RecordBatch.from_arrays([*kept, *made.values()], [*part.schema.names[:-1], *made])
+                yield pa.RecordBatch.from_arrays([*part.columns[:kept], *made.values()], [*part.schema.names[:kept], *made])
 
     return use
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", decoded: str | None = None) -> DataFrame:
-    """Adds the ids of every whole text and, where a name for it is given, the text that these ids decode to."""
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids", decoded: str | None = None, keep_text: bool = True) -> DataFrame:
+    """Adds the ids of every whole text and, where a name for it is given, the text that these ids decode to.
+
+    A text that stays goes to the workers and back as one column; without ``keep_text`` it does not come back.
+    """
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(path))
 
     def work(coder: Coder, texts: list[str]) -> dict[str, pa.Array]:
@@ -328,10 +351,12 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "token_ids
         out = {ids: _lists(flat, counts)}
         return out | ({decoded: pa.array(coder.decode(flat, counts), pa.string())} if decoded else {})
 
-    taken = {ids.lower(), (decoded or ids).lower()}
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken], whole(text).alias("__text"))
-    schema = rows.drop("__text").schema.add(ids, T.ArrayType(T.IntegerType()))
-    return rows.mapInArrow(_task(vocabulary, work), schema.add(decoded, "string") if decoded else schema)
+    taken = {ids.lower(), (decoded or ids).lower()} | (set() if keep_text else {text.lower()})
+    kept = [c for c in docs.columns if c.lower() not in taken]
+    at = next((i for i, c in enumerate(kept) if c.lower() == text.lower()), len(kept))
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], *([F.col(text).alias("__text")] if at == len(kept) else []))
+    schema = T.StructType(rows.schema.fields[:len(kept)]).add(ids, T.ArrayType(T.IntegerType()))
+    return rows.mapInArrow(_task(vocabulary, work, at, len(kept)), schema.add(decoded, "string") if decoded else schema)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
@@ -352,7 +377,7 @@ def decode(docs: DataFrame, path: str, ids: str = "token_ids", text: str = "deco
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Query form: per document the number of ids, and hashes of the ids and of the text that they decode to."""
-    coded = encode(only(docs, ["doc_id", "text"]), path, decoded="decoded")
+    coded = encode(only(docs, ["doc_id", "text"]), path, decoded="decoded", keep_text=False)
     return coded.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

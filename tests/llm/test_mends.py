@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import pytest
+from tokenizers import Tokenizer
 
-from siftwork.llm import common, language_id, main_text, quality_rules, secret_scan, site_quality
+from siftwork.llm import bpe, common, language_id, main_text, quality_rules, secret_scan, site_quality
 
 
 def test_keep_good_leaves_columns_of_any_name_alone(spark):
@@ -151,3 +153,28 @@ def test_samples_follow_one_rule_at_every_size(spark):
     taken = common.sampled(rows, 2_000).collect()
     assert 350 < len(taken) < 650 and len(set(taken)) == len(taken)
     assert common.sampled(rows.limit(50), 2_000).count() == rows.limit(50).distinct().count()
+
+
+def test_a_batch_of_texts_is_not_held_in_pieces(spark):
+    coder = bpe.Coder(bpe.Vocabulary.read(common.tokenizer_path()))
+    texts = [" ".join(f"w{i % 50}" for i in range(400)) for _ in range(300)]
+    coder.encode(texts[:1])
+    tracemalloc.start()
+    ids, counts = coder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(counts) == 300 and peak < 70 * len(ids)  # a piece as a string of its own takes 50 bytes besides
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    coded = bpe.with_tokens(docs, common.tokenizer_path())
+    assert coded._jdf.queryExecution().optimizedPlan().toString().count("coalesce(text") == 0  # the text goes to the workers once
+    assert [(r.doc_id, r.text, r.n_tokens) for r in coded.orderBy("doc_id").collect()] == [(1, "a b", 2), (2, None, 0)]
+
+
+def test_forgotten_pieces_and_special_tokens_get_the_same_ids(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 6)
+    path = common.tokenizer_path()
+    library, coder = Tokenizer.from_file(path), bpe.Coder(bpe.Vocabulary.read(path))
+    for texts in (["ab <|endoftext|>cde x", "", "cde cde"], ["<|endoftext|>", "new words come <|endoftext|> here"], [], ["ab x", "words of old"], ["ab <|endoftext|>cde x"]):
+        ids, counts = coder.encode(texts)
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
