@@ -33,3 +33,17 @@ def test_rounding_is_that_of_the_sql_engine(spark):
     for a, b, n in cases:
         got = spark.range(1).select(text.rounded(F.lit(float(a)) / b * 100, n)).first()[0]
         assert got == duckdb.connect().execute(f"SELECT round(CAST({a} AS DOUBLE) / {b} * 100, {n})").fetchone()[0]
+
+
+@pytest.mark.parametrize("name", ["W10_deep_scan", "A3_repeated_contact"])
+def test_contact_scans_shuffle_no_text_and_cut_rows_first(spark, name):
+    lines = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString().splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning(entity_id" in line:
+            below = "".join(lines[i + 1:i + 4])
+            assert "WindowGroupLimit" in below or "HashAggregate" in below, below
+    assert any("WindowGroupLimit" in line for line in lines)
+    for i, line in enumerate(lines):
+        if "WindowGroupLimit" in line and "Partial" in line:
+            project = next(x for x in lines[i:] if "Project" in x)
+            assert "regexp_extract_all" in project and "description" not in project
