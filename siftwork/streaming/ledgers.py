@@ -57,7 +57,8 @@ class _Retained(StatefulProcessor):
         return pd.DataFrame([(*key, day, n, until, gone)], columns=[*self.keys, "last_day", "n", "until_ms", "gone"])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        day, n, until = self.entry.get() if self.entry.exists() else ("", 0, -2)
+        held = self.entry.get()  # None for a new key, which has no timers either: each call to the state is a round trip
+        day, n, until = before = held or ("", 0, -2)
         for pdf in rows:
             n += len(pdf)
             top = pdf.loc[pdf["start_ms"].idxmax()]
@@ -66,10 +67,11 @@ class _Retained(StatefulProcessor):
                 day, until = top["day"], at
         if until >= 0 and until <= timerValues.getCurrentWatermarkInMs():
             return  # out of the window before it came
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if until >= 0:
-            self.handle.registerTimer(until)
+        if until != before[2]:
+            if before[2] >= 0:
+                self.handle.deleteTimer(before[2])
+            if until >= 0:
+                self.handle.registerTimer(until)
         self.entry.update((day, n, until))
         yield self._row(key, day, n, until, False)
 

@@ -1,11 +1,13 @@
 """Queries against their SQL on small tables with odd values, made for each test."""
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from siftwork.functions import text
+from siftwork.streaming import ledgers
 from tests.compare import compare
 
 
@@ -47,3 +49,22 @@ def test_contact_scans_shuffle_no_text_and_cut_rows_first(spark, name):
         if "WindowGroupLimit" in line and "Partial" in line:
             project = next(x for x in lines[i:] if "Project" in x)
             assert "regexp_extract_all" in project and "description" not in project
+
+
+def test_a_new_entry_costs_two_calls_to_the_state():
+    calls = []
+
+    class State:
+        def __getattr__(self, name):
+            return lambda *a: calls.append(name)
+
+        def getValueState(self, *a):
+            return self
+
+    class Times:
+        getCurrentWatermarkInMs = staticmethod(lambda: 0)
+
+    entry_of = ledgers._Retained(7, ["label"])
+    entry_of.init(State())
+    rows = list(entry_of.handleInputRows(("day 1",), iter([pd.DataFrame({"start_ms": [-1, -1], "day": ["day 1"] * 2})]), Times))
+    assert rows[0].values.tolist() == [["day 1", "day 1", 2, -1, False]] and calls == ["get", "update"]
